@@ -169,8 +169,9 @@ def trend_bands(
 def shift_points(y: np.ndarray, min_size: int, beta: float, degree: int = 1) -> list[int]:
     """Positions (count of points before the shift) where the level of ``y`` changes.
 
-    Best penalized sum, over all segmentations, of the scaled squared difference of
-    neighbouring segments' medians. Each start's right-hand median grows by insertion,
+    Best penalized sum, over all segmentations, of the squared difference of
+    neighbouring segments' medians on a 0-1 scale, weighted by ``a*b / (a+b)`` of their
+    lengths as a share of the series. Each start's right-hand median grows by insertion,
     so the search is quadratic in the series length.
     """
     n = len(y)
@@ -194,7 +195,7 @@ def shift_points(y: np.ndarray, min_size: int, beta: float, degree: int = 1) ->
         for stop in range(at + min_size, n + 1):
             bisect.insort(ordered, float(y[stop - 1]))
             ahead = stop - at
-            gain = size * ahead / (size + ahead) ** 2 * (left - median(ordered)) ** 2
+            gain = size * ahead / ((size + ahead) * n) * (left - median(ordered)) ** 2
             value = best[at] + gain - penalty
             if value > best[stop]:
                 best[stop], previous[stop], count[stop] = value, at, count[at] + 1
