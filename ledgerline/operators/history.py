@@ -11,15 +11,19 @@ transactions that key has.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.operators.joins import overlap_join
 
-OPEN_START = date(1, 1, 1)
-OPEN_END = date(2999, 12, 31)
+# The dates that stand for 'since ever' and 'until further notice'.
+OPEN_START = "0001-01-01"
+OPEN_END = "2999-12-31"
+
+
+def _day(text: str) -> Column:
+    return F.to_date(F.lit(text))
 
 
 def daily_counts(events: DataFrame, key: str, day: str, values: Sequence[str]) -> DataFrame:
@@ -95,12 +99,12 @@ def validity_bounds(start: Column, end: Column, prev_end: Column, next_start: Co
 
     The last two branches are only reached by runs that touch or overlap.
     """
-    valid_from = F.when(prev_end.isNull(), F.lit(OPEN_START)).otherwise(start)
+    valid_from = F.when(prev_end.isNull(), _day(OPEN_START)).otherwise(start)
     valid_to = (
-        F.when(next_start.isNull(), F.lit(OPEN_END))
+        F.when(next_start.isNull(), _day(OPEN_END))
         .when(next_start > end, F.date_sub(next_start, 1))
         .when((next_start == end) & (start < end), F.date_sub(end, 1))
-        .otherwise(F.lit(OPEN_START))
+        .otherwise(_day(OPEN_START))
     )
     return valid_from, valid_to
 
@@ -186,7 +190,7 @@ def merge_null_histories(intervals: DataFrame, key: str, value: str) -> DataFram
 
 
 def current_flag(end: Column) -> Column:
-    return F.when(end == F.lit(OPEN_END), "Y").otherwise("N")
+    return F.when(end == _day(OPEN_END), "Y").otherwise("N")
 
 
 def merge_history(existing: DataFrame | None, fresh: DataFrame, key: str) -> DataFrame:

@@ -125,7 +125,11 @@ def decompose_groups(
 
 
 def relative_to_first(
-    decomposed: DataFrame, group_cols: Sequence[str], remove_errors: bool = True, order: str = "YrWk"
+    decomposed: DataFrame,
+    group_cols: Sequence[str],
+    remove_errors: bool = True,
+    order: str = "YrWk",
+    columns: Sequence[str] = COMPONENTS,
 ) -> DataFrame:
     """Components as multiples of the group's first week; a zero first value gives null."""
     if remove_errors:
@@ -134,7 +138,7 @@ def relative_to_first(
         Window.partitionBy(*group_cols).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return decomposed.withColumns(
-        {c: F.try_divide(F.col(c), F.first(c).over(from_start)) for c in COMPONENTS}
+        {c: F.try_divide(F.col(c), F.first(c).over(from_start)) for c in columns}
     )
 
 

@@ -60,6 +60,19 @@ def fill_calendar(daily: DataFrame, spine: DataFrame, metrics: Sequence[str]) ->
     )
 
 
+def _ratio(part: str, whole: str) -> Column:
+    """Quotient as a double (decimal division would cut its digits); null over zero."""
+    return F.try_divide(F.col(part).cast("double"), F.col(whole).cast("double"))
+
+
+def comparison_days(current: date, week_shift: int = -52) -> tuple[date, date]:
+    """First and last day a comparison looks at: a filter on the fact's date for the scan."""
+    offset = D.plain_offset(week=week_shift)
+    earlier = D.plain_week_end(D.plain_shift(current, weeks=offset.week, years=offset.year))
+    last = D.plain_week_end(current)
+    return date(min(earlier.year, last.year), 1, 1), max(earlier, last)
+
+
 def year_over_year(
     weekly: DataFrame,
     group_cols: Sequence[str],
@@ -78,9 +91,10 @@ def year_over_year(
 
     ``ytd`` sums from week 1 to the selected week of both years, otherwise only the two
     weeks are compared. The shares are of the total over all but the last group column.
-    A zero base gives null. One conditional aggregate does the pivot; the weeks wanted
-    are a filter on the week code that reaches the scan. ``weekly`` comes from
-    :func:`weekly_totals`; for rows that may repeat, ``distinct_rows`` drops the copies.
+    A zero base gives null. One conditional aggregate does the pivot. ``weekly`` comes
+    from :func:`weekly_totals`; for rows that may repeat, ``distinct_rows`` drops the
+    copies. Filter the facts by :func:`comparison_days` first, so that the scan skips
+    all other years.
     """
     metrics = sorted(metrics)
     offset = D.plain_offset(week=week_shift)
@@ -113,7 +127,7 @@ def year_over_year(
         report = report.withColumns({f"{m}_Delta": F.col(f"{cur}_{m}") - F.col(f"{lag}_{m}") for m in metrics})
     if per_change:
         report = report.withColumns(
-            {f"{m}_PercD": F.try_divide(F.col(f"{cur}_{m}"), F.col(f"{lag}_{m}")) - 1 for m in metrics}
+            {f"{m}_PercD": _ratio(f"{cur}_{m}", f"{lag}_{m}") - 1 for m in metrics}
         )
     if share:
         names = {f"{level}_{m}": f"{level}_{m}_MkShare" for level in (cur, lag) for m in metrics}
@@ -142,7 +156,7 @@ def share_of_parent(df: DataFrame, parent_cols: Sequence[str], names: Mapping[st
         wide = df.join(sums, same, "inner")
     else:
         wide = df.crossJoin(F.broadcast(df.agg(*totals)))  # one row
-    shares = {out: F.try_divide(F.col(value), F.col(f"__{out}")) for value, out in names.items()}
+    shares = {out: _ratio(value, f"__{out}") for value, out in names.items()}
     return wide.withColumns(shares).drop(
         *[f"__{out}" for out in names.values()], *[f"__p_{c}" for c in parent_cols]
     )

@@ -10,12 +10,33 @@ from pyspark.sql import types as T
 
 # The flat sales feed, in file order. item_nbr stays text because a few
 # rows carry a letter prefix.
-SALES_FEED = T.StructType.fromDDL(
-    """item_invoice_nbr string, order_dt date, store_nbr int, store_name string, store_address string,
-    store_city string, zip_code string, store_location string, county_nbr int, county_name string,
-    category_nbr int, category_name string, vendor_nbr int, vendor_name string, item_nbr string,
-    item_desc string, pack int, bottle_vol int, state_bottle_cost double, state_bottle_retail double,
-    bottles_sold int, sale double, volume double, volume_gallons double"""
+SALES_FEED = T.StructType(
+    [
+        T.StructField("item_invoice_nbr", T.StringType()),
+        T.StructField("order_dt", T.DateType()),
+        T.StructField("store_nbr", T.IntegerType()),
+        T.StructField("store_name", T.StringType()),
+        T.StructField("store_address", T.StringType()),
+        T.StructField("store_city", T.StringType()),
+        T.StructField("zip_code", T.StringType()),
+        T.StructField("store_location", T.StringType()),
+        T.StructField("county_nbr", T.IntegerType()),
+        T.StructField("county_name", T.StringType()),
+        T.StructField("category_nbr", T.IntegerType()),
+        T.StructField("category_name", T.StringType()),
+        T.StructField("vendor_nbr", T.IntegerType()),
+        T.StructField("vendor_name", T.StringType()),
+        T.StructField("item_nbr", T.StringType()),
+        T.StructField("item_desc", T.StringType()),
+        T.StructField("pack", T.IntegerType()),
+        T.StructField("bottle_vol", T.IntegerType()),
+        T.StructField("state_bottle_cost", T.DoubleType()),
+        T.StructField("state_bottle_retail", T.DoubleType()),
+        T.StructField("bottles_sold", T.IntegerType()),
+        T.StructField("sale", T.DoubleType()),
+        T.StructField("volume", T.DoubleType()),
+        T.StructField("volume_gallons", T.DoubleType()),
+    ]
 )
 
 # Primary keys of the warehouse tables.
@@ -59,11 +80,13 @@ def load_csv(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("dateFormat", date_format)
         .option("escape", '"')
-        .option("multiLine", False)
         .csv(path)
     )
-    good = raw.filter(F.col(CORRUPT).isNull()).select(*(columns or schema.names))
-    return good, raw.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    # The reader converts only the columns a query uses, and so would pass a line whose bad
+    # column is not selected. This test is always true but needs every column.
+    all_read = F.xxhash64(*schema.names) >= F.lit(-(2**63))
+    good = raw.filter(F.col(CORRUPT).isNull() & all_read).select(*(columns or schema.names))
+    return good, raw.filter(F.col(CORRUPT).isNotNull() & all_read)
 
 
 def load_csv_head(
