@@ -292,9 +292,8 @@ def item_view(item: DataFrame, item_detail: DataFrame, category: DataFrame, as_o
         if as_of:
             named = _prefixed(dated, f"{prefix}c_")
             df = interval_join(
-                df.withColumn("at", F.greatest("start_date", F.to_date(F.lit("0001-01-02")))), named,
-                {key: f"{prefix}c_category_nbr"}, "at", f"{prefix}c_c_from", f"{prefix}c_c_to",
-            ).drop("at")
+                df, named, {key: f"{prefix}c_category_nbr"}, "start_date", f"{prefix}c_c_from", f"{prefix}c_c_to"
+            )
         else:
             named = _prefixed(current, f"{prefix}c_")
             df = df.join(named, F.col(key) == F.col(f"{prefix}c_category_nbr"), "left")
@@ -342,3 +341,26 @@ def store_view(store: DataFrame, store_address: DataFrame, county: DataFrame) ->
         "store_hash",
         "orig_store_hash",
     )
+
+
+def build_warehouse(feed: Callable[[Sequence[str]], DataFrame], names: Sequence[str]) -> dict[str, DataFrame]:
+    """The named dimension and lookup tables, each written once and read back.
+
+    ``feed`` returns the feed with the wanted columns. A hashed dimension and its detail
+    table come from the same daily values, which are written first.
+    """
+    tables: dict[str, DataFrame] = {}
+    details = {"item": "item_detail", "store": "store_address"}
+    for name, make in DIMENSIONS.items():
+        detail = details.get(name)
+        if name not in names and detail not in names:
+            continue
+        dim = make()
+        daily = daily_values(feed(FEED_FOR[name]), dim)
+        if detail:
+            daily = write_stage(daily, f"{name}-daily")
+            tables[detail] = write_stage(refresh_detail(None, daily, dim), detail)
+        tables[name] = write_stage(refresh_dimension(None, daily, dim), name)
+    if "county" in names:
+        tables["county"] = write_stage(county_lookup(feed(["county_nbr", "county_name"])), "county")
+    return tables
