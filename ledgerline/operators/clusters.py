@@ -31,6 +31,9 @@ def tree_clusters(df: DataFrame, columns: Sequence[str], k: int = 5, seed: int =
     return model.transform(vectors).drop("features")
 
 
+_SUM_FIELDS = "k int, start int, j int, n long, cost double"
+
+
 def elbow_curve(
     df: DataFrame, columns: Sequence[str], k_max: int = 15, starts: int = 50, iterations: int = 15, seed: int = 1
 ) -> DataFrame:
@@ -56,23 +59,21 @@ def elbow_curve(
             k: np.stack([pool[rng.choice(len(pool), k, replace=False)] for _ in range(starts)])
             for k in range(1, k_max + 1)
         }
-        costs: dict[tuple[int, int], float] = {}
         for step in range(iterations + 1):
             shared = spark.sparkContext.broadcast(centres)
             sums = (
-                points.mapInPandas(_assign(shared, len(names)), "k int, start int, j int, n long, cost double, "
-                                   + ", ".join(f"{n} double" for n in names))
+                points.mapInPandas(_assign(shared, len(names)), _SUM_FIELDS + "".join(f", {n} double" for n in names))
                 .groupBy("k", "start", "j")
                 .agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), *[F.sum(n).alias(n) for n in names])
-                .collect()
+                .toArrow()
+                .to_pandas()
             )
-            costs, moved = {}, False
+            costs = sums.groupby(["k", "start"])["cost"].sum()
             fresh = {k: c.copy() for k, c in centres.items()}
-            for row in sums:
-                k, start, j, n, cost, *total = row
-                costs[k, start] = costs.get((k, start), 0.0) + cost
-                if n:
-                    fresh[k][start, j] = np.array(total) / n
+            for k, rows in sums.groupby("k"):
+                # A centre that lost all its rows stays where it was.
+                at = rows["start"].to_numpy(), rows["j"].to_numpy()
+                fresh[k][at] = rows[names].to_numpy() / rows["n"].to_numpy()[:, None]
             moved = any(not np.allclose(fresh[k], centres[k]) for k in centres)
             shared.unpersist()
             if not moved or step == iterations:
@@ -80,7 +81,7 @@ def elbow_curve(
             centres = fresh
     finally:
         points.unpersist()
-    curve = [(k, float(min(costs[k, s] for s in range(starts)))) for k in range(1, k_max + 1)]
+    curve = [(k, float(costs.loc[k].min())) for k in range(1, k_max + 1)]
     return spark.createDataFrame(curve, "k int, wss double")
 
 
@@ -110,8 +111,7 @@ def _assign(shared, width: int, chunk: int = 1024):
             centre = np.arange(len(sums))
             out = pd.DataFrame({"k": k, "start": centre // k, "j": centre % k, "n": sums[:, 0].astype("int64")})
             out["cost"] = sums[:, 1]
-            for i in range(width):
-                out[f"s{i}"] = sums[:, 2 + i]
-            yield out
+            parts = pd.DataFrame(sums[:, 2:], columns=[f"s{i}" for i in range(width)])
+            yield pd.concat([out, parts], axis=1)[out["n"] > 0]
 
     return run

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.plans.sqlforms import portable
 
-_MODULES = ("scalars", "relations", "history")
+_MODULES = ("scalars", "relations", "history", "series")
 
 
 def _entries() -> dict[str, tuple[Callable, str | None]]:
