@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -9,21 +10,28 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _capitalize_words(text: Column, boundary: str) -> Column:
-    words = F.split(F.lower(text), boundary)
-    return F.array_join(
-        F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 2**31 - 1))), ""
-    )
+# A character no feed holds, put before a space to mark where a word was split.
+_MARK = "\u0001 "
 
 
 def title_case(text: Column) -> Column:
-    """Trim, lower, then capitalize after every character that is not a letter or digit."""
-    return _capitalize_words(F.trim(text), r"(?<![\p{L}\p{N}])(?=[\p{L}\p{N}])")
+    """Trim, lower, then capitalize after every character that is not a letter or digit.
+
+    initcap knows only spaces, so one is put behind each such character and taken out again.
+    """
+    split = F.regexp_replace(F.lower(F.trim(text)), r"(?<=[^\p{L}\p{N}])", _MARK)
+    return F.replace(F.initcap(split), F.lit(_MARK), F.lit(""))
 
 
 def proper_case(text: Column) -> Column:
     """Lower, then capitalize a-z after a regex word boundary (so not after ``_``)."""
-    return _capitalize_words(text, r"(?<=\b)(?=[a-z])")
+    words = F.split(F.lower(text), r"(?<=\b)(?=[a-z])")
+
+    def capitalize(w: Column) -> Column:
+        first = F.translate(F.substring(w, 1, 1), string.ascii_lowercase, string.ascii_uppercase)
+        return F.concat(first, F.substring(w, 2, 2**31 - 1))
+
+    return F.array_join(F.transform(words, capitalize), "")
 
 
 def blank_to_null(text: Column) -> Column:

@@ -26,16 +26,22 @@ def _day(text: str) -> Column:
     return F.to_date(F.lit(text))
 
 
-def daily_counts(events: DataFrame, key: str, day: str, values: Sequence[str]) -> DataFrame:
-    """Occurrences per key, day and value; rows without a key (or without a day) have no place in a history."""
+def daily_counts(events: DataFrame, key: str, day: str, values: Sequence[str], count: str | None = None) -> DataFrame:
+    """Occurrences per key, day and value; rows without a key (or without a day) have no place in a history.
+
+    ``count`` names a column of counts where the events are already grouped.
+    """
+    n = F.count("*") if count is None else F.sum(count)
     return (
         events.filter(F.col(key).isNotNull() & F.col(day).isNotNull())
         .groupBy(key, day, *values)
-        .agg(F.count("*").alias("orig_occurance_count"))
+        .agg(n.alias("orig_occurance_count"))
     )
 
 
-def daily_dominant(events: DataFrame, key: str, day: str, values: Sequence[str]) -> DataFrame:
+def daily_dominant(
+    events: DataFrame, key: str, day: str, values: Sequence[str], count: str | None = None
+) -> DataFrame:
     """The most frequent value combination of each key and day, with the day's total count.
 
     Ties go to the smaller value, null last. The winner is an aggregate, not a ranked
@@ -46,7 +52,7 @@ def daily_dominant(events: DataFrame, key: str, day: str, values: Sequence[str])
         *[f for v in values for f in (F.col(v).isNull().alias(f"{v}_null"), F.col(v))],
     )
     return (
-        daily_counts(events, key, day, values)
+        daily_counts(events, key, day, values, count)
         .groupBy(key, day)
         .agg(F.min(rank).alias("top"), F.sum("orig_occurance_count").alias("occurance_count"))
         .select(key, day, *[F.col(f"top.{v}").alias(v) for v in values], "occurance_count")

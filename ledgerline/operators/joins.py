@@ -1,8 +1,8 @@
 """Joins on dates and on the newest record of a key.
 
-No join here forces a broadcast of a table: Catalyst and adaptive execution broadcast a
-side whose measured size is under the session's threshold and sort-merge (with skew
-splitting) otherwise.
+Catalyst and adaptive execution broadcast a side whose size is under the session's
+threshold and sort-merge (with skew splitting) otherwise; a broadcast is asked for only
+after counting the rows.
 """
 
 from __future__ import annotations
@@ -50,6 +50,7 @@ def interval_join(
     end: str = "end_date",
     how: str = "left",
     by_month: bool = True,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Join each fact to the dimension rows of its key in force on its day.
 
@@ -58,6 +59,12 @@ def interval_join(
     against all of them. With ``by_month`` both sides also match on a month number, so
     a fact meets at most the intervals that touch its month. A fact has one month, so
     no pair is found twice. The dimension's key and month columns are dropped.
+
+    For a written dimension give ``max_broadcast_rows``: the rows it has once spread over
+    months are counted, and it is broadcast up to that many and sort-merged beyond.
+    (Catalyst judges a table by its compressed files, before the spreading.) Without it
+    adaptive execution decides by the measured size of the shuffled dimension, which
+    suits one that is derived in the same plan.
     """
     renamed = {d: f"__{d}" for d in on.values()}
     dim = dim.withColumnsRenamed(renamed)
@@ -70,6 +77,9 @@ def interval_join(
         _clamped_month(F.col(start), low, high), _clamped_month(F.col(end), low, high), F.lit(1)
     )
     valid = dim.filter(F.col(start) <= F.col(end)).withColumn("__dim_month", F.explode(months))
+    if max_broadcast_rows is not None:
+        small = valid.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
+        valid = F.broadcast(valid) if small else valid.hint("merge")
     left = facts.withColumn("__fact_month", _clamped_month(F.col(day), low, high))
     same_month = F.col("__fact_month") == F.col("__dim_month")
     joined = left.join(valid, same_key & same_month & in_force, how)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -101,11 +102,13 @@ FEED_FOR = {
 
 
 def daily_values(feed: DataFrame, dim: Dimension, day: str = "order_dt") -> DataFrame:
-    """One row per key and day: the day's dominant value, its parts, and whether it is usable."""
-    cleaned = feed.filter(F.col(dim.source_key).isNotNull()).select(
-        dim.key.alias(dim.key_name), *[c.alias(n) for n, c in dim.columns.items()], F.col(day)
-    )
-    daily = daily_dominant(cleaned, dim.key_name, day, list(dim.columns))
+    """One row per key and day: the day's dominant value, its parts, and whether it is usable.
+
+    The raw texts are counted first and cleaned once per group, not once per sale.
+    """
+    raw = feed.filter(F.col(dim.source_key).isNotNull()).groupBy(*FEED_FOR[dim.name]).agg(F.count("*").alias("n"))
+    cleaned = raw.select(dim.key.alias(dim.key_name), *[c.alias(n) for n, c in dim.columns.items()], F.col(day), "n")
+    daily = daily_dominant(cleaned, dim.key_name, day, list(dim.columns), "n")
     usable = None
     for c in dim.required:
         usable = F.col(c).isNotNull() if usable is None else usable & F.col(c).isNotNull()
@@ -234,6 +237,7 @@ def orders_view(
     item_detail: DataFrame,
     category: DataFrame,
     vendor: DataFrame,
+    max_broadcast_rows: int = 500_000,
 ) -> DataFrame:
     """Every order with the store, item, category and vendor in force on its date.
 
@@ -255,14 +259,14 @@ def orders_view(
         .join(item_detail.drop("item_nbr"), F.col("orig_item_hash") == F.col("item_hash"), "left")
         .select("item_nbr", "start_date", "end_date", "item_desc", "category_nbr", "items_per_pack", "item_vol")
     )
-    df = interval_join(orders, stores, {"store_nbr": "store_nbr"}, "order_date").drop("start_date", "end_date")
-    df = interval_join(df, items, {"item_nbr": "item_nbr"}, "order_date").drop("start_date", "end_date")
     categories = category.select("category_nbr", "start_date", "end_date", "category_desc")
-    df = interval_join(df, categories, {"category_nbr": "category_nbr"}, "order_date").drop("start_date", "end_date")
     vendors = vendor.select(
         "vendor_nbr", "start_date", "end_date", F.col("orig_vendor_name").alias("vendor_name")
     )
-    df = interval_join(df, vendors, {"vendor_nbr": "vendor_nbr"}, "order_date").drop("start_date", "end_date")
+    df = orders
+    for dim, key in ((stores, "store_nbr"), (items, "item_nbr"), (categories, "category_nbr"), (vendors, "vendor_nbr")):
+        joined = interval_join(df, dim, {key: key}, "order_date", max_broadcast_rows=max_broadcast_rows)
+        df = joined.drop("start_date", "end_date")
     volume = F.col("bottles_sold").cast("long") * F.coalesce("item_vol", F.lit(0))
     return df.select(
         "item_invoice_nbr", "order_date", "store_nbr", "store_name", "store_address", "store_city", "lat", "long",
@@ -349,18 +353,22 @@ def build_warehouse(feed: Callable[[Sequence[str]], DataFrame], names: Sequence[
     ``feed`` returns the feed with the wanted columns. A hashed dimension and its detail
     table come from the same daily values, which are written first.
     """
-    tables: dict[str, DataFrame] = {}
     details = {"item": "item_detail", "store": "store_address"}
-    for name, make in DIMENSIONS.items():
-        detail = details.get(name)
-        if name not in names and detail not in names:
-            continue
-        dim = make()
+
+    def build(name: str) -> dict[str, DataFrame]:
+        if name == "county":
+            return {name: write_stage(county_lookup(feed(["county_nbr", "county_name"])), name)}
+        dim, detail = DIMENSIONS[name](), details.get(name)
         daily = daily_values(feed(FEED_FOR[name]), dim)
-        if detail:
-            daily = write_stage(daily, f"{name}-daily")
-            tables[detail] = write_stage(refresh_detail(None, daily, dim), detail)
-        tables[name] = write_stage(refresh_dimension(None, daily, dim), name)
-    if "county" in names:
-        tables["county"] = write_stage(county_lookup(feed(["county_nbr", "county_name"])), "county")
-    return tables
+        if detail is None:
+            return {name: write_stage(refresh_dimension(None, daily, dim), name)}
+        daily = write_stage(daily, f"{name}-daily")
+        return {
+            detail: write_stage(refresh_detail(None, daily, dim), detail),
+            name: write_stage(refresh_dimension(None, daily, dim), name),
+        }
+
+    wanted = [n for n in (*DIMENSIONS, "county") if n in names or details.get(n) in names]
+    # The tables do not depend on each other; their jobs share the cluster.
+    with ThreadPoolExecutor(len(wanted)) as pool:
+        return {k: v for built in pool.map(build, wanted) for k, v in built.items()}
