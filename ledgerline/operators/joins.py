@@ -78,7 +78,7 @@ def interval_join(
     )
     valid = dim.filter(F.col(start) <= F.col(end)).withColumn("__dim_month", F.explode(months))
     if max_broadcast_rows is not None:
-        small = valid.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
+        small = valid.count() <= max_broadcast_rows
         valid = F.broadcast(valid) if small else valid.hint("merge")
     left = facts.withColumn("__fact_month", _clamped_month(F.col(day), low, high))
     same_month = F.col("__fact_month") == F.col("__dim_month")
@@ -151,8 +151,9 @@ def add_detail(
 
     ``details`` maps 'Item', 'Vendor', 'Category', 'Store' to lookup frames; a wanted
     column is '<one of these>.Number' or the name ``names`` gives it. An item row brings
-    its own vendor and category, so those lookups are used only without it. Returns the
-    frame and its new group columns.
+    its own vendor and category, so those lookups are used only without it. A lookup
+    column the frame already has (the validity dates of an earlier lookup) stays out.
+    Returns the frame and its new group columns.
     """
     number = {k: f"{k}_Number" for k in ("Item", "Vendor", "Category", "Store")}
     describe = {"Item": "Item_Description", **{k: f"{k}_Name" for k in ("Vendor", "Category", "Store")}}
@@ -172,7 +173,8 @@ def add_detail(
         if kind == "Item":
             lookup = lookup.drop("Category_Number", "Category_Name", "Vendor_Number", "Vendor_Name")
         order = None if kind in ("Item", "Store") else [F.col(key)]
-        df = df.join(newest(lookup, key, order), key, "inner")
+        row = newest(lookup, key, order)
+        df = df.join(row.drop(*[c for c in row.columns if c in df.columns and c != key]), key, "inner")
     if not keep_number:
         df = df.drop(*wanted)
     return df, groups

@@ -128,14 +128,12 @@ def details_added(spark, folder):
         F.col("end_dt").alias("End_dt"),
     )
     stores = price_bands(spark, folder, "l_suppkey").select(
-        F.col("k").alias("Store_Number"), F.col("v").alias("Store_Name"), F.col("start_dt").alias("Store_from"),
-        F.col("start_dt").alias("Start_dt"), F.col("end_dt").alias("End_dt"),
+        F.col("k").alias("Store_Number"), F.col("v").alias("Store_Name"), F.col("start_dt").alias("Start_dt"),
+        F.col("end_dt").alias("End_dt"),
     )
-    df, groups = add_detail(
-        line, {"Item": items.drop(), "Store": stores}, ["Item_Number", "Store_Number"], ["Item_Number", "Store_Number"], True
-    )
-    items_only, _ = add_detail(line, {"Item": items}, ["Item_Number"], ["Item_Number"], keep_number=False)
-    return items_only.groupBy("Item_Description").agg(F.sum("Sales").alias("Sales"), F.count("*").alias("n"))
+    numbers = ["Item_Number", "Store_Number"]
+    named, groups = add_detail(line, {"Item": items, "Store": stores}, numbers, numbers, keep_number=False)
+    return named.groupBy(*groups).agg(F.sum("Sales").alias("Sales"), F.count("*").alias("n"))
 
 
 def vendor_and_category_details(spark, folder):
@@ -256,7 +254,7 @@ def sizes_by_frequency(spark, folder):
 def price_to_quantity(spark, folder):
     line = _t(spark, folder, "lineitem").join(_t(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
     return line.groupBy("p_size", "p_brand", "p_type").agg(
-        F.round(F.sum(F.col("l_extendedprice").cast(MONEY)).cast("double") / F.count("*"), 4).alias("sold")
+        F.round(F.sum(F.col("l_extendedprice").cast(MONEY)).cast("double") / F.count("*"), 9).alias("sold")
     )
 
 
@@ -555,9 +553,11 @@ QUERIES = {
     "j08_details": (
         details_added,
         retyped(
-            f"with {_BANDS_SQL}, s as (select l_partkey, l_suppkey, sum({_DEC.format('l_extendedprice')}) as x from lineitem group by 1, 2)"
-            " select v as Item_Description, sum(x) as Sales, count(*) as n from s join bands on k = l_partkey"
-            " and end_dt = date '2999-12-31' group by 1",
+            f"with {_BANDS_SQL}, {_spans_sql('l_returnflag', 'sb')}, s as (select l_partkey, l_suppkey,"
+            f" sum({_DEC.format('l_extendedprice')}) as x from lineitem group by 1, 2)"
+            " select bands.v as Item_Description, sb.v as Store_Name, sum(x) as Sales, count(*) as n from s join bands"
+            " on bands.k = l_partkey and end_dt = date '2999-12-31' join sb on sb.k = l_suppkey and sb.t = date '2999-12-31'"
+            " group by 1, 2",
             double=["Sales"],
         ),
     ),
@@ -618,7 +618,7 @@ QUERIES = {
     "a09_frequencies": (sizes_by_frequency, "select p_size, count(*) as n from part group by 1 order by 2, 1"),
     "a10_price_ratio": (
         price_to_quantity,
-        f"select p_size, p_brand, p_type, round(cast(sum({_DEC.format('l_extendedprice')}) as double) / count(*), 4) as sold"
+        f"select p_size, p_brand, p_type, round(cast(sum({_DEC.format('l_extendedprice')}) as double) / count(*), 9) as sold"
         " from lineitem join part on l_partkey = p_partkey group by 1, 2, 3",
     ),
     "a11_month_sums": (
