@@ -159,11 +159,6 @@ def add_detail(
     describe = {"Item": "Item_Description", **{k: f"{k}_Name" for k in ("Vendor", "Category", "Store")}}
     if names:
         number.update(names)
-    groups = list(group_cols)
-    if groups and any(w in groups for w in wanted):
-        groups += [describe[k] for k, n in number.items() if n in wanted]
-    if groups and not keep_number:
-        groups = [g for g in groups if g not in wanted]
     has_item = number["Item"] in wanted
     for kind in ("Item", "Vendor", "Category", "Store"):
         key = number[kind]
@@ -175,7 +170,11 @@ def add_detail(
         order = None if kind in ("Item", "Store") else [F.col(key)]
         row = newest(lookup, key, order)
         df = df.join(row.drop(*[c for c in row.columns if c in df.columns and c != key]), key, "inner")
+    groups = list(group_cols)
+    if any(w in groups for w in wanted):
+        groups += [describe[k] for k, n in number.items() if n in wanted and describe[k] in df.columns]
     if not keep_number:
+        groups = [g for g in groups if g not in wanted]
         df = df.drop(*wanted)
     return df, groups
 

@@ -11,7 +11,7 @@ from ledgerline.functions import dates as D
 from ledgerline.functions import formats as R
 from ledgerline.functions import text as X
 from ledgerline.operators import history, reshape, weekly
-from ledgerline.operators.filters import all_in
+from ledgerline.operators.filters import all_in, in_years
 from ledgerline.operators.joins import add_detail, interval_join, newest, overlap_join, star_filter
 from ledgerline.operators.series import relative_to_first, rolling_deviation
 from ledgerline.plans.feed import sales_feed, sales_feed_sql
@@ -97,7 +97,7 @@ def numbered_after_max(spark, folder):
     return county_lookup(sales_feed(spark, folder, ["county_nbr", "county_name"]))
 
 
-_COUNTY_SQL = f"""with f as ({sales_feed_sql(["county_nbr", "county_name"])}),
+COUNTY_SQL = f"""with f as ({sales_feed_sql(["county_nbr", "county_name"])}),
     a as (select county_nbr, max({title_sql("county_name")}) as county_name from f where county_nbr is not null group by 1),
     b as (select distinct {title_sql("county_name")} as county_name from f where county_nbr is null)
     select * from a union all
@@ -209,7 +209,7 @@ def distinct_days(spark, folder):
     return _t(spark, folder, "orders").select(_day("o_orderdate").alias("Date"), "o_orderstatus").distinct()
 
 
-def _priced(spark, folder):
+def priced_lines(spark, folder):
     """Order lines with market segment and nation: the fact behind the weekly reports."""
     o = _t(spark, folder, "orders").select("o_orderkey", "o_custkey", _day("o_orderdate").alias("Date"))
     c = _t(spark, folder, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
@@ -226,7 +226,7 @@ def _priced(spark, folder):
     )
 
 
-_PRICED_SQL = """select cast(o_orderdate as date) as Date, c_mktsegment, n_name, cast(l_quantity as int) as Bottles,
+PRICED_SQL = """select cast(o_orderdate as date) as Date, c_mktsegment, n_name, cast(l_quantity as int) as Bottles,
     cast(l_extendedprice as decimal(18,2)) as Sales,
     cast(l_extendedprice as decimal(18,2)) * (1 - cast(l_discount as decimal(4,2))) as Cost
     from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey
@@ -235,12 +235,12 @@ METRICS = {"Bottles": "Bottles", "Cost": "Cost", "Sales": "Sales"}
 
 
 def weekly_by_segment(spark, folder):
-    return weekly.weekly_totals(_priced(spark, folder), ["c_mktsegment"], "Date", METRICS)
+    return weekly.weekly_totals(priced_lines(spark, folder), ["c_mktsegment"], "Date", METRICS)
 
 
 _WEEKLY_SQL = f"""select c_mktsegment, {code_sql("Date")} as YrWk, min(Date) as Start_Date, max(Date) as End_Date,
     cast(sum(Bottles) as bigint) as Bottles, sum(Cost) as Cost, sum(Sales) as Sales, count(*) as Record_Count
-    from ({_PRICED_SQL}) p group by 1, 2"""
+    from ({PRICED_SQL}) p group by 1, 2"""
 
 
 def pair_counts(spark, folder):
@@ -259,7 +259,7 @@ def price_to_quantity(spark, folder):
 
 
 def sums_by_month(spark, folder):
-    p = _priced(spark, folder)
+    p = priced_lines(spark, folder)
     return p.groupBy(F.year("Date").alias("yr"), F.month("Date").alias("mnth"), "n_name").agg(F.sum("Sales").alias("Sales"))
 
 
@@ -342,7 +342,7 @@ _HISTOGRAM_SQL = """with b as (select min(o_totalprice) as lo, (max(o_totalprice
 
 def _yoy(spark, folder, groups, **options):
     first, last = weekly.comparison_days(CURRENT)
-    priced = _priced(spark, folder).filter(F.col("Date").between(F.lit(first), F.lit(last)))
+    priced = priced_lines(spark, folder).filter(F.col("Date").between(F.lit(first), F.lit(last)))
     totals = weekly.weekly_totals(priced, groups, "Date", METRICS)
     report = weekly.year_over_year(totals, groups, CURRENT, list(METRICS), **options)
     ratios = [c for c in report.columns if c.endswith(("_PercD", "_MkShare", "_MkShareD"))]
@@ -377,7 +377,7 @@ def yoy_sql(groups: list[str], where_cur: str, where_lag: str) -> str:
     plain = ", ".join(f"cast({p}_{m} as {'bigint' if m == 'Bottles' else 'double'}) as {p}_{m}" for p in ("Cur", "L_52") for m in METRICS)
     by = f" group by {', '.join(groups)}" if groups else ""
     return (
-        f"with s as (select {keys}{sums} from (select *, {code_sql('Date')} as w from ({_PRICED_SQL}) p) q"
+        f"with s as (select {keys}{sums} from (select *, {code_sql('Date')} as w from ({PRICED_SQL}) p) q"
         f" where ({where_cur}) or ({where_lag}){by}) select {keys}{plain}, {', '.join(outs)} from s"
     )
 
@@ -386,23 +386,38 @@ _YTD = ("w between 200001 and 200024", "w between 199901 and 199924")
 _WEEK = ("w = 200024", "w = 199924")
 
 
+def star_sales(spark, folder, first: date, last: date) -> DataFrame:
+    """Dated sales of the chosen items and stores, with the columns reports group by."""
+    line = _t(spark, folder, "lineitem").withColumn("Date", _day("l_shipdate"))
+    facts = line.filter(F.col("Date").between(F.lit(first), F.lit(last))).select(
+        "Date", F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("s_suppkey"),
+        F.col("l_extendedprice").cast(MONEY).alias("Sales"),
+    )
+    items = _t(spark, folder, "part").filter(all_in("p_type", ["PROMO", "SMALL", "LARGE"])).select("p_partkey", "p_type")
+    stores = _t(spark, folder, "supplier").filter(all_in("s_nationkey", list(range(15)))).select("s_suppkey", "s_nationkey")
+    return star_filter(facts, items, stores, "p_partkey", "s_suppkey")
+
+
+STAR_SQL = """select cast(l_shipdate as date) as Date, p_type, s_nationkey, cast(l_extendedprice as decimal(18,2)) as Sales
+    from lineitem join part on l_partkey = p_partkey join supplier on l_suppkey = s_suppkey
+    where p_type in ('PROMO', 'SMALL', 'LARGE') and s_nationkey < 15"""
+
+
 def overview_table(spark, folder):
     """The dashboard's overview: years, star filter, weekly totals, comparison, chosen columns, wording."""
-    years = [CURRENT.year - 1, CURRENT.year]
-    facts = _priced(spark, folder).withColumn("YrWk", D.week_code(F.col("Date"))).filter(D.code_year(F.col("YrWk")).isin(years))
-    chosen = facts.filter(all_in("c_mktsegment", ["BUILDING", "MACHINERY", "HOUSEHOLD"]))
-    totals = weekly.weekly_totals(chosen, ["n_name"], "Date", {"Sales": "Sales"})
-    report = weekly.year_over_year(totals, ["n_name"], CURRENT, ["Sales"])
+    facts = star_sales(spark, folder, *weekly.comparison_days(CURRENT))
+    totals = weekly.weekly_totals(facts, ["p_type"], "Date", {"Sales": "Sales"})
+    kept = totals.filter(in_years("YrWk", [CURRENT.year - 1, CURRENT.year]))
+    report = weekly.year_over_year(kept, ["p_type"], CURRENT, ["Sales"])
     shown = R.drop_families(report, ["_Delta", "_PercD", "_MkShare", "_MkShareD"], keep=["_Delta"])
     return R.label_report(R.format_report(shown))
 
 
-_OVERVIEW_SQL = f"""select n_name, '$ ' || format('{{:,}}', cast(round_even(cast(c as double), 0) as bigint)) as "Current YTD Sales",
+_OVERVIEW_SQL = f"""select p_type, '$ ' || format('{{:,}}', cast(round_even(cast(c as double), 0) as bigint)) as "Current YTD Sales",
     '$ ' || format('{{:,}}', cast(round_even(cast(l as double), 0) as bigint)) as "1 Yr Ago YTD Sales",
     '$ ' || format('{{:,}}', cast(round_even(cast(c - l as double), 0) as bigint)) as "Sales Diffrence" from
-    (select n_name, coalesce(sum(case when {_YTD[0]} then Sales end), 0) as c, coalesce(sum(case when {_YTD[1]} then Sales end), 0) as l
-    from (select *, {code_sql("Date")} as w from ({_PRICED_SQL}) p where c_mktsegment in ('BUILDING', 'MACHINERY', 'HOUSEHOLD')) q
-    where {_YTD[0]} or {_YTD[1]} group by 1) s"""
+    (select p_type, coalesce(sum(case when {_YTD[0]} then Sales end), 0) as c, coalesce(sum(case when {_YTD[1]} then Sales end), 0) as l
+    from (select *, {code_sql("Date")} as w from ({STAR_SQL}) p) q where {_YTD[0]} or {_YTD[1]} group by 1) s"""
 
 # --- windows ---------------------------------------------------------------------------------
 
@@ -433,7 +448,7 @@ def first_rows(spark, folder):
 
 
 def parent_shares(spark, folder):
-    sums = _priced(spark, folder).groupBy("n_name", "c_mktsegment").agg(F.sum("Sales").alias("Sales"))
+    sums = priced_lines(spark, folder).groupBy("n_name", "c_mktsegment").agg(F.sum("Sales").alias("Sales"))
     shares = weekly.share_of_parent(sums, ["n_name"], {"Sales": "share"})
     return shares.withColumn("share", F.round(F.col("share").cast("double"), 5))
 
@@ -523,7 +538,34 @@ _ITEM_MONTHS_SQL = "select cast(year(l_shipdate) as int) as yr, " + ", ".join(
 ) + " from lineitem where l_partkey in (10, 22, 23, 25, 59) group by 1"
 
 
+def usable_days(spark, folder):
+    """Dominant values that carry information: both parts known, the key not null."""
+    line = _t(spark, folder, "lineitem").select(
+        F.expr("nullif(l_suppkey, 1)").alias("k"), _day("l_shipdate").alias("d"), F.expr("nullif(l_returnflag, 'N')").alias("a"),
+        F.expr("nullif(l_linestatus, 'O')").alias("b"),
+    )
+    daily = history.daily_dominant(line, "k", "d", ["a", "b"])
+    return daily.filter(F.col("a").isNotNull() & F.col("b").isNotNull()).drop("occurance_count")
+
+
+_USABLE_SQL = "select k, cast(d as varchar) as d, a, b from (" + dominant_sql(
+    "select nullif(l_suppkey, 1) as k, cast(l_shipdate as date) as d, nullif(l_returnflag, 'N') as a, nullif(l_linestatus, 'O') as b"
+    " from lineitem",
+    ["a", "b"],
+) + ") x where a is not null and b is not null"
+
+
+def bands_flagged(spark, folder):
+    return price_bands(spark, folder).withColumn("current_record", history.current_flag(F.col("end_dt")))
+
+
 QUERIES = {
+    "p08_p09_usable_days": (usable_days, _USABLE_SQL),
+    "p12_current_flag": (
+        bands_flagged,
+        f"with {_BANDS_SQL} select k, v, cast(start_dt as varchar) as start_dt, cast(end_dt as varchar) as end_dt,"
+        " case when end_dt = date '2999-12-31' then 'Y' else 'N' end as current_record from bands",
+    ),
     "j01_interval_join": (
         flag_in_force,
         f"with {_BANDS_SQL} select l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(cast(l_shipdate as date) as varchar) as day, v"
@@ -543,7 +585,7 @@ QUERIES = {
         county_joined,
         "select c_custkey, n_name from customer left join nation on c_nationkey = n_nationkey and n_regionkey <> 4",
     ),
-    "j06_numbered_after_max": (numbered_after_max, _COUNTY_SQL),
+    "j06_numbered_after_max": (numbered_after_max, COUNTY_SQL),
     "j07_star_filter": (
         star_filtered,
         "select l_orderkey, l_linenumber, p_partkey, s_suppkey, l_quantity, p_name, s_name from lineitem"
@@ -624,7 +666,7 @@ QUERIES = {
     "a11_month_sums": (
         sums_by_month,
         f"select cast(year(Date) as int) as yr, cast(month(Date) as int) as mnth, n_name, cast(sum(Sales) as double) as Sales"
-        f" from ({_PRICED_SQL}) p group by 1, 2, 3",
+        f" from ({PRICED_SQL}) p group by 1, 2, 3",
     ),
     "a12_pivot": (
         flag_matrix,
@@ -648,7 +690,7 @@ QUERIES = {
         weeks_by_year,
         " union all ".join(
             f"select cast(w % 100 as int) as Wk, cast(w // 100 as int) as Yr, '{m}' as Metric, cast(sum({m}) as double) as Value"
-            f" from (select *, {code_sql('Date')} as w from ({_PRICED_SQL}) p) q group by 1, 2"
+            f" from (select *, {code_sql('Date')} as w from ({PRICED_SQL}) p) q group by 1, 2"
             for m in METRICS
         ),
     ),
@@ -699,7 +741,7 @@ QUERIES = {
     "w09_parent_share": (
         parent_shares,
         f"select n_name, c_mktsegment, cast(s as double) as Sales, round(cast(s as double) / cast(sum(s) over (partition by n_name) as double), 5)"
-        f" as share from (select n_name, c_mktsegment, sum(Sales) as s from ({_PRICED_SQL}) p group by 1, 2) x",
+        f" as share from (select n_name, c_mktsegment, sum(Sales) as s from ({PRICED_SQL}) p group by 1, 2) x",
     ),
     "w10_relative_to_first": (
         relative_weeks,

@@ -141,14 +141,14 @@ def details_inserted(spark, folder):
     return sinks.insert_absent(known, used, ["l_partkey"])
 
 
-_INVOICE_COLUMNS = [
+INVOICE_COLUMNS = [
     "item_invoice_nbr", "order_dt", "state_bottle_cost", "state_bottle_retail", "bottles_sold", "sale", "item_nbr",
     "vendor_nbr", "store_nbr",
 ]
 
 
 def orders_upserted(spark, folder):
-    feed = sales_feed(spark, folder, _INVOICE_COLUMNS)
+    feed = sales_feed(spark, folder, INVOICE_COLUMNS)
     old = invoice_rows(feed.filter(F.col("order_dt") < F.lit(CUTOFF)))
     new = invoice_rows(feed.filter(F.col("order_dt") >= F.lit(CUTOFF)))
     return sinks.upsert(old, new, ["item_invoice_nbr"])
@@ -160,7 +160,7 @@ def invoice_sql(where: str = "true") -> str:
         " cast(state_bottle_retail as decimal(18,2)) as state_bottle_retail, sum(bottles_sold) as bottles_sold,"
         " sum(cast(sale as decimal(18,2))) as total_sale,"
         " try_cast(regexp_replace(item_nbr, '[^0-9]+', '', 'g') as int) as item_nbr, vendor_nbr, store_nbr"
-        f" from ({sales_feed_sql(_INVOICE_COLUMNS)}) f where {where}"
+        f" from ({sales_feed_sql(INVOICE_COLUMNS)}) f where {where}"
         " group by item_invoice_nbr, order_dt, f.state_bottle_cost, f.state_bottle_retail,"
         " regexp_replace(item_nbr, '[^0-9]+', '', 'g'), vendor_nbr, store_nbr"
     )
@@ -270,7 +270,7 @@ def money_amounts(spark, folder):
 
 
 def unit_profits(spark, folder):
-    feed = sales_feed(spark, folder, _INVOICE_COLUMNS)
+    feed = sales_feed(spark, folder, INVOICE_COLUMNS)
     o = invoice_rows(feed)
     return o.select(
         "item_invoice_nbr", "order_date", "item_nbr", "store_nbr",

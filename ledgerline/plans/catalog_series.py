@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import dates as D
 from ledgerline.operators import clusters, reshape, series, weekly
-from ledgerline.operators.filters import all_in
-from ledgerline.plans.catalog_relations import _PRICED_SQL, _priced, month_codes
+from ledgerline.plans.catalog_relations import PRICED_SQL, STAR_SQL, priced_lines, star_sales, month_codes
 from ledgerline.plans.sqlforms import code_sql
 from ledgerline.plans.warehouse import MONEY
 from ledgerline.sources.tables import load_parquet
@@ -20,13 +19,13 @@ METRIC = {"Sales": "Sales"}
 
 def weekly_sales(spark, folder, groups) -> DataFrame:
     """Weekly sales per group, in thousands and as doubles, ready for the models."""
-    totals = weekly.weekly_totals(_priced(spark, folder), groups, "Date", METRIC)
+    totals = weekly.weekly_totals(priced_lines(spark, folder), groups, "Date", METRIC)
     return totals.select(*groups, "YrWk", (F.col("Sales").cast("double") / 1000).alias("Sales"))
 
 
 def _weekly_sql(group: str) -> str:
     return (
-        f"select {group}, {code_sql('Date')} as YrWk, cast(sum(Sales) as double) / 1000 as Sales from ({_PRICED_SQL}) p group by 1, 2"
+        f"select {group}, {code_sql('Date')} as YrWk, cast(sum(Sales) as double) / 1000 as Sales from ({PRICED_SQL}) p group by 1, 2"
     )
 
 
@@ -61,11 +60,23 @@ def relative_growth(spark, folder):
 
 def performance_table(spark, folder):
     """The dashboard's performance tab: filter, weekly totals, decomposition, relative growth, week end dates."""
-    chosen = _priced(spark, folder).filter(all_in("c_mktsegment", ["BUILDING", "MACHINERY"]))
-    totals = weekly.weekly_totals(chosen, ["c_mktsegment"], "Date", METRIC)
-    parts = series.decompose_groups(totals, ["c_mktsegment"], "Sales")
+    chosen = star_sales(spark, folder, date(1995, 1, 1), date(2001, 7, 31))
+    totals = weekly.weekly_totals(chosen, ["p_type"], "Date", METRIC)
+    parts = series.decompose_groups(totals, ["p_type"], "Sales")
     dated = parts.withColumn("Date", D.week_end(code=F.col("YrWk")))
-    return series.relative_to_first(dated, ["c_mktsegment"]).withColumnRenamed("c_mktsegment", "Grouping")
+    return series.relative_to_first(dated, ["p_type"]).withColumnRenamed("p_type", "Grouping")
+
+
+def performance_actuals(spark, folder):
+    """The part of the performance table that SQL can follow: the series relative to its first week."""
+    return performance_table(spark, folder).select("Grouping", "YrWk", "Date", F.round("actual", 6).alias("actual"))
+
+
+_ACTUALS_SQL = f"""select p_type as Grouping, w as YrWk,
+    cast(cast(least(make_date(w // 100, 12, 31), make_date(w // 100, 1, 1) + 7 * cast(w % 100 as int) - 1) as date) as varchar) as Date,
+    round(s / first_value(s) over (partition by p_type order by w), 6) as actual from
+    (select p_type, {code_sql("Date")} as w, cast(sum(Sales) as double) as s from ({STAR_SQL}) p
+    where Date <= date '2001-07-31' group by 1, 2) x"""
 
 
 def trend_bands(spark, folder):
@@ -184,6 +195,12 @@ def elbow(spark, folder):
     return clusters.elbow_curve(profiles(spark, folder), PROFILE)
 
 
+def total_spread(spark, folder):
+    """The curve's first point: squared distance of all profiles from their mean, in billions."""
+    one = clusters.elbow_curve(profiles(spark, folder), PROFILE, k_max=1, starts=1)
+    return one.select("k", F.round(F.col("wss") / 1e9, 2).alias("wss"))
+
+
 def per_store(spark, folder):
     """What the per-store loop was after: each store's own rows, summed where they lie."""
     line = load_parquet(spark, folder, "lineitem")
@@ -236,10 +253,15 @@ QUERIES = {
     ),
     "t08_kmeans": (kmeans, None),
     "t09_elbow": (elbow, None),
+    "t09_total_spread": (
+        total_spread,
+        "select 1::int as k, round((" + " + ".join(f"var_pop(m{m})" for m in MONTHS) + f") * count(*) / 1e9, 2) as wss from ({_PROFILE_SQL}) p",
+    ),
     "t10_cluster_tree": (cluster_tree, None),
     "t11_per_store": (
         per_store,
         "select l_suppkey, count(*) as n, cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as Sales from lineitem group by 1",
     ),
     "d16_performance": (performance_table, None),
+    "d16_performance_actuals": (performance_actuals, _ACTUALS_SQL),
 }

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import interval_join, newest, overlap_join
+from ledgerline.operators.joins import add_detail, interval_join, newest, overlap_join
 from ledgerline.operators.weekly import share_of_parent, weekly_totals, year_over_year
 
 START = date(2020, 1, 1)
@@ -108,3 +108,21 @@ def test_plans(spark, folder):
     assert "orders.parquet" not in text and "supplier.parquet" not in text
     assert "ReadSchema: struct<l_partkey:bigint,l_shipdate:timestamp_ntz>" in text
     assert "Cartesian" not in yoy_ytd(spark, folder)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_add_detail(spark):
+    df = spark.createDataFrame([(1, 10, 7, 100), (2, 10, 8, 200), (9, 11, 7, 300)], "Item_Number int, Vendor_Number int, Store_Number int, Sales int")
+    item = spark.createDataFrame(
+        [(1, "old", "v", "2020", "2019"), (1, "new", "v", "2021", "2020"), (2, "two", "w", "2021", "2019")],
+        "Item_Number int, Item_Description string, Vendor_Name string, End_dt string, Start_dt string",
+    )
+    vendor = spark.createDataFrame([(10, "ten"), (10, "ten b"), (11, "eleven")], "Vendor_Number int, Vendor_Name string")
+    store = spark.createDataFrame([(7, "seven", "2021", "2020"), (8, "eight", "2021", "2020")], "Store_Number int, Store_Name string, End_dt string, Start_dt string")
+    details = {"Item": item, "Vendor": vendor, "Store": store}
+    full, groups = add_detail(df, details, ["Item_Number", "Vendor_Number", "Store_Number"], ["Item_Number"])
+    assert groups == ["Item_Number", "Item_Description", "Store_Name"]
+    got = {(r["Item_Description"], r["Store_Name"], r["Sales"]) for r in full.collect()}
+    assert got == {("new", "seven", 100), ("two", "eight", 200)}
+    short, groups = add_detail(df, details, ["Vendor_Number"], ["Vendor_Number", "Store_Number"], keep_number=False)
+    assert groups == ["Store_Number", "Vendor_Name"] and "Vendor_Number" not in short.columns
+    assert {r["Vendor_Name"] for r in short.collect()} == {"ten", "eleven"}
