@@ -129,8 +129,9 @@ def best_smoothing(spark, folder):
 
 def _start_sql(group: str) -> str:
     """CTEs: weeks numbered per series, two-sided yearly averages of the first 104, level, slope and figure."""
-    return f"""wk as materialized (select {group} as g, Sales as x, row_number() over (partition by {group} order by YrWk) as i
-        from ({_weekly_sql(group)}) w),
+    return f"""al as materialized (select {group} as g, Sales as x, row_number() over (partition by {group} order by YrWk) as i,
+        count(*) over (partition by {group}) as weeks from ({_weekly_sql(group)}) w),
+    wk as materialized (select g, x, i from al where weeks >= 104),
     tr as (select a.g, a.i, a.x, sum(b.x * case when abs(b.i - a.i) = 26 then 0.5 else 1 end) / 52 as t
         from wk a join wk b on a.g = b.g and abs(b.i - a.i) <= 26 where a.i between 27 and 78 group by a.g, a.i, a.x),
     lm as (select g, regr_intercept(t, i - 26) as l, regr_slope(t, i - 26) as s from tr group by g),
@@ -230,7 +231,8 @@ QUERIES = {
     "t04_slope_shifts": (slope_shifts, None),
     "t05_smoothing_start": (
         smoothing_start,
-        f"with {_start_sql('n_name')} select g as n_name, round(l, 4) as l_start, round(s, 4) as b_start, 53::int as start_time from lm",
+        f"with {_start_sql('n_name')} select al.g as n_name, round(l, 4) as l_start, round(s, 4) as b_start,"
+        " case when l is not null then 53::int end as start_time from al left join lm on lm.g = al.g where i = 1",
     ),
     "t05_smoothing_figures": (
         smoothing_figures,
