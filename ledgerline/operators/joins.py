@@ -8,6 +8,7 @@ after counting the rows.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,27 +19,41 @@ def _month_number(day: Column) -> Column:
     return F.year(day) * 12 + F.month(day)
 
 
-def _clamped_month(day: Column, low: Column, high: Column) -> Column:
+def _clamped_month(day: Column, low: int | Column, high: int | Column) -> Column:
     """Month number held to [low, high]; null days stay null.
 
     Clamping is monotone, so an interval's clamped month range still holds the clamped
     month of every day in it: any bounds give right results, close ones give few rows.
     """
     month = _month_number(day)
-    return F.when(month.isNotNull(), F.least(F.greatest(month, low), high))
+    as_column = [x if isinstance(x, Column) else F.lit(x) for x in (low, high)]
+    return F.when(month.isNotNull(), F.least(F.greatest(month, as_column[0]), as_column[1]))
 
 
-def _boundary_months(intervals: DataFrame, start: str, end: str) -> tuple[Column, Column]:
-    """Span of the months in which any interval begins or ends, open ends aside, as scalar subqueries."""
+@dataclass(frozen=True)
+class _MonthSpread:
+    """Bounds for the month numbers of a set of intervals, and their rows once spread over months."""
+
+    low: int
+    high: int
+    rows: int
+
+
+def _month_spread(intervals: DataFrame, start: str, end: str) -> _MonthSpread:
+    """One job over the intervals that brings back three numbers.
+
+    The bounds are the months in which any interval begins or ends, open ends aside,
+    and one more on each side.
+    """
     dates = F.array(
         F.when(F.year(start) > 1, _month_number(F.col(start))), F.when(F.year(end) < 2999, _month_number(F.col(end)))
     )
-    span = (
-        intervals.select(F.array_min(dates).alias("low"), F.array_max(dates).alias("high"))
-        .agg(F.struct(F.min("low").alias("low"), F.max("high").alias("high")).alias("span"))
-        .scalar()
-    )
-    return F.coalesce(span["low"] - 1, F.lit(0)), F.coalesce(span["high"] + 1, F.lit(0))
+    low_high = F.struct(F.min(F.array_min(dates)).alias("low"), F.max(F.array_max(dates)).alias("high"))
+    bounds = intervals.agg(low_high.alias("b")).scalar()
+    low, high = F.coalesce(bounds["low"] - 1, F.lit(0)), F.coalesce(bounds["high"] + 1, F.lit(0))
+    months = _clamped_month(F.col(end), low, high) - _clamped_month(F.col(start), low, high) + 1
+    found = intervals.agg(F.sum(months).alias("rows"), F.max(low).alias("low"), F.max(high).alias("high")).first()
+    return _MonthSpread(found["low"] or 0, found["high"] or 0, found["rows"] or 0)
 
 
 def interval_join(
@@ -50,7 +65,7 @@ def interval_join(
     end: str = "end_date",
     how: str = "left",
     by_month: bool = True,
-    max_broadcast_rows: int | None = None,
+    max_broadcast_rows: int = 500_000,
 ) -> DataFrame:
     """Join each fact to the dimension rows of its key in force on its day.
 
@@ -60,11 +75,10 @@ def interval_join(
     a fact meets at most the intervals that touch its month. A fact has one month, so
     no pair is found twice. The dimension's key and month columns are dropped.
 
-    For a written dimension give ``max_broadcast_rows``: the rows it has once spread over
-    months are counted, and it is broadcast up to that many and sort-merged beyond.
-    (Catalyst judges a table by its compressed files, before the spreading.) Without it
-    adaptive execution decides by the measured size of the shuffled dimension, which
-    suits one that is derived in the same plan.
+    The rows the dimension has once spread over months are counted first (Catalyst
+    would judge it by its compressed files): up to ``max_broadcast_rows`` it is
+    broadcast, beyond that sort-merged, where adaptive execution splits busy keys. The
+    count reads the dimension once more, so give a written one.
     """
     renamed = {d: f"__{d}" for d in on.values()}
     dim = dim.withColumnsRenamed(renamed)
@@ -72,17 +86,14 @@ def interval_join(
     in_force = (F.col(start) <= F.col(day)) & (F.col(end) >= F.col(day))
     if not by_month:
         return facts.join(dim, same_key & in_force, how).drop(*renamed.values())
-    low, high = _boundary_months(dim, start, end)
-    months = F.sequence(
-        _clamped_month(F.col(start), low, high), _clamped_month(F.col(end), low, high), F.lit(1)
-    )
-    valid = dim.filter(F.col(start) <= F.col(end)).withColumn("__dim_month", F.explode(months))
-    if max_broadcast_rows is not None:
-        small = valid.count() <= max_broadcast_rows
-        valid = F.broadcast(valid) if small else valid.hint("merge")
-    left = facts.withColumn("__fact_month", _clamped_month(F.col(day), low, high))
+    dim = dim.filter(F.col(start) <= F.col(end))
+    spread = _month_spread(dim, start, end)
+    first, last = (_clamped_month(F.col(c), spread.low, spread.high) for c in (start, end))
+    months = dim.withColumn("__dim_month", F.explode(F.sequence(first, last, F.lit(1))))
+    months = F.broadcast(months) if spread.rows <= max_broadcast_rows else months.hint("merge")
+    left = facts.withColumn("__fact_month", _clamped_month(F.col(day), spread.low, spread.high))
     same_month = F.col("__fact_month") == F.col("__dim_month")
-    joined = left.join(valid, same_key & same_month & in_force, how)
+    joined = left.join(months, same_key & same_month & in_force, how)
     return joined.drop("__fact_month", "__dim_month", *renamed.values())
 
 
@@ -99,15 +110,13 @@ def overlap_join(
 
     Both sides are spread over the months they touch, and a pair is taken only in its
     first common month, so pairs are found once and never by comparing all intervals
-    of a key with each other.
+    of a key with each other. Both sides are read more than once: give written ones.
     """
-    low, high = _boundary_months(
-        left.select(F.col(left_dates[0]).alias("s"), F.col(left_dates[1]).alias("e")), "s", "e"
-    )
+    start, end = left_dates
+    bounds = _month_spread(left.filter(F.col(start) <= F.col(end)), start, end)
 
     def spread(df: DataFrame, dates: tuple[str, str], side: str) -> DataFrame:
-        first = _clamped_month(F.col(dates[0]), low, high)
-        last = _clamped_month(F.col(dates[1]), low, high)
+        first, last = (_clamped_month(F.col(c), bounds.low, bounds.high) for c in dates)
         return (
             df.filter(F.col(dates[0]) <= F.col(dates[1]))
             .withColumn(f"__first_{side}", first)
@@ -116,7 +125,7 @@ def overlap_join(
 
     ids = [c for c in left_id if c not in keys]
     a = spread(left.select(*keys, *{*ids, *left_dates}), left_dates, "l")
-    b = spread(right, right_dates, "r")
+    b = spread(right, right_dates, "r").hint("merge")  # larger than its files once spread
     pairs = a.join(b, [*keys, "__month"]).filter(
         (F.col(left_dates[0]) <= F.col(right_dates[1]))
         & (F.col(left_dates[1]) >= F.col(right_dates[0]))

@@ -51,13 +51,13 @@ def priority_history_by_overlap(spark, folder):
     """The same history the general way: both kinds of interval, joined where they overlap."""
     daily = history.daily_dominant(priority_events(spark, folder), "o_custkey", "order_dt", ["priority"])
     both = history.stack_histories(daily, F.col("priority").isNotNull())
-    intervals = history.history_intervals(both, ["null_incld", "o_custkey"], "order_dt", "priority")
+    intervals = write_stage(history.history_intervals(both, ["null_incld", "o_custkey"], "order_dt", "priority"), "intervals")
     return history.merge_null_histories(intervals, "o_custkey", "priority")
 
 
 def priority_in_force(spark, folder) -> DataFrame:
     """Every order with the customer's priority in force on its date, filled and as seen."""
-    dated = priority_history(spark, folder).select("o_custkey", "value", "orig_value", "start_dt", "end_dt")
+    dated = write_stage(priority_history(spark, folder), "priority").drop("orig_start_dt")
     orders = priority_events(spark, folder)
     joined = interval_join(orders, dated, {"o_custkey": "o_custkey"}, "order_dt", "start_dt", "end_dt")
     return joined.select("o_orderkey", "o_custkey", "order_dt", "priority", "value", "orig_value")

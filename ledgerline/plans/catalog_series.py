@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import dates as D
 from ledgerline.operators import clusters, reshape, series, weekly
-from ledgerline.plans.catalog_relations import PRICED_SQL, STAR_SQL, priced_lines, star_sales, month_codes
+from ledgerline.plans.catalog_relations import (
+    MONTHS,
+    PRICED_SQL,
+    STAR_SQL,
+    STORE_MONTHS_SQL,
+    priced_lines,
+    star_sales,
+    store_months,
+)
 from ledgerline.plans.sqlforms import code_sql
 from ledgerline.plans.warehouse import MONEY
 from ledgerline.sources.tables import load_parquet
@@ -157,26 +165,15 @@ def _scores_sql(group: str) -> str:
 
 # --- clustering --------------------------------------------------------------------------------
 
-MONTHS = month_codes(date(1999, 8, 31), date(2001, 7, 31))
 PROFILE = [f"m{m}" for m in MONTHS]
 
 
 def profiles(spark, folder) -> DataFrame:
     """Monthly spend of each customer, as doubles."""
-    o = load_parquet(spark, folder, "orders").filter(F.col("o_orderdate") >= F.lit(date(1999, 8, 31)))
-    sums = o.groupBy("o_custkey", F.date_format("o_orderdate", "yyyyMM").alias("Date")).agg(
-        F.sum(F.col("o_totalprice").cast(MONEY)).alias("TotalSales")
-    )
-    wide = reshape.pivot_sum(sums, ["o_custkey"], "Date", "TotalSales", MONTHS, fill=0, prefix="m")
+    wide = store_months(spark, folder)
     return wide.withColumns({c: F.col(c).cast("double") for c in PROFILE})
 
 
-_PROFILE_SQL = "select o_custkey, " + ", ".join(
-    f"cast(coalesce(sum(case when strftime(o_orderdate, '%Y%m') = '{m}' then cast(o_totalprice as decimal(18,2)) end), 0) as double) as m{m}"
-    for m in MONTHS
-) + " from orders where o_orderdate >= date '1999-08-31' group by 1"
-
-
 def standardized(spark, folder):
     scaled = reshape.standardize(profiles(spark, folder), PROFILE)
     return scaled.select("o_custkey", *[F.round(c, 6).alias(c) for c in PROFILE])
@@ -251,13 +248,13 @@ QUERIES = {
     "t07_standardized": (
         standardized,
         "select o_custkey, " + ", ".join(f"round((m{m} - avg(m{m}) over ()) / nullif(stddev_samp(m{m}) over (), 0), 6) as m{m}" for m in MONTHS)
-        + f" from ({_PROFILE_SQL}) p",
+        + f" from ({STORE_MONTHS_SQL}) p",
     ),
     "t08_kmeans": (kmeans, None),
     "t09_elbow": (elbow, None),
     "t09_total_spread": (
         total_spread,
-        "select 1::int as k, round((" + " + ".join(f"var_pop(m{m})" for m in MONTHS) + f") * count(*) / 1e9, 2) as wss from ({_PROFILE_SQL}) p",
+        "select 1::int as k, round((" + " + ".join(f"var_pop(m{m})" for m in MONTHS) + f") * count(*) / 1e9, 2) as wss from ({STORE_MONTHS_SQL}) p",
     ),
     "t10_cluster_tree": (cluster_tree, None),
     "t11_per_store": (
