@@ -47,7 +47,8 @@ def elbow_curve(
     spark = df.sparkSession
     names = [f"s{i}" for i in range(len(columns))]
     points = df.select(*[F.col(f"`{c}`").cast("double").alias(n) for c, n in zip(columns, names)])
-    points = points.persist(StorageLevel.MEMORY_AND_DISK)
+    # Even partitions of a useful size: each sends one row per centre and iteration.
+    points = points.hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         pool_size = k_max * starts
         pool_rows = points.distinct().orderBy(F.xxhash64(F.lit(seed), *names), *names).limit(pool_size).collect()

@@ -243,13 +243,16 @@ def mean_shifts(
 
 @dataclass(frozen=True)
 class SmoothingPlan:
-    """What kind of Holt-Winters model: season form, season and trend on or off."""
+    """What kind of Holt-Winters model: season form, season and trend on or off, given start values."""
 
     period: int = 52
     multiplicative: bool = False
     trend: bool = True
     season: bool = True
     start_periods: int = 2
+    level_start: float | None = None
+    slope_start: float | None = None
+    season_start: tuple[float, ...] | None = None
 
     def __post_init__(self) -> None:
         if self.season and self.start_periods < 2:
@@ -264,7 +267,17 @@ def check_rates(alpha: float | None, beta: float | None, gamma: float | None) ->
 
 
 def start_state(y: np.ndarray, plan: SmoothingPlan) -> tuple[float, float, np.ndarray, int]:
-    """Level, slope, seasonal figure and the 1-based first fitted time."""
+    """Level, slope, seasonal figure and the 1-based first fitted time; start values of the plan go first."""
+    level, slope, figure, first = _estimated_start(y, plan)
+    return (
+        level if plan.level_start is None else plan.level_start,
+        slope if plan.slope_start is None else plan.slope_start,
+        figure if plan.season_start is None or not plan.season else np.array(plan.season_start, dtype=float),
+        first,
+    )
+
+
+def _estimated_start(y: np.ndarray, plan: SmoothingPlan) -> tuple[float, float, np.ndarray, int]:
     if not plan.season:
         if len(y) < 2:
             raise ValueError("series too short")
@@ -310,9 +323,20 @@ def smoothing_errors(y: np.ndarray, plan: SmoothingPlan, rates: np.ndarray) -> n
 
 
 def smoothing_start(
-    weekly: DataFrame, group_cols: Sequence[str], metric: str, plan: SmoothingPlan = SmoothingPlan(), order: str = "YrWk"
+    weekly: DataFrame,
+    group_cols: Sequence[str],
+    metric: str,
+    plan: SmoothingPlan = SmoothingPlan(),
+    alpha: float | None = None,
+    beta: float | None = None,
+    gamma: float | None = None,
+    order: str = "YrWk",
 ) -> DataFrame:
-    """Holt-Winters start state per series; a series that has none says why in ``error``."""
+    """Holt-Winters start state per series; a series that has none says why in ``error``.
+
+    Rates, where given, are checked first: they must be usable for a model.
+    """
+    check_rates(alpha, beta, gamma)
     group = list(group_cols)
     source = _series_frame(weekly, group, metric, order)
 

@@ -16,7 +16,6 @@ from ledgerline.plans.catalog_scalars import (
     INVOICE_DOUBLES,
     ITEM_HASH_SQL,
     STORE_HASH_SQL,
-    INVOICE_COLUMNS,
     invoice_sql,
     item_parts_sql,
     store_parts_sql,
@@ -197,7 +196,7 @@ def rows_closed(spark, folder):
 
 
 def orders_fact(spark, folder):
-    return W.refresh_orders(None, sales_feed(spark, folder, INVOICE_COLUMNS))
+    return W.refresh_orders(None, sales_feed(spark, folder, W.INVOICE_COLUMNS))
 
 
 def county(spark, folder):

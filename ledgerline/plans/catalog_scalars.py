@@ -15,7 +15,7 @@ from ledgerline.operators import reshape
 from ledgerline.operators.filters import all_in, in_years, value_list
 from ledgerline.plans.feed import FEED_COLUMNS, sales_feed, sales_feed_sql
 from ledgerline.plans.sqlforms import code_sql, retyped, title_sql, week_sql
-from ledgerline.plans.warehouse import MONEY, gallons, invoice_rows
+from ledgerline.plans.warehouse import INVOICE_COLUMNS, MONEY, gallons, invoice_rows
 from ledgerline.session import scratch_path, write_stage
 from ledgerline.sources import sinks
 from ledgerline.sources.tables import (
@@ -141,12 +141,6 @@ def details_inserted(spark, folder):
     return sinks.insert_absent(known, used, ["l_partkey"])
 
 
-INVOICE_COLUMNS = [
-    "item_invoice_nbr", "order_dt", "state_bottle_cost", "state_bottle_retail", "bottles_sold", "sale", "item_nbr",
-    "vendor_nbr", "store_nbr",
-]
-
-
 def orders_upserted(spark, folder):
     feed = sales_feed(spark, folder, INVOICE_COLUMNS)
     old = invoice_rows(feed.filter(F.col("order_dt") < F.lit(CUTOFF)))

@@ -6,14 +6,14 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import text as X
 from ledgerline.operators.history import build_history, daily_dominant, merge_history
 from ledgerline.operators.joins import interval_join
 from ledgerline.session import write_stage
-from ledgerline.sources.sinks import insert_absent, upsert
+from ledgerline.sources.sinks import insert_absent, publish, read_current, upsert
 
 
 @dataclass(frozen=True)
@@ -347,18 +347,23 @@ def store_view(store: DataFrame, store_address: DataFrame, county: DataFrame) ->
     )
 
 
-def build_warehouse(feed: Callable[[Sequence[str]], DataFrame], names: Sequence[str]) -> dict[str, DataFrame]:
+Feed = Callable[[Sequence[str]], DataFrame]
+
+# Hashed dimensions and the table their values are kept in.
+DETAILS = {"item": "item_detail", "store": "store_address"}
+
+
+def build_warehouse(feed: Feed, names: Sequence[str]) -> dict[str, DataFrame]:
     """The named dimension and lookup tables, each written once and read back.
 
     ``feed`` returns the feed with the wanted columns. A hashed dimension and its detail
     table come from the same daily values, which are written first.
     """
-    details = {"item": "item_detail", "store": "store_address"}
 
     def build(name: str) -> dict[str, DataFrame]:
         if name == "county":
             return {name: write_stage(county_lookup(feed(["county_nbr", "county_name"])), name)}
-        dim, detail = DIMENSIONS[name](), details.get(name)
+        dim, detail = DIMENSIONS[name](), DETAILS.get(name)
         daily = daily_values(feed(FEED_FOR[name]), dim)
         if detail is None:
             return {name: write_stage(refresh_dimension(None, daily, dim), name)}
@@ -368,7 +373,49 @@ def build_warehouse(feed: Callable[[Sequence[str]], DataFrame], names: Sequence[
             name: write_stage(refresh_dimension(None, daily, dim), name),
         }
 
-    wanted = [n for n in (*DIMENSIONS, "county") if n in names or details.get(n) in names]
+    wanted = [n for n in (*DIMENSIONS, "county") if n in names or DETAILS.get(n) in names]
     # The tables do not depend on each other; their jobs share the cluster.
     with ThreadPoolExecutor(len(wanted)) as pool:
         return {k: v for built in pool.map(build, wanted) for k, v in built.items()}
+
+
+INVOICE_COLUMNS = [
+    "item_invoice_nbr", "order_dt", "state_bottle_cost", "state_bottle_retail", "bottles_sold", "sale", "item_nbr",
+    "vendor_nbr", "store_nbr",
+]
+
+
+def refresh_warehouse(spark: SparkSession, feed: Feed, root: str, whole_feed: Feed | None = None) -> dict[str, int]:
+    """Apply a batch to the tables below ``root`` (or start them); returns each table's new version.
+
+    Every table's new state is written beside the old one and switched to when complete,
+    so a failed refresh leaves readers on the old state and can be run again. The county
+    lookup is made anew each time, from ``whole_feed`` where the batch is not all there is.
+    """
+
+    def current(name: str) -> DataFrame | None:
+        return read_current(spark, f"{root}/{name}")
+
+    def refresh(name: str) -> dict[str, int]:
+        if name == "county":
+            counties = (whole_feed or feed)(["county_nbr", "county_name"])
+            return {name: publish(county_lookup(counties), f"{root}/{name}")}
+        if name == "orders":
+            return {name: publish(refresh_orders(current(name), feed(INVOICE_COLUMNS)), f"{root}/{name}")}
+        dim, detail, done = DIMENSIONS[name](), DETAILS.get(name), {}
+        daily = daily_values(feed(FEED_FOR[name]), dim)
+        if detail is not None:
+            daily = write_stage(daily, f"{name}-daily")
+            done[detail] = publish(refresh_detail(current(detail), daily, dim), f"{root}/{detail}")
+        done[name] = publish(refresh_dimension(current(name), daily, dim), f"{root}/{name}")
+        return done
+
+    tables = [*DIMENSIONS, "county", "orders"]
+    with ThreadPoolExecutor(len(tables)) as pool:
+        return {k: v for done in pool.map(refresh, tables) for k, v in done.items()}
+
+
+def read_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The current tables below ``root``, named as :func:`orders_view` takes them."""
+    names = [*DIMENSIONS, *DETAILS.values(), "county", "orders"]
+    return {n: table for n in names if (table := read_current(spark, f"{root}/{n}")) is not None}

@@ -147,6 +147,13 @@ def test_smoothing_checks():
         series.start_state(np.zeros(20), series.SmoothingPlan(period=4, multiplicative=True))
 
 
+def test_given_start_values():
+    y = 20 + np.arange(30.0) + np.tile([1, -1, 3, -3.0], 8)[:30]
+    plan = series.SmoothingPlan(period=4, level_start=7.0, season_start=(1, 2, 3, 4))
+    level, slope, figure, first = series.start_state(y, plan)
+    assert (level, list(figure), first) == (7.0, [1, 2, 3, 4], 5) and np.isclose(slope, 1)
+
+
 def test_grid_and_best(spark):
     df = weekly(spark, lambda g, i: 50 + i + 10 * np.sin(i / 8) + (g == "b") * 3)
     scores = series.smoothing_grid(df, ["g"], "x", [0.2, 0.8], [0.1], [0.1, 0.4])
