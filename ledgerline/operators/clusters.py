@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from ledgerline.session import write_stage
+
+# The functions below travel with their job: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol="features", handleInvalid="error").transform(df)
@@ -47,8 +54,10 @@ def elbow_curve(
     spark = df.sparkSession
     names = [f"s{i}" for i in range(len(columns))]
     points = df.select(*[F.col(f"`{c}`").cast("double").alias(n) for c, n in zip(columns, names)])
-    # Even partitions of a useful size: each sends one row per centre and iteration.
-    points = points.hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
+    points = write_stage(points, "profiles")
+    # Each partition sends one row per centre and iteration, so there are not more than keep the cluster busy.
+    parts = min(2 * spark.sparkContext.defaultParallelism, -(-points.count() // 1000))
+    points = points.repartition(max(parts, 1)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         pool_size = k_max * starts
         pool_rows = points.distinct().orderBy(F.xxhash64(F.lit(seed), *names), *names).limit(pool_size).collect()

@@ -8,6 +8,7 @@ joins, and the numpy code below sees one short array at a time.
 from __future__ import annotations
 
 import bisect
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import product
@@ -15,10 +16,14 @@ from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The functions below travel with their job: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 COMPONENTS = ("actual", "seasonal", "trend", "remainder")
 
 
