@@ -116,9 +116,11 @@ def smoothing_figures(spark, folder):
     return each.select("n_name", "phase", F.round("figure", 4).alias("figure"))
 
 
-def smoothing_start_multiplicative(spark, folder):
+def smoothing_figures_multiplicative(spark, folder):
     plan = series.SmoothingPlan(multiplicative=True)
-    return series.smoothing_start(weekly_sales(spark, folder, ["c_mktsegment"]), ["c_mktsegment"], "Sales", plan)
+    start = series.smoothing_start(weekly_sales(spark, folder, ["c_mktsegment"]), ["c_mktsegment"], "Sales", plan)
+    each = start.select("c_mktsegment", F.round("l_start", 4).alias("l_start"), F.posexplode("s_start").alias("phase", "figure"))
+    return each.withColumn("figure", F.round("figure", 6))
 
 
 RATES = [0.1, 0.5, 0.9]
@@ -235,7 +237,11 @@ QUERIES = {
         smoothing_figures,
         f"with {_start_sql('n_name')} select g as n_name, cast(ph as int) as phase, round(f, 4) as figure from fg",
     ),
-    "t05_multiplicative_start": (smoothing_start_multiplicative, None),
+    "t05_multiplicative_figures": (
+        smoothing_figures_multiplicative,
+        f"with {_start_sql('c_mktsegment')} select tr.g as c_mktsegment, round(l, 4) as l_start, cast((i - 1) % 52 as int) as phase,"
+        " round(x / t / avg(x / t) over (partition by tr.g), 6) as figure from tr join lm on lm.g = tr.g",
+    ),
     "t06_smoothing_scores": (
         smoothing_scores,
         f"with recursive {_scores_sql('c_mktsegment')} select g as c_mktsegment, alpha, beta, gamma, round(sse, 2) as sse from sc",
