@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, decontaminate, lines
-from ledgerline.llm.common import table
+from ledgerline.llm import chat, decontaminate, html, language, lines
+from ledgerline.llm.common import held_out, table
 
 # --- 2: chat formatting -----------------------------------------------------------------------
 
@@ -110,8 +110,28 @@ select d.doc_id, len(d.w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hi
 from d left join covered using (doc_id) left join items using (doc_id)
 """
 
+# --- 7: HTML extraction -----------------------------------------------------------------------
+
+
+def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return html.extract_text(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+# --- 10: language ID --------------------------------------------------------------------------
+
+
+def op10_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from the documents that are not held out."""
+    docs = table(spark, folder, "documents")
+    found = language.identify(docs.select("doc_id", "text"), language.fit(docs), spans=False)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op2_chat_format": (op2_chat_format, OP2_SQL),
     "op6_line_spread": (op6_line_spread, OP6_SQL),
+    "op7_html_text": (op7_html_text, None),
     "op9_decontaminate": (op9_decontaminate, OP9_SQL),
+    "op10_language": (op10_language, None),
 }
