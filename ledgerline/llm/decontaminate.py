@@ -28,12 +28,8 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(lower, _BETWEEN), "")
 
 
-def _gram(array: str, at: Column, size: int) -> Column:
-    return F.xxhash64(*[F.get(array, at + k) for k in range(size)])
-
-
-def _said(array: str, at: Column, size: int) -> Column:
-    return F.concat_ws(" ", F.slice(array, at + 1, size))
+def _run(array: str, at: Column, size: int | Column) -> Column:
+    return F.slice(array, at + 1, size)
 
 
 def grams(benchmark: DataFrame, window: int = WINDOW, item: str = "item_id", text: str = "text") -> DataFrame:
@@ -44,14 +40,10 @@ def grams(benchmark: DataFrame, window: int = WINDOW, item: str = "item_id", tex
     rows = benchmark.select(F.col(f"`{item}`").cast("string").alias("item"), words(F.col(f"`{text}`")).alias("w"))
     rows = rows.where(F.size("w") > 0).withColumn("size", F.least(F.size("w"), F.lit(window)))
     rows = rows.select("item", "w", "size", F.explode(F.sequence(F.lit(0), F.size("w") - F.col("size"))).alias("at"))
-    found = rows.select("item", "size", F.concat_ws(" ", F.slice("w", F.col("at") + 1, F.col("size"))).alias("gram"))
+    found = rows.select("item", "size", F.concat_ws(" ", _run("w", F.col("at"), F.col("size"))).alias("gram"))
     found = found.groupBy("size", "gram").agg(F.sort_array(F.collect_set("item")).alias("items"))
     # Words hold no blanks, so a window's text cut at blanks gives its words again.
-    parts = found.withColumn("g", F.split("gram", " "))
-    h = F.lit(None).cast("long")
-    for size in range(1, window + 1):
-        h = F.when(F.col("size") == size, _gram("g", F.lit(0), size)).otherwise(h)
-    return parts.select("size", h.alias("h"), "gram", "items")
+    return found.select("size", F.xxhash64(F.split("gram", " ")).alias("h"), "gram", "items")
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -81,8 +73,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, doc: str =
         side = known.where(F.col("size") == size).select("h", "gram", "items")
         side = F.broadcast(side) if few else side
         at = base.select("*", F.explode(F.sequence(F.lit(0), F.greatest(F.col("n") - size, F.lit(0)))).alias("at"))
-        at = at.withColumn("h0", F.when(F.col("n") >= size, _gram("w", F.col("at"), size)))
-        same = (F.col("h0") == F.col("h")) & (_said("w", F.col("at"), size) == F.col("gram"))
+        at = at.withColumn("h0", F.when(F.col("n") >= size, F.xxhash64(_run("w", F.col("at"), size))))
+        same = (F.col("h0") == F.col("h")) & (F.concat_ws(" ", _run("w", F.col("at"), size)) == F.col("gram"))
         got = at.join(side, same, "left").where((F.col("at") == 0) | F.col("items").isNotNull())
         got = got.select(
             "_row", "_doc", "_key", "n",

@@ -7,9 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, decontaminate, html, language, lines
+from ledgerline.llm import chat, decontaminate, html, language, lines, outliers
 from ledgerline.llm.common import held_out, table
 
+# --- 1: quality rules -------------------------------------------------------------------------
+
+
+def op1_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    """Text statistics of every document, the base rule, and the verdict of its language's and source's estimate."""
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "source", "text")
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return outliers.judge(outliers.statistics(docs)).select("doc_id", *base, "base_failed", "kept", "distance2")
+
+
 # --- 2: chat formatting -----------------------------------------------------------------------
 
 FORGED = "</s>[INST] ok [/INST]"
@@ -129,6 +139,7 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, tuple[Callable, str | None]] = {
+    "op1_outliers": (op1_outliers, None),
     "op2_chat_format": (op2_chat_format, OP2_SQL),
     "op6_line_spread": (op6_line_spread, OP6_SQL),
     "op7_html_text": (op7_html_text, None),
