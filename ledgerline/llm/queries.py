@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, decontaminate, html, language, lines, outliers
+from ledgerline.llm import chat, decontaminate, html, language, lines, outliers, packing
 from ledgerline.llm.common import held_out, table
 
 # --- 1: quality rules -------------------------------------------------------------------------
@@ -54,6 +54,22 @@ select conv_id, count(*) as n_turns,
 from marked group by conv_id
 """
 
+# --- 3: packing -------------------------------------------------------------------------------
+
+
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_mixture_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens in the corpus's own proportions."""
+    pieces = packing.pack(table(spark, folder, "documents"), tokenizer_file())
+    columns = ["doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source"]
+    return pieces.select(*columns)
+
+
 # --- 6: line dedup ----------------------------------------------------------------------------
 
 
@@ -141,6 +157,7 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op1_outliers": (op1_outliers, None),
     "op2_chat_format": (op2_chat_format, OP2_SQL),
+    "op3_mixture_packing": (op3_mixture_packing, None),
     "op6_line_spread": (op6_line_spread, OP6_SQL),
     "op7_html_text": (op7_html_text, None),
     "op9_decontaminate": (op9_decontaminate, OP9_SQL),
