@@ -53,8 +53,10 @@ def held_out(column: str = "doc_id"):
 # --- texts in a batch -------------------------------------------------------------------------
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in pieces of about ``limit`` bytes of text, never less than a row."""
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES, rows: int = 1 << 30
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in pieces of about ``limit`` bytes of text and at most ``rows`` rows, never less than a row."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -63,7 +65,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         at = 0
         while at < batch.num_rows:
             done = ends[at - 1] if at else 0
-            to = max(int(np.searchsorted(ends, done + limit, "right")), at + 1)
+            to = min(max(int(np.searchsorted(ends, done + limit, "right")), at + 1), at + rows)
             yield batch.slice(at, to - at)
             at = to
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, decontaminate, html, language, lines, outliers, packing
+from ledgerline.llm import chat, classifier, decontaminate, html, language, lines, outliers, packing
 from ledgerline.llm.common import held_out, table
 
 # --- 1: quality rules -------------------------------------------------------------------------
@@ -70,6 +70,16 @@ def op3_mixture_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.select(*columns)
 
 
+# --- 5: quality classifier --------------------------------------------------------------------
+
+
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality score of every document, learned from labels of documents that are not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = classifier.classify(docs, classifier.fit(docs, table(spark, folder, "labels")))
+    return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 # --- 6: line dedup ----------------------------------------------------------------------------
 
 
@@ -158,6 +168,7 @@ QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op1_outliers": (op1_outliers, None),
     "op2_chat_format": (op2_chat_format, OP2_SQL),
     "op3_mixture_packing": (op3_mixture_packing, None),
+    "op5_quality": (op5_quality, None),
     "op6_line_spread": (op6_line_spread, OP6_SQL),
     "op7_html_text": (op7_html_text, None),
     "op9_decontaminate": (op9_decontaminate, OP9_SQL),
