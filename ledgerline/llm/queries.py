@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, classifier, decontaminate, html, language, lines, outliers, packing
+from ledgerline.llm import chat, classifier, decontaminate, html, language, lines, outliers, packing, repeats
 from ledgerline.llm.common import held_out, table
 
 # --- 1: quality rules -------------------------------------------------------------------------
@@ -70,6 +70,33 @@ def op3_mixture_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.select(*columns)
 
 
+# --- 4: substring dedup -----------------------------------------------------------------------
+
+
+def op4_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without words in windows of fifty that also start in an earlier document."""
+    clean = repeats.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    kept = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return clean.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+
+
+OP4_SQL = r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+win as (
+  select doc_id, p0, md5(array_to_string(w[p0 + 1:p0 + 50], ' ')) as g
+  from (select doc_id, w, unnest(range(len(w) - 49)) as p0 from d where len(w) >= 50)
+), late as (select doc_id, p0 from win join (select g, min(doc_id) as m from win group by g) using (g) where doc_id > m),
+gone as (select distinct doc_id, unnest(range(p0, p0 + 50)) as p from late),
+said as (select doc_id, unnest(w) as word, unnest(range(len(w))) as p from d),
+kept as (
+  select doc_id, string_agg(word, ' ' order by p) as said, count(*) as n
+  from said anti join gone using (doc_id, p) group by doc_id
+)
+select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed,
+  sha256(coalesce(said, '')) as kept_sha256
+from d left join kept using (doc_id)
+"""
+
 # --- 5: quality classifier --------------------------------------------------------------------
 
 
@@ -168,6 +195,7 @@ QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op1_outliers": (op1_outliers, None),
     "op2_chat_format": (op2_chat_format, OP2_SQL),
     "op3_mixture_packing": (op3_mixture_packing, None),
+    "op4_repeats": (op4_repeats, OP4_SQL),
     "op5_quality": (op5_quality, None),
     "op6_line_spread": (op6_line_spread, OP6_SQL),
     "op7_html_text": (op7_html_text, None),
