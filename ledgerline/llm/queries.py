@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, classifier, decontaminate, html, language, lines, outliers, packing, repeats
-from ledgerline.llm.common import held_out, table
+from ledgerline.llm import chat, classifier, decontaminate, html, jaccard, language, lines, outliers, packing, repeats
+from ledgerline.llm.common import LAST_ID, held_out, table
 
 # --- 1: quality rules -------------------------------------------------------------------------
 
@@ -135,6 +135,17 @@ select d.doc_id, case when d.text is null then null else coalesce(x.kept, '') en
 from documents d left join done x using (doc_id)
 """
 
+# --- 8: n-gram Jaccard join -------------------------------------------------------------------
+
+
+def op8_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the component of documents that share four fifths of their shingles."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = jaccard.similar_components(docs)
+    missing = F.col("_id") == LAST_ID
+    return found.select(F.when(~missing, F.col("_id")).alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
 # --- 9: benchmark decontamination -------------------------------------------------------------
 
 
@@ -199,6 +210,7 @@ QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op5_quality": (op5_quality, None),
     "op6_line_spread": (op6_line_spread, OP6_SQL),
     "op7_html_text": (op7_html_text, None),
+    "op8_jaccard": (op8_jaccard, None),
     "op9_decontaminate": (op9_decontaminate, OP9_SQL),
     "op10_language": (op10_language, None),
 }
