@@ -5,14 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, lines
+from ledgerline.llm import decontaminate, jaccard, language, lines, packing
 from ledgerline.llm.common import stage, table
+from ledgerline.llm.queries import tokenizer_file
+
+#: The share of a text's characters that its main language needs at least; a text half in another language stays.
+MIN_LANGUAGE_SHARE = 0.25
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without documents that are in no language: null texts, texts without a letter, scripts that nothing was learned of."""
+    found = language.identify(docs, language.fit(docs), spans=False)
+    return found.where((F.col("lang_pred") != language.UND) & (F.col("score") >= MIN_LANGUAGE_SHARE)).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines cut out of the texts; every document stays."""
-    return lines.spread_dedup(docs).select(*docs.columns)
+    out = lines.spread_dedup(docs)
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares four fifths of its five-word shingles by links."""
+    return jaccard.keep_one(docs)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,9 +37,17 @@ def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' tokens in sequences of 2048, mixed in the corpus's own proportions."""
+    return packing.pack(docs, tokenizer_file())
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language_id),
     ("line_dedup", line_dedup),
+    ("jaccard_join", near_duplicates),
     ("decontamination", benchmark_free),
+    ("packing", packed),
 ]
 
 

@@ -249,6 +249,8 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH, text: str =
     schema = T.StructType([*given, *[T.StructField(n, kinds[n]) for n in new]])
     names = [f.name for f in given]
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    # A string column that is passed on anyway is read from there, not sent twice.
+    source = text if text in names and docs.schema[text].dataType == T.StringType() else "_said"
 
     def flush(held: list) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -267,7 +269,7 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH, text: str =
         # Words may be of signs beyond ASCII alone: only for texts without an ASCII letter a closer look is due.
         ascii_letter = np.zeros(rows, bool)
         ascii_letter[owner[(x.data[x.starts] < 128)]] = True
-        said = b.column("_said")
+        said = b.column(source)
         letter = [bool(a) or any(c.isalpha() for c in (said[k].as_py() or "")) for k, a in enumerate(ascii_letter)]
         good = (total > 0) & np.array(letter, bool)
         pred = [model.langs[k] if g else UND for k, g in zip(top, good)]
@@ -289,8 +291,8 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH, text: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, words = [], 0
-        for b in slices(batches, "_said"):
-            letters = _Letters(b.column("_said"))
+        for b in slices(batches, source):
+            letters = _Letters(b.column(source))
             held.append((b, letters, word_scores(letters, shared.value)))
             words += len(letters.starts)
             if words >= PATH_WORDS:
@@ -299,5 +301,5 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH, text: str =
         if held:
             yield from flush(held)
 
-    read = docs.select(*[F.col(f"`{n}`") for n in names], F.col(f"`{text}`").cast("string").alias("_said"))
-    return read.mapInArrow(run, schema)
+    extra = [F.col(f"`{text}`").cast("string").alias("_said")] if source == "_said" else []
+    return docs.select(*[F.col(f"`{n}`") for n in names], *extra).mapInArrow(run, schema)
