@@ -18,8 +18,10 @@ BROADCAST_GRAMS = 500_000
 #: The most document keys that are broadcast to filter the documents; more are joined by a shuffle.
 BROADCAST_KEYS = 500_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# The same before A-Z are lower-cased.
+_CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_CASED_BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
@@ -122,10 +124,10 @@ def decontaminate(
     keyed = docs.withColumns({"_id": id_or_last(f"`{doc}`"), "_key": text_key(f"`{text}`")})
     if action == "documents":
         return keyed.join(side.select("_id", "_key"), ["_id", "_key"], "left_anti").select(*[f"`{c}`" for c in docs.columns])
-    pieces = F.regexp_extract_all(F.col(f"`{text}`"), F.lit(f"({_WORD}|{_BETWEEN})"), 1)
+    pieces = F.regexp_extract_all(F.col(f"`{text}`"), F.lit(f"({_CASED_WORD}|{_CASED_BETWEEN})"), 1)
     joined = keyed.join(side, ["_id", "_key"], "left").withColumn("_p", pieces)
     # Words and what is between them take turns; the first piece is a word or not.
-    lead = F.when(F.regexp_like(F.get("_p", F.lit(0)), F.lit(f"^{_BETWEEN}")), 1).otherwise(0)
+    lead = F.when(F.regexp_like(F.get("_p", F.lit(0)), F.lit(f"^{_CASED_BETWEEN}")), 1).otherwise(0)
     joined = joined.withColumn("_lead", lead)
 
     def hit(i: Column) -> Column:
