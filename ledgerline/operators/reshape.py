@@ -38,12 +38,9 @@ def pivot_metrics(
     )
 
 
-def distinct_values(df: DataFrame, column: str, limit: int = 10_000) -> list:
-    """Values of a column for use as pivot columns; refuses a set too large to be columns."""
-    found = [r[0] for r in df.select(column).distinct().orderBy(column).limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"{column} has more than {limit} values")
-    return found
+def pivot_values(df: DataFrame, column: str) -> list:
+    """The values of a column in order, for use as pivot columns: for columns of few values, such as months."""
+    return [r[0] for r in df.select(column).distinct().orderBy(column).collect()]
 
 
 def unpivot(df: DataFrame, ids: Sequence[str], columns: Sequence[str], key: str, value: str) -> DataFrame:
@@ -66,7 +63,7 @@ def scale_minmax(df: DataFrame, column: str, out: str, keep_bounds: bool = False
     """Scale a column to [-1, 1]; a column without variation is an error."""
     b = _bounds(df, column)
     low, high = b["low"], b["high"]
-    scaled = F.when(low == high, F.raise_error(F.lit("There is no variation of Data"))).otherwise(
+    scaled = F.when(low == high, F.raise_error(F.lit("all values of the column are alike"))).otherwise(
         F.lit(2.0) * (F.col(column) - low) / (high - low) - 1
     )
     df = df.withColumn(out, scaled)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -155,7 +155,8 @@ def days_filled(spark, folder):
     daily = o.filter("c_nationkey = 3").groupBy(_day("o_orderdate").alias("Date")).agg(
         F.count("*").alias("Bottles"), F.sum(F.col("o_totalprice").cast(MONEY)).alias("Total_Sales")
     )
-    spine = weekly.day_spine(spark, date(1995, 1, 2), date(2001, 7, 31), weekends=False)
+    bounds = _t(spark, folder, "orders").agg(F.min(_day("o_orderdate")), F.max(_day("o_orderdate"))).first()
+    spine = weekly.day_spine(spark, *bounds, weekends=False)
     return weekly.fill_calendar(daily, spine, ["Bottles", "Total_Sales"])
 
 
@@ -391,10 +392,14 @@ _YTD = ("w between 200001 and 200024", "w between 199901 and 199924")
 _WEEK = ("w = 200024", "w = 199924")
 
 
-def star_sales(spark, folder, first: date, last: date) -> DataFrame:
+def star_sales(spark, folder, first: date | None = None, last: date | None = None) -> DataFrame:
     """Dated sales of the chosen items and stores, with the columns reports group by."""
     line = _t(spark, folder, "lineitem").withColumn("Date", _day("l_shipdate"))
-    facts = line.filter(F.col("Date").between(F.lit(first), F.lit(last))).select(
+    if first is not None:
+        line = line.filter(F.col("Date") >= F.lit(first))
+    if last is not None:
+        line = line.filter(F.col("Date") <= F.lit(last))
+    facts = line.select(
         "Date", F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("s_suppkey"),
         F.col("l_extendedprice").cast(MONEY).alias("Sales"),
     )
@@ -506,26 +511,37 @@ def promo_by_day(spark, folder):
     )
 
 
-def month_codes(first: date, last: date) -> list[str]:
-    days = (first + timedelta(days=i) for i in range((last - first).days + 1))
-    return sorted({d.strftime("%Y%m") for d in days})
+MONTHS_FROM = date(1999, 8, 31)
 
 
-MONTHS = month_codes(date(1999, 8, 31), date(2001, 7, 31))
-
-
-def store_months(spark, folder):
-    """Sales of each customer per month from a day on, one column per month."""
-    o = _t(spark, folder, "orders").filter(F.col("o_orderdate") >= F.lit(date(1999, 8, 31)))
+def store_months(spark, folder, since: date = MONTHS_FROM):
+    """Sales of each customer per month from a day on, one column for each month that has any."""
+    o = _t(spark, folder, "orders").filter(F.col("o_orderdate") >= F.lit(since))
     # The pivot sums, so the sums per month need no aggregation (and shuffle) of their own.
     sales = o.select("o_custkey", F.date_format("o_orderdate", "yyyyMM").alias("Date"), F.col("o_totalprice").cast(MONEY).alias("Sales"))
-    return reshape.pivot_sum(sales, ["o_custkey"], "Date", "Sales", MONTHS, fill=0, prefix="m")
+    return reshape.pivot_sum(sales, ["o_custkey"], "Date", "Sales", reshape.pivot_values(sales, "Date"), fill=0, prefix="m")
+
+
+def store_months_total(spark, folder):
+    """The pivot's grand total: what all orders since the day sum up to."""
+    wide = store_months(spark, folder)
+    months = [c for c in wide.columns if c != "o_custkey"]
+    return wide.select(sum((F.col(c) for c in months[1:]), F.col(months[0])).alias("s")).agg(
+        F.sum("s").cast("double").alias("total"), F.count("*").alias("customers")
+    )
 
 
-STORE_MONTHS_SQL = "select o_custkey, " + ", ".join(
-    f"cast(coalesce(sum(case when strftime(o_orderdate, '%Y%m') = '{m}' then cast(o_totalprice as decimal(18,2)) end), 0) as double) as m{m}"
-    for m in MONTHS
-) + " from orders where o_orderdate >= date '1999-08-31' group by 1"
+_SINCE = f"from orders where o_orderdate >= date '{MONTHS_FROM}'"
+STORE_MONTHS_SQL = f"""select o_custkey, cast(coalesce(columns('^m[0-9]{{6}}$'), 0) as double) from (pivot (
+    select o_custkey, 'm' || strftime(o_orderdate, '%Y%m') as m, cast(o_totalprice as decimal(18,2)) as s {_SINCE})
+    on m using sum(s) group by o_custkey)"""
+_STORE_MONTHS_TOTAL_SQL = f"""select cast(sum(cast(o_totalprice as decimal(18,2))) as double) as total,
+    count(distinct o_custkey) as customers {_SINCE}"""
+#: A row per customer and month, zeros included: what the wide table holds, for checks over all its columns.
+MONTH_CELLS_SQL = f"""select c.o_custkey, m.m, coalesce(s, 0) as s from (select distinct o_custkey {_SINCE}) c
+    cross join (select distinct strftime(o_orderdate, '%Y%m') as m {_SINCE}) m
+    left join (select o_custkey, strftime(o_orderdate, '%Y%m') as m, cast(sum(cast(o_totalprice as decimal(18,2))) as double) as s
+        {_SINCE} group by 1, 2) x on x.o_custkey = c.o_custkey and x.m = m.m"""
 
 
 def item_months(spark, folder):
@@ -612,7 +628,8 @@ QUERIES = {
     "j09_calendar_join": (
         days_filled,
         retyped(
-            f"""with d as (select cast(range as date) as Date from range(date '1995-01-02', date '2001-08-01', interval 1 day)),
+            f"""with d as (select cast(range as date) as Date from range(
+                (select min({_DAY}) from orders), (select max({_DAY}) + interval 1 day from orders), interval 1 day)),
             s as (select {_DAY} as Date, count(*) as b, sum({_DEC.format("o_totalprice")}) as t from orders join customer
                 on o_custkey = c_custkey where c_nationkey = 3 group by 1)
             select d.Date, coalesce(b, 0) as Bottles, coalesce(t, 0) as Total_Sales, dayname(d.Date) as wkday,
@@ -778,6 +795,7 @@ QUERIES = {
     ),
     "d11_weekday_matrix": (weekday_matrix, _WEEKDAY_SQL),
     "d12_store_months": (store_months, STORE_MONTHS_SQL),
+    "d12_store_months_total": (store_months_total, _STORE_MONTHS_TOTAL_SQL),
     "d13_item_months": (item_months, _ITEM_MONTHS_SQL),
     "d15_overview": (overview_table, _OVERVIEW_SQL),
 }

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import dates as D
 from ledgerline.operators import clusters, reshape, series, weekly
 from ledgerline.plans.catalog_relations import (
-    MONTHS,
+    MONTH_CELLS_SQL,
     PRICED_SQL,
     STAR_SQL,
     STORE_MONTHS_SQL,
@@ -20,6 +18,7 @@ from ledgerline.plans.catalog_relations import (
 )
 from ledgerline.plans.sqlforms import code_sql
 from ledgerline.plans.warehouse import MONEY
+from ledgerline.session import write_stage
 from ledgerline.sources.tables import load_parquet
 
 METRIC = {"Sales": "Sales"}
@@ -68,7 +67,7 @@ def relative_growth(spark, folder):
 
 def performance_table(spark, folder):
     """The dashboard's performance tab: filter, weekly totals, decomposition, relative growth, week end dates."""
-    chosen = star_sales(spark, folder, date(1995, 1, 1), date(2001, 7, 31))
+    chosen = star_sales(spark, folder)
     totals = weekly.weekly_totals(chosen, ["p_type"], "Date", METRIC)
     parts = series.decompose_groups(totals, ["p_type"], "Sales")
     dated = parts.withColumn("Date", D.week_end(code=F.col("YrWk")))
@@ -84,7 +83,7 @@ _ACTUALS_SQL = f"""select p_type as Grouping, w as YrWk,
     cast(cast(least(make_date(w // 100, 12, 31), make_date(w // 100, 1, 1) + 7 * cast(w % 100 as int) - 1) as date) as varchar) as Date,
     round(s / first_value(s) over (partition by p_type order by w), 6) as actual from
     (select p_type, {code_sql("Date")} as w, cast(sum(Sales) as double) as s from ({STAR_SQL}) p
-    where Date <= date '2001-07-31' group by 1, 2) x"""
+    group by 1, 2) x"""
 
 
 def trend_bands(spark, folder):
@@ -167,37 +166,75 @@ def _scores_sql(group: str) -> str:
 
 # --- clustering --------------------------------------------------------------------------------
 
-PROFILE = [f"m{m}" for m in MONTHS]
+def profiles(spark, folder) -> tuple[DataFrame, list[str]]:
+    """Monthly spend of each customer, as doubles, and the names of the months."""
+    wide = store_months(spark, folder)
+    months = [c for c in wide.columns if c != "o_custkey"]
+    return wide.withColumns({c: F.col(c).cast("double") for c in months}), months
 
 
-def profiles(spark, folder) -> DataFrame:
-    """Monthly spend of each customer, as doubles."""
-    wide = store_months(spark, folder)
-    return wide.withColumns({c: F.col(c).cast("double") for c in PROFILE})
+def _scaled(spark, folder) -> tuple[DataFrame, list[str]]:
+    """The standardized profiles, written once: the models read them several times."""
+    wide, months = profiles(spark, folder)
+    return write_stage(reshape.standardize(write_stage(wide, "profiles"), months).na.fill(0.0, months), "scaled"), months
 
 
 def standardized(spark, folder):
-    scaled = reshape.standardize(profiles(spark, folder), PROFILE)
-    return scaled.select("o_custkey", *[F.round(c, 6).alias(c) for c in PROFILE])
+    wide, months = profiles(spark, folder)
+    return reshape.standardize(wide, months).select("o_custkey", *[F.round(c, 6).alias(c) for c in months])
 
 
 def kmeans(spark, folder):
-    scaled = reshape.standardize(profiles(spark, folder), PROFILE).na.fill(0.0, PROFILE)
-    return clusters.kmeans_clusters(scaled, PROFILE).select("o_custkey", "cluster")
+    return clusters.kmeans_clusters(*_scaled(spark, folder)).select("o_custkey", "cluster")
+
+
+def kmeans_checked(spark, folder):
+    """What must hold of the clusters: each row is nearest to its own centre, and spreads add up.
+
+    Columns: customers, clusters, misplaced (rows nearer to another cluster's mean by more
+    than rounding), spread (within and between the clusters together).
+    """
+    scaled, months = _scaled(spark, folder)
+    rows = write_stage(clusters.kmeans_clusters(scaled, months).select("o_custkey", "cluster", F.array(*months).alias("x")), "clustered")
+    means = rows.groupBy("cluster").agg(F.array(*[F.avg(F.get("x", F.lit(i))) for i in range(len(months))]).alias("mean"), F.count("*").alias("n"))
+    means = means.agg(F.collect_list(F.struct("cluster", "mean", "n")).alias("means"))  # one row of k means
+    square = lambda a, b: F.aggregate(F.zip_with(a, b, lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda s, v: s + v)
+    wide = rows.crossJoin(F.broadcast(means))
+    own = F.get(F.filter("means", lambda m: m["cluster"] == F.col("cluster")), F.lit(0))["mean"]
+    nearest = F.array_min(F.transform("means", lambda m: square(F.col("x"), m["mean"])))
+    wide = wide.select(square(F.col("x"), own).alias("own"), nearest.alias("nearest"), "cluster", own.alias("mean"))
+    # The standardized columns have the mean zero, so a cluster's distance from the centre is its mean's length.
+    apart = F.aggregate("mean", F.lit(0.0), lambda s, v: s + v * v)
+    return wide.agg(
+        F.count("*").alias("customers"),
+        F.count_distinct("cluster").alias("clusters"),
+        F.sum((F.col("own") > F.col("nearest") * 1.05 + 1e-6).cast("long")).alias("misplaced"),
+        F.round(F.sum(F.col("own") + apart), 3).alias("spread"),
+    )
 
 
 def cluster_tree(spark, folder):
-    scaled = reshape.standardize(profiles(spark, folder), PROFILE).na.fill(0.0, PROFILE)
-    return clusters.tree_clusters(scaled, PROFILE).select("o_custkey", "cluster")
+    return clusters.tree_clusters(*_scaled(spark, folder)).select("o_custkey", "cluster")
 
 
 def elbow(spark, folder):
-    return clusters.elbow_curve(profiles(spark, folder), PROFILE)
+    return clusters.elbow_curve(*profiles(spark, folder))
+
+
+def elbow_checked(spark, folder):
+    """The elbow curve as a check: it has all its points, starts at the total spread and never rises."""
+    curve = elbow(spark, folder)
+    rises = F.col("wss") > F.lag("wss").over(Window.orderBy("k")) * (1 + 1e-9)  # one row per k
+    return curve.select("k", "wss", rises.alias("rises")).agg(
+        F.count("*").alias("points"),
+        F.round(F.max(F.when(F.col("k") == 1, F.col("wss"))) / 1e9, 2).alias("first"),
+        F.sum(F.coalesce(F.col("rises"), F.lit(False)).cast("long")).alias("rises"),
+    )
 
 
 def total_spread(spark, folder):
     """The curve's first point: squared distance of all profiles from their mean, in billions."""
-    one = clusters.elbow_curve(profiles(spark, folder), PROFILE, k_max=1, starts=1)
+    one = clusters.elbow_curve(*profiles(spark, folder), k_max=1, starts=1)
     return one.select("k", F.round(F.col("wss") / 1e9, 2).alias("wss"))
 
 
@@ -253,14 +290,25 @@ QUERIES = {
     ),
     "t07_standardized": (
         standardized,
-        "select o_custkey, " + ", ".join(f"round((m{m} - avg(m{m}) over ()) / nullif(stddev_samp(m{m}) over (), 0), 6) as m{m}" for m in MONTHS)
-        + f" from ({STORE_MONTHS_SQL}) p",
+        "select o_custkey, round((columns('^m[0-9]{6}$') - avg(columns('^m[0-9]{6}$')) over ())"
+        f" / nullif(stddev_samp(columns('^m[0-9]{{6}}$')) over (), 0), 6) from ({STORE_MONTHS_SQL}) p",
     ),
     "t08_kmeans": (kmeans, None),
+    "t08_kmeans_checked": (
+        kmeans_checked,
+        "select count(distinct o_custkey) as customers, 5::bigint as clusters, 0::bigint as misplaced,"
+        " round((count(distinct o_custkey) - 1) * count(distinct m)::double, 3) as spread"
+        f" from (select *, var_pop(s) over (partition by m) as v from ({MONTH_CELLS_SQL}) p) q where v > 0",
+    ),
     "t09_elbow": (elbow, None),
+    "t09_elbow_checked": (
+        elbow_checked,
+        f"select 15::bigint as points, round(sum(v) / 1e9, 2) as first, 0::bigint as rises"
+        f" from (select m, var_pop(s) * count(*) as v from ({MONTH_CELLS_SQL}) p group by m) q",
+    ),
     "t09_total_spread": (
         total_spread,
-        "select 1::int as k, round((" + " + ".join(f"var_pop(m{m})" for m in MONTHS) + f") * count(*) / 1e9, 2) as wss from ({STORE_MONTHS_SQL}) p",
+        f"select 1::int as k, round(sum(v) / 1e9, 2) as wss from (select m, var_pop(s) * count(*) as v from ({MONTH_CELLS_SQL}) p group by m) q",
     ),
     "t10_cluster_tree": (cluster_tree, None),
     "t11_per_store": (

@@ -37,13 +37,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests on one machine) a temporary folder is
-    made and remembered on the session.
+    Where the setting is absent, a local master (tests on one machine) gets a temporary
+    folder, remembered on the session; any other raises, as its executors could not
+    read what the driver or another executor wrote there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("ledgerline.scratch.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="ledgerline-")
         spark.conf.set("ledgerline.scratch.dir", root)
     return root.rstrip("/")

@@ -76,10 +76,11 @@ def _versions(spark: SparkSession, root: str) -> list[int]:
 def publish(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> int:
     """Write ``df`` as the next version below ``root``; readers switch when it is complete.
 
-    The plan of ``df`` may read the current version: nothing it reads is overwritten.
+    The plan of ``df`` may read the current version: nothing is ever overwritten. Of two
+    writers that chose the same number, the later one fails.
     """
     version = max(_versions(df.sparkSession, root), default=0) + 1
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{root}/version={version}")
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(f"{root}/version={version}")
     return version
 
 

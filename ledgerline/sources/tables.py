@@ -66,11 +66,20 @@ def load_csv(
     columns: Sequence[str] | None = None,
     delimiter: str = ",",
     date_format: str = "yyyy-MM-dd",
+    multi_line: bool = False,
+    check_header: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """A header CSV as (good rows, rejected lines), typed by ``schema`` and never by inference.
 
-    A line that does not fit the schema goes whole to the rejected side.
+    A record that does not fit the schema goes whole to the rejected side. With
+    ``multi_line`` a quoted field may hold line breaks; a file is then one task's, so feeds
+    of that kind should come as many files. With ``check_header`` a header that is not the schema's
+    column names in order raises.
     """
+    if check_header:
+        first = spark.read.option("sep", delimiter).option("escape", '"').option("header", True).csv(path).columns
+        if first != schema.names:
+            raise ValueError(f"the header has {first}, the schema {schema.names}")
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     raw = (
         spark.read.schema(full)
@@ -80,6 +89,7 @@ def load_csv(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("dateFormat", date_format)
         .option("escape", '"')
+        .option("multiLine", multi_line)
         .csv(path)
     )
     # The reader converts only the columns a query uses, and so would pass a line whose bad
@@ -90,14 +100,15 @@ def load_csv(
 
 
 def load_csv_head(
-    spark: SparkSession, path: str, schema: T.StructType, overrides: Mapping[str, str], rows: int = 1_000_000
+    spark: SparkSession, path: str, schema: T.StructType, overrides: Mapping[str, str], rows: int | None
 ) -> DataFrame:
-    """At most ``rows`` rows of a CSV, some columns read as other types (mixed ones as text)."""
+    """A CSV with some columns read as other types (mixed ones as text), all of it or ``rows`` rows at most."""
     fields = [
         T.StructField(f.name, T.DataType.fromDDL(overrides[f.name]) if f.name in overrides else f.dataType)
         for f in schema.fields
     ]
-    return spark.read.schema(T.StructType(fields)).option("header", True).option("escape", '"').csv(path).limit(rows)
+    read = spark.read.schema(T.StructType(fields)).option("header", True).option("escape", '"').csv(path)
+    return read if rows is None else read.limit(rows)
 
 
 def load_lookups(spark: SparkSession, paths: Mapping[str, str], schemas: Mapping[str, T.StructType]) -> dict[str, DataFrame]:

@@ -94,9 +94,7 @@ def test_pivots(spark):
     assert rows(reshape.pivot_sum(df, ["g"], "k", "m", ["a", "b"])) == [(1, 2, 3), (2, 4, None)]
     wide = reshape.pivot_metrics(df, ["g"], "k", ["n", "m"], ["a", "b"])
     assert wide.columns == ["g", "a_m", "a_n", "b_m", "b_n"] and rows(wide) == [(1, 2, 5, 3, 6), (2, 4, 7, 0, 0)]
-    assert reshape.distinct_values(df, "k") == ["a", "b"]
-    with pytest.raises(ValueError):
-        reshape.distinct_values(df, "k", limit=1)
+    assert reshape.pivot_values(df, "k") == ["a", "b"]
 
 
 def test_spine(spark):
