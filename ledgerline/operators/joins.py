@@ -8,12 +8,14 @@ after counting the rows.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.session import write_stage
+
 
 def _month_number(day: Column) -> Column:
     return F.year(day) * 12 + F.month(day)
@@ -30,30 +32,63 @@ def _clamped_month(day: Column, low: int | Column, high: int | Column) -> Column
     return F.when(month.isNotNull(), F.least(F.greatest(month, as_column[0]), as_column[1]))
 
 
+#: Intervals of a key beyond which its rows are matched by month as well.
+BUSY_INTERVALS = 128
+#: Estimated bytes of a dimension up to which it is broadcast.
+BROADCAST_BYTES = 64 << 20
+
+
+def _estimated_bytes(df: DataFrame, rows: int) -> int:
+    """Rows times a width per row: 40 bytes for a text, 8 for anything else, 16 for the row itself."""
+    return rows * (16 + sum(40 if kind == "string" else 8 for _, kind in df.dtypes))
+
+
 @dataclass(frozen=True)
-class _MonthSpread:
-    """Bounds for the month numbers of a set of intervals, and their rows once spread over months."""
+class _Busy:
+    """The keys with many intervals, bounds for these intervals' months, and the rows of all intervals once those are spread."""
 
+    keys: DataFrame | None
     low: int
     high: int
     rows: int
 
 
-def _month_spread(intervals: DataFrame, start: str, end: str) -> _MonthSpread:
-    """One job over the intervals that brings back three numbers.
+def _busy(intervals: DataFrame, keys: Sequence[str], start: str, end: str, limit: int) -> _Busy:
+    """One job over the intervals, which brings back five numbers; the busy keys themselves are written.
 
-    The bounds are the months in which any interval begins or ends, open ends aside,
-    and one more on each side.
+    Per key: how many intervals there are, and the first and last month in which any begins or
+    ends, open ends aside. An interval's months are counted as they will be once they are held to the
+    bounds of all busy keys, so the estimate of rows is an upper one.
     """
     dates = F.array(
         F.when(F.year(start) > 1, _month_number(F.col(start))), F.when(F.year(end) < 2999, _month_number(F.col(end)))
     )
-    low_high = F.struct(F.min(F.array_min(dates)).alias("low"), F.max(F.array_max(dates)).alias("high"))
-    bounds = intervals.agg(low_high.alias("b")).scalar()
-    low, high = F.coalesce(bounds["low"] - 1, F.lit(0)), F.coalesce(bounds["high"] + 1, F.lit(0))
-    months = _clamped_month(F.col(end), low, high) - _clamped_month(F.col(start), low, high) + 1
-    found = intervals.agg(F.sum(months).alias("rows"), F.max(low).alias("low"), F.max(high).alias("high")).first()
-    return _MonthSpread(found["low"] or 0, found["high"] or 0, found["rows"] or 0)
+    per_key = intervals.groupBy(*keys).agg(
+        F.count("*").alias("n"), F.min(F.array_min(dates)).alias("low"), F.max(F.array_max(dates)).alias("high")
+    )
+    per_key = write_stage(per_key.withColumn("busy", F.col("n") > limit), "intervals_per_key")
+    busy = F.col("busy")
+    found = per_key.agg(
+        F.sum("n").alias("all"), F.sum(F.when(busy, F.col("n"))).alias("n"), F.count(F.when(busy, 1)).alias("keys"),
+        F.min(F.when(busy, F.col("low"))).alias("low"), F.max(F.when(busy, F.col("high"))).alias("high"),
+    ).first()
+    low, high = (found["low"] or 1) - 1, (found["high"] or 0) + 1
+    # Consecutive intervals of a key share a month at most, and no key touches more months than there are.
+    spread = (found["n"] or 0) + found["keys"] * max(high - low + 1, 0)
+    marked = per_key.filter(busy).select(*keys, F.lit(True).alias("__busy")) if found["keys"] else None
+    return _Busy(marked, low, high, (found["all"] or 0) + spread)
+
+
+def _spread(df: DataFrame, keys: Sequence[str], busy: _Busy, first: Column, last: Column, out: str) -> DataFrame:
+    """Rows of busy keys once for each month from ``first`` to ``last``; all others once, with month 0."""
+    if busy.keys is None:
+        return df.withColumn(out, F.lit(0))
+    marked = df.join(busy.keys, list(keys), "left")
+    low, high = (F.when(F.col("__busy"), _clamped_month(c, busy.low, busy.high)).otherwise(0) for c in (first, last))
+    if first is last:
+        return marked.withColumn(out, low).drop("__busy")
+    # A null end gives no months and so no row: such an interval holds no day.
+    return marked.withColumn(out, F.explode(F.sequence(low, high, F.lit(1)))).drop("__busy")
 
 
 def interval_join(
@@ -64,36 +99,34 @@ def interval_join(
     start: str = "start_date",
     end: str = "end_date",
     how: str = "left",
-    by_month: bool = True,
-    max_broadcast_rows: int = 500_000,
+    busy_intervals: int = BUSY_INTERVALS,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join each fact to the dimension rows of its key in force on its day.
 
-    ``on`` maps fact key to dimension key. A key whose value changes often has
-    thousands of intervals; matching on the key alone would test each of its facts
-    against all of them. With ``by_month`` both sides also match on a month number, so
-    a fact meets at most the intervals that touch its month. A fact has one month, so
-    no pair is found twice. The dimension's key and month columns are dropped.
+    ``on`` maps fact key to dimension key. Most keys have few intervals: their facts are
+    joined on the key and tested against them. A key whose value changes often has thousands;
+    both its sides also match on a month number, so a fact meets at most the intervals that touch
+    its month. Short intervals touch a month or two, so the dimension hardly grows. A fact has one month,
+    so no pair is found twice. The dimension's key and month columns are dropped.
 
-    The rows the dimension has once spread over months are counted first (Catalyst
-    would judge it by its compressed files): up to ``max_broadcast_rows`` it is
-    broadcast, beyond that sort-merged, where adaptive execution splits busy keys. The
-    count reads the dimension once more, so give a written one.
+    The intervals are counted per key first, in one job over the dimension; a dimension of up to
+    ``max_broadcast_bytes``, as estimated from its rows and columns, is broadcast, a larger one
+    sort-merged, where adaptive execution splits busy keys.
     """
     renamed = {d: f"__{d}" for d in on.values()}
-    dim = dim.withColumnsRenamed(renamed)
+    dim = dim.filter(F.col(start) <= F.col(end))
+    busy = _busy(dim, list(on.values()), start, end, busy_intervals)
+    months = _spread(dim, list(on.values()), busy, F.col(start), F.col(end), "__dim_month").withColumnsRenamed(renamed)
+    months = F.broadcast(months) if _estimated_bytes(months, busy.rows) <= max_broadcast_bytes else months.hint("merge")
+    of_facts = busy
+    if busy.keys is not None:
+        of_facts = replace(busy, keys=busy.keys.withColumnsRenamed({d: f for f, d in on.items()}))
+    when = F.col(day)
+    left = _spread(facts, list(on), of_facts, when, when, "__fact_month")
     same_key = reduce(lambda a, b: a & b, [F.col(f) == F.col(renamed[d]) for f, d in on.items()])
     in_force = (F.col(start) <= F.col(day)) & (F.col(end) >= F.col(day))
-    if not by_month:
-        return facts.join(dim, same_key & in_force, how).drop(*renamed.values())
-    dim = dim.filter(F.col(start) <= F.col(end))
-    spread = _month_spread(dim, start, end)
-    first, last = (_clamped_month(F.col(c), spread.low, spread.high) for c in (start, end))
-    months = dim.withColumn("__dim_month", F.explode(F.sequence(first, last, F.lit(1))))
-    months = F.broadcast(months) if spread.rows <= max_broadcast_rows else months.hint("merge")
-    left = facts.withColumn("__fact_month", _clamped_month(F.col(day), spread.low, spread.high))
-    same_month = F.col("__fact_month") == F.col("__dim_month")
-    joined = left.join(months, same_key & same_month & in_force, how)
+    joined = left.join(months, same_key & (F.col("__fact_month") == F.col("__dim_month")) & in_force, how)
     return joined.drop("__fact_month", "__dim_month", *renamed.values())
 
 
@@ -105,30 +138,30 @@ def overlap_join(
     right_dates: tuple[str, str],
     left_id: Sequence[str],
     how: str = "left",
+    busy_intervals: int = BUSY_INTERVALS,
 ) -> DataFrame:
     """Join intervals that overlap, per key; ``left_id`` identifies a left row.
 
-    Both sides are spread over the months they touch, and a pair is taken only in its
-    first common month, so pairs are found once and never by comparing all intervals
-    of a key with each other. Both sides are read more than once: give written ones.
+    Keys with few right intervals are joined on the key alone. For the others both sides are spread over
+    the months they touch, and a pair is taken only in its first common month, so pairs are found
+    once and never by comparing all intervals of a busy key with each other. Both sides are
+    read more than once: give written ones.
     """
     start, end = left_dates
-    bounds = _month_spread(left.filter(F.col(start) <= F.col(end)), start, end)
+    right = right.filter(F.col(right_dates[0]) <= F.col(right_dates[1]))
+    busy = _busy(right, keys, *right_dates, busy_intervals)
 
     def spread(df: DataFrame, dates: tuple[str, str], side: str) -> DataFrame:
-        first, last = (_clamped_month(F.col(c), bounds.low, bounds.high) for c in dates)
-        return (
-            df.filter(F.col(dates[0]) <= F.col(dates[1]))
-            .withColumn(f"__first_{side}", first)
-            .withColumn("__month", F.explode(F.sequence(F.col(f"__first_{side}"), last, F.lit(1))))
-        )
+        out = _spread(df, keys, busy, F.col(dates[0]), F.col(dates[1]), "__month")
+        first = F.when(F.col("__month") == 0, 0).otherwise(_clamped_month(F.col(dates[0]), busy.low, busy.high))
+        return out.withColumn(f"__first_{side}", first)
 
     ids = [c for c in left_id if c not in keys]
-    a = spread(left.select(*keys, *{*ids, *left_dates}), left_dates, "l")
-    b = spread(right, right_dates, "r").hint("merge")  # larger than its files once spread
+    a = spread(left.filter(F.col(start) <= F.col(end)).select(*keys, *{*ids, *left_dates}), left_dates, "l")
+    b = spread(right, right_dates, "r").hint("merge")
     pairs = a.join(b, [*keys, "__month"]).filter(
-        (F.col(left_dates[0]) <= F.col(right_dates[1]))
-        & (F.col(left_dates[1]) >= F.col(right_dates[0]))
+        (F.col(start) <= F.col(right_dates[1]))
+        & (F.col(end) >= F.col(right_dates[0]))
         & (F.col("__month") == F.greatest("__first_l", "__first_r"))
     )
     right_columns = [c for c in right.columns if c not in keys]
@@ -143,8 +176,8 @@ def newest(df: DataFrame, key: str, order: Sequence[Column] | None = None) -> Da
     """
     if order is None:
         order = [F.desc("End_dt"), F.desc("Start_dt")]
-    ties = [F.asc_nulls_last(c) for c in df.columns]
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order, *ties))
+    ties = [F.asc_nulls_last(f"`{c}`") for c in df.columns]
+    rank = F.row_number().over(Window.partitionBy(f"`{key}`").orderBy(*order, *ties))
     return df.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
 
 
@@ -159,15 +192,24 @@ def add_detail(
     """Add the newest description of each wanted number column, and follow the grouping along.
 
     ``details`` maps 'Item', 'Vendor', 'Category', 'Store' to lookup frames; a wanted
-    column is '<one of these>.Number' or the name ``names`` gives it. An item row brings
+    column is '<one of these>_Number' or the name ``names`` gives it. Names of this kind, also with
+    dots as in 'Item.Number', give the pattern for the lookups' other columns: what stands before
+    'Number' is the kind and a separator, so names end in the same separator. An item row brings
     its own vendor and category, so those lookups are used only without it. A lookup
     column the frame already has (the validity dates of an earlier lookup) stays out.
     Returns the frame and its new group columns.
     """
     number = {k: f"{k}_Number" for k in ("Item", "Vendor", "Category", "Store")}
     describe = {"Item": "Item_Description", **{k: f"{k}_Name" for k in ("Vendor", "Category", "Store")}}
+    drop = ["Category_Number", "Category_Name", "Vendor_Number", "Vendor_Name"]
     if names:
         number.update(names)
+        separators = {n[len(k) : -len("Number")] for k, n in names.items() if n.startswith(k) and n.endswith("Number")}
+        if len(separators) == 1:
+            mark = separators.pop()
+            number = {k: names.get(k, f"{k}{mark}Number") for k in number}
+            describe = {k: d.replace("_", mark) for k, d in describe.items()}
+            drop = [d.replace("_", mark) for d in drop]
     has_item = number["Item"] in wanted
     for kind in ("Item", "Vendor", "Category", "Store"):
         key = number[kind]
@@ -175,8 +217,8 @@ def add_detail(
             continue
         lookup = details[kind]
         if kind == "Item":
-            lookup = lookup.drop("Category_Number", "Category_Name", "Vendor_Number", "Vendor_Name")
-        order = None if kind in ("Item", "Store") else [F.col(key)]
+            lookup = lookup.drop(*drop)
+        order = None if kind in ("Item", "Store") else [F.col(f"`{key}`")]
         row = newest(lookup, key, order)
         df = df.join(row.drop(*[c for c in row.columns if c in df.columns and c != key]), key, "inner")
     groups = list(group_cols)

@@ -203,6 +203,38 @@ def county(spark, folder):
     return W.county_lookup(sales_feed(spark, folder, ["county_nbr", "county_name"]))
 
 
+def county_two_batches(spark, folder):
+    """The lookup after a batch of the counties up to I, and then one of the others."""
+    feed = sales_feed(spark, folder, ["county_nbr", "county_name"])
+    first = write_stage(W.county_lookup(feed.filter("county_name < 'j'")), "county")
+    return W.county_lookup(feed.filter("county_name >= 'f'"), existing=first)
+
+
+_COUNTY_BATCHES_SQL = f"""with f as materialized (
+        select county_nbr, lower(county_name) as raw, {title_sql("county_name")} as county_name
+        from (select distinct county_nbr, county_name from ({sales_feed_sql(["county_nbr", "county_name"])}) x) y),
+    a1 as (select county_nbr, max(county_name) as county_name from f where county_nbr is not null and raw < 'j' group by 1),
+    b1 as (select distinct county_name from f where county_nbr is null and raw < 'j'),
+    one as materialized (select * from a1 union all
+        select cast(row_number() over (order by county_name) + (select coalesce(max(county_nbr), 0) from a1) as int), county_name from b1),
+    a2 as materialized (select * from one union all select county_nbr, max(county_name) from f
+        where county_nbr is not null and raw >= 'f' and county_nbr not in (select county_nbr from one) group by 1),
+    b2 as (select distinct county_name from f where county_nbr is null and raw >= 'f' and county_name not in (select county_name from one))
+    select * from a2 union all
+    select cast(row_number() over (order by county_name) + (select max(county_nbr) from a2) as int), county_name from b2"""
+
+
+def item_rejects(spark, folder):
+    """Item numbers of the feed that no int can hold: here those with a letter more and nine digits put before."""
+    odd = F.concat(F.lit("x904631775"), F.col("item_nbr"))
+    feed = sales_feed(spark, folder, ["item_nbr"])
+    return W.item_rejects(feed.select(F.when(F.col("item_nbr").startswith("x"), odd).otherwise(F.col("item_nbr")).alias("item_nbr")))
+
+
+_REJECTS_SQL = """select 'x904631775x' || cast(l_partkey as varchar) as item_nbr, count(*) as rows
+    from lineitem where l_returnflag = 'R' group by 1"""
+
+
 def _tables(spark, folder, names):
     return W.build_warehouse(lambda columns: sales_feed(spark, folder, columns), names)
 
@@ -332,6 +364,8 @@ QUERIES = {
         rows_closed, f"with {_before_sql('category', _BEFORE, _FROM_LATE)} {_named('category', 'select * from m_closed')}"
     ),
     "d05_county_lookup": (county, COUNTY_SQL),
+    "d05_county_two_batches": (county_two_batches, _COUNTY_BATCHES_SQL),
+    "p03_item_rejects_kept": (item_rejects, _REJECTS_SQL),
     "d06_orders_fact": (orders_fact, retyped(invoice_sql(), ["order_date"], INVOICE_DOUBLES, ["bottles_sold"])),
     "d07_orders_view": (orders_view, _orders_view_sql()),
     "d07_orders_view_in_range": (

@@ -16,7 +16,7 @@ from ledgerline.operators.joins import add_detail, interval_join, newest, overla
 from ledgerline.operators.series import relative_to_first, rolling_deviation
 from ledgerline.plans.feed import sales_feed, sales_feed_sql
 from ledgerline.plans.sqlforms import code_sql, dominant_sql, retyped, title_sql, week_sql
-from ledgerline.plans.warehouse import MONEY, county_lookup
+from ledgerline.plans.warehouse import MONEY, number_rows
 from ledgerline.session import write_stage
 from ledgerline.sources.tables import load_parquet
 
@@ -99,7 +99,14 @@ def current_rows_joined(spark, folder):
 
 
 def numbered_after_max(spark, folder):
-    return county_lookup(sales_feed(spark, folder, ["county_nbr", "county_name"]))
+    """The names of parts numbered in order, from the number after the largest part key."""
+    part = _t(spark, folder, "part")
+    after = part.agg((F.max("p_partkey") + 1).alias("n")).scalar()
+    return number_rows(part.select("p_name").distinct(), "p_name", after)
+
+
+_NUMBERED_SQL = """select p_name, cast(row_number() over (order by p_name) + (select max(p_partkey) from part) as int) as number
+    from (select distinct p_name from part) p"""
 
 
 COUNTY_SQL = f"""with f as ({sales_feed_sql(["county_nbr", "county_name"])}),
@@ -119,7 +126,10 @@ def star_filtered(spark, folder):
 
 
 def newest_part_rows(spark, folder):
-    return _t(spark, folder, "part").select("p_partkey", "p_name", "p_type")
+    """Parts as dated lookup rows (one for each flag they were shipped under), the newest row of each."""
+    bands = price_bands(spark, folder).select(F.col("k").alias("p_partkey"), F.col("start_dt").alias("Start_dt"), F.col("end_dt").alias("End_dt"))
+    dated = bands.join(_t(spark, folder, "part").select("p_partkey", "p_name", "p_type"), "p_partkey")
+    return newest(dated, "p_partkey").drop("Start_dt", "End_dt")
 
 
 def details_added(spark, folder):
@@ -150,6 +160,20 @@ def vendor_and_category_details(spark, folder):
     return df
 
 
+def category_details_dotted(spark, folder):
+    """Category names for parts, under the dotted column names that dashboards use."""
+    part = _t(spark, folder, "part")
+    counts = part.groupBy(F.col("p_size").alias("Category.Number")).agg(F.count("*").alias("n"))
+    named = part.select(F.col("p_size").alias("Category.Number"), F.col("p_brand").alias("Category.Name"))
+    df, groups = add_detail(
+        counts, {"Category": named}, ["Category.Number"], ["Category.Number"], keep_number=False, names={"Category": "Category.Number"}
+    )
+    return df.select(*[F.col(f"`{c}`").alias(c.replace(".", "_")) for c in [*groups, "n"]])
+
+
+_CATEGORY_DOTTED_SQL = """select min(p_brand) as Category_Name, count(*) as n from part group by p_size"""
+
+
 def days_filled(spark, folder):
     o = _t(spark, folder, "orders").join(_t(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     daily = o.filter("c_nationkey = 3").groupBy(_day("o_orderdate").alias("Date")).agg(
@@ -603,7 +627,7 @@ QUERIES = {
         county_joined,
         "select c_custkey, n_name from customer left join nation on c_nationkey = n_nationkey and n_regionkey <> 4",
     ),
-    "j06_numbered_after_max": (numbered_after_max, COUNTY_SQL),
+    "j06_numbered_after_max": (numbered_after_max, _NUMBERED_SQL),
     "j07_star_filter": (
         star_filtered,
         "select l_orderkey, l_linenumber, p_partkey, s_suppkey, l_quantity, p_name, s_name from lineitem"
@@ -625,6 +649,7 @@ QUERIES = {
         vendor_and_category_details,
         "select o_custkey as Vendor_Number, count(*) as n, min(o_orderpriority) as Vendor_Name from orders group by 1",
     ),
+    "j08_category_details_dotted": (category_details_dotted, _CATEGORY_DOTTED_SQL),
     "j09_calendar_join": (
         days_filled,
         retyped(

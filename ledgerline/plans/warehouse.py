@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import text as X
 from ledgerline.operators.history import build_history, daily_dominant, merge_history
-from ledgerline.operators.joins import interval_join
+from ledgerline.operators.joins import BROADCAST_BYTES, interval_join
 from ledgerline.session import write_stage
-from ledgerline.sources.sinks import insert_absent, publish, read_current, upsert
+from ledgerline.sources.sinks import insert_absent, publish, read_manifest, upsert, write_manifest
 
 
 @dataclass(frozen=True)
@@ -163,8 +163,12 @@ def number_rows(names: DataFrame, column: str, first: Column | int = 1) -> DataF
     )
 
 
-def county_lookup(feed: DataFrame, name: str = "county_name") -> DataFrame:
-    """Number and name of each county; names that never had a number are numbered on from the largest."""
+def county_lookup(feed: DataFrame, name: str = "county_name", existing: DataFrame | None = None) -> DataFrame:
+    """Number and name of each county; names in rows without a number are numbered on from the largest.
+
+    With an ``existing`` lookup its rows stay as they are: only numbers it lacks, and names it has under
+    no number, are added.
+    """
     title = X.title_case(F.col(name))
     numbered = (
         feed.filter(F.col("county_nbr").isNotNull()).groupBy("county_nbr").agg(F.max(title).alias("county_name"))
@@ -174,6 +178,10 @@ def county_lookup(feed: DataFrame, name: str = "county_name") -> DataFrame:
         .select(title.alias("county_name"))
         .distinct()
     )
+    if existing is not None:
+        existing = existing.select("county_nbr", "county_name")
+        bare = bare.join(existing, "county_name", "left_anti")
+        numbered = existing.unionByName(numbered.join(existing, "county_nbr", "left_anti"))
     next_number = numbered.agg((F.coalesce(F.max("county_nbr"), F.lit(0)) + 1).alias("n")).scalar()
     fresh = number_rows(bare, "county_name", next_number)
     return numbered.unionByName(fresh.withColumnRenamed("number", "county_nbr"))
@@ -237,7 +245,7 @@ def orders_view(
     item_detail: DataFrame,
     category: DataFrame,
     vendor: DataFrame,
-    max_broadcast_rows: int = 500_000,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Every order with the store, item, category and vendor in force on its date.
 
@@ -265,7 +273,7 @@ def orders_view(
     )
     df = orders
     for dim, key in ((stores, "store_nbr"), (items, "item_nbr"), (categories, "category_nbr"), (vendors, "vendor_nbr")):
-        joined = interval_join(df, dim, {key: key}, "order_date", max_broadcast_rows=max_broadcast_rows)
+        joined = interval_join(df, dim, {key: key}, "order_date", max_broadcast_bytes=max_broadcast_bytes)
         df = joined.drop("start_date", "end_date")
     volume = F.col("bottles_sold").cast("long") * F.coalesce("item_vol", F.lit(0))
     return df.select(
@@ -385,23 +393,36 @@ INVOICE_COLUMNS = [
 ]
 
 
-def refresh_warehouse(spark: SparkSession, feed: Feed, root: str, whole_feed: Feed | None = None) -> dict[str, int]:
-    """Apply a batch to the tables below ``root`` (or start them); returns each table's new version.
+def refresh_warehouse(spark: SparkSession, feed: Feed, root: str, batch: str | None = None) -> dict[str, int]:
+    """Apply a batch to the tables below ``root`` (or start them); returns each table's version.
 
-    Every table's new state is written beside the old one and switched to when complete,
-    so a failed refresh leaves readers on the old state and can be run again. The county
-    lookup is made anew each time, from ``whole_feed`` where the batch is not all there is.
+    Every table's new state is written beside the old one. One manifest, written last, switches all
+    tables, so a refresh that fails before leaves readers on the old state of all of them, and can
+    be run again. A ``batch`` id that was applied before changes nothing. Item numbers that are no
+    numbers, or too large for one, are kept with their counts in ``item_rejects``.
     """
+    versions, batches = read_manifest(spark, root)
+    if batch is not None and batch in batches:
+        return versions
 
     def current(name: str) -> DataFrame | None:
-        return read_current(spark, f"{root}/{name}")
+        return _at_version(spark, root, name, versions)
 
     def refresh(name: str) -> dict[str, int]:
         if name == "county":
-            counties = (whole_feed or feed)(["county_nbr", "county_name"])
-            return {name: publish(county_lookup(counties), f"{root}/{name}")}
+            counties = feed(["county_nbr", "county_name"])
+            return {name: publish(county_lookup(counties, existing=current(name)), f"{root}/{name}")}
         if name == "orders":
-            return {name: publish(refresh_orders(current(name), feed(INVOICE_COLUMNS)), f"{root}/{name}")}
+            # The batch is rolled up once and written: the upsert reads it twice.
+            rows = write_stage(invoice_rows(feed(INVOICE_COLUMNS)), "invoices")
+            old = current(name)
+            return {name: publish(rows if old is None else upsert(old, rows, ["item_invoice_nbr"]), f"{root}/{name}")}
+        if name == "item_rejects":
+            rejects = item_rejects(feed(["item_nbr"]))
+            old = current(name)
+            if old is not None:
+                rejects = old.unionByName(rejects).groupBy("item_nbr").agg(F.sum("rows").alias("rows"))
+            return {name: publish(rejects, f"{root}/{name}")}
         dim, detail, done = DIMENSIONS[name](), DETAILS.get(name), {}
         daily = daily_values(feed(FEED_FOR[name]), dim)
         if detail is not None:
@@ -410,12 +431,25 @@ def refresh_warehouse(spark: SparkSession, feed: Feed, root: str, whole_feed: Fe
         done[name] = publish(refresh_dimension(current(name), daily, dim), f"{root}/{name}")
         return done
 
-    tables = [*DIMENSIONS, "county", "orders"]
+    tables = [*DIMENSIONS, "county", "orders", "item_rejects"]
     with ThreadPoolExecutor(len(tables)) as pool:
-        return {k: v for done in pool.map(refresh, tables) for k, v in done.items()}
+        versions = {k: v for done in pool.map(refresh, tables) for k, v in done.items()}
+    write_manifest(spark, root, versions, batches + ([batch] if batch is not None else []))
+    return versions
+
+
+def _at_version(spark: SparkSession, root: str, name: str, versions: dict[str, int]) -> DataFrame | None:
+    return spark.read.parquet(f"{root}/{name}/version={versions[name]}") if name in versions else None
+
+
+def item_rejects(feed: DataFrame) -> DataFrame:
+    """Item numbers without digits, or with more than an int holds, and in how many rows of the feed they are."""
+    digits = F.regexp_replace("item_nbr", "[^0-9]+", "").try_cast("int")
+    return feed.filter(F.col("item_nbr").isNotNull() & digits.isNull()).groupBy("item_nbr").agg(F.count("*").alias("rows"))
 
 
 def read_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The current tables below ``root``, named as :func:`orders_view` takes them."""
     names = [*DIMENSIONS, *DETAILS.values(), "county", "orders"]
-    return {n: table for n in names if (table := read_current(spark, f"{root}/{n}")) is not None}
+    versions, _ = read_manifest(spark, root)
+    return {n: table for n in names if (table := _at_version(spark, root, n, versions)) is not None}

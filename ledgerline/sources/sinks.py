@@ -57,8 +57,8 @@ def close_open_rows(target: DataFrame, firsts: DataFrame, key: str) -> DataFrame
 # --- versions of a table on shared storage ----------------------------------------------
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    """Numbers of the completely written versions below ``root``."""
+def _versions(spark: SparkSession, root: str, complete: bool = True) -> list[int]:
+    """Numbers of the versions below ``root``: the completely written ones, or all that were begun."""
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -68,7 +68,7 @@ def _versions(spark: SparkSession, root: str) -> list[int]:
     for status in fs.listStatus(path):
         name = status.getPath().getName()
         marker = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith("version=") and fs.exists(marker):
+        if name.startswith("version=") and (not complete or fs.exists(marker)):
             done.append(int(name.split("=")[1]))
     return sorted(done)
 
@@ -79,7 +79,7 @@ def publish(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> int:
     The plan of ``df`` may read the current version: nothing is ever overwritten. Of two
     writers that chose the same number, the later one fails.
     """
-    version = max(_versions(df.sparkSession, root), default=0) + 1
+    version = max(_versions(df.sparkSession, root, complete=False), default=0) + 1
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(f"{root}/version={version}")
     return version
 
@@ -91,3 +91,22 @@ def read_current(spark: SparkSession, root: str, schema: T.StructType | None = N
         return None
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(f"{root}/version={versions[-1]}")
+
+
+# --- several tables that switch together ----------------------------------------------------
+
+
+MANIFEST = "table string, version int, batch string"
+
+
+def read_manifest(spark: SparkSession, root: str) -> tuple[dict[str, int], list[str]]:
+    """The version of each table below ``root`` and the batches applied so far; both empty at the start."""
+    rows = read_current(spark, f"{root}/manifest")
+    found = [] if rows is None else rows.collect()  # a row per table and batch
+    return {r["table"]: r["version"] for r in found if r["table"]}, sorted(r["batch"] for r in found if not r["table"])
+
+
+def write_manifest(spark: SparkSession, root: str, versions: dict[str, int], batches: Sequence[str]) -> int:
+    """Switch all tables below ``root`` at once: readers take the versions that the newest manifest names."""
+    rows = [(t, v, None) for t, v in versions.items()] + [("", 0, b) for b in batches]
+    return publish(spark.createDataFrame(rows, MANIFEST).coalesce(1), f"{root}/manifest")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import add_detail, interval_join, newest, overlap_join
+from ledgerline.operators.joins import _busy, _spread, add_detail, interval_join, newest, overlap_join
 from ledgerline.operators.weekly import share_of_parent, weekly_totals, year_over_year
 
 START = date(2020, 1, 1)
@@ -27,7 +27,7 @@ def facts(rng, n, keys):
     return [(i, int(rng.integers(0, keys + 2)), days[rng.integers(0, len(days))]) for i in range(n)]
 
 
-@pytest.mark.parametrize("options", [{}, {"by_month": False}, {"max_broadcast_rows": 0}, {"max_broadcast_rows": 10**6}])
+@pytest.mark.parametrize("options", [{}, {"busy_intervals": 20}, {"busy_intervals": 20, "max_broadcast_bytes": 0}, {"busy_intervals": 0}])
 def test_interval_join(spark, options):
     rng = np.random.default_rng(1)
     dim, fact = intervals(rng, 8), facts(rng, 1500, 8)
@@ -50,13 +50,25 @@ def test_interval_join_inner(spark):
     assert interval_join(fact, dim, {"k": "k"}, "day", how="inner").count() == 1
 
 
-def test_overlap_join(spark):
+def test_only_busy_keys_are_spread(spark):
+    rng = np.random.default_rng(4)
+    dim = spark.createDataFrame(intervals(rng, 8), "k int, v string, start_date date, end_date date")
+    sizes = {r["k"]: r["count"] for r in dim.groupBy("k").count().collect()}
+    busy = _busy(dim, ["k"], "start_date", "end_date", 20)
+    rows = _spread(dim, ["k"], busy, F.col("start_date"), F.col("end_date"), "m").collect()
+    assert sum(r["m"] == 0 for r in rows) == sum(n for n in sizes.values() if n <= 20)
+    assert {r["k"] for r in rows if r["m"]} == {k for k, n in sizes.items() if n > 20}
+    assert len(rows) <= busy.rows
+
+
+@pytest.mark.parametrize("limit", [128, 10, 0])
+def test_overlap_join(spark, limit):
     rng = np.random.default_rng(2)
     left, right = intervals(rng, 6), intervals(rng, 5)
     df = overlap_join(
         spark.createDataFrame(left, "k int, v string, a date, b date"),
         spark.createDataFrame(right, "k int, w string, c date, d date"),
-        ["k"], ("a", "b"), ("c", "d"), ["k", "a"],
+        ["k"], ("a", "b"), ("c", "d"), ["k", "a"], busy_intervals=limit,
     )
     got = sorted((r["v"], r["w"] or "") for r in df.collect())
     want = []

@@ -19,9 +19,8 @@ def test_two_batches(spark, folder, tmp_path):
     def part(where):
         return lambda columns: sales_feed(spark, folder, [*columns, *({"order_dt"} - set(columns))]).filter(where).select(*columns)
 
-    whole = part("true")
-    assert set(W.refresh_warehouse(spark, part(before), root, whole).values()) == {1}
-    assert set(W.refresh_warehouse(spark, part(after), root, whole).values()) == {2}
+    assert set(W.refresh_warehouse(spark, part(before), root, "one").values()) == {1}
+    assert set(W.refresh_warehouse(spark, part(after), root, "two").values()) == {2}
     tables = W.read_warehouse(spark, root)
     for name, make in W.DIMENSIONS.items():
         dim = make()
@@ -40,8 +39,12 @@ def test_two_batches(spark, folder, tmp_path):
     view = W.orders_view(orders, **tables)
     assert view.count() == orders.count() and view.filter("store_city is null").count() == 0
 
-    # The same batch again: nothing is lost, no day is left uncovered.
-    W.refresh_warehouse(spark, part(after), root, whole)
+    # A batch that was applied before changes nothing.
+    assert set(W.refresh_warehouse(spark, part(before), root, "one").values()) == {2}
+    assert same(W.read_warehouse(spark, root)["vendor"], tables["vendor"])
+
+    # The same rows under another name: nothing is lost, no day is left uncovered.
+    W.refresh_warehouse(spark, part(after), root, "three")
     again = W.read_warehouse(spark, root)
     assert again["orders"].count() == orders.count()
     assert again["item_detail"].count() == tables["item_detail"].count()
@@ -54,6 +57,50 @@ def test_views_keep_every_order_when_dimensions_are_merged_or_broadcast(spark, f
     tables = W.build_warehouse(feed, names)
     orders = W.refresh_orders(None, feed(W.INVOICE_COLUMNS))
     broadcast = W.orders_view(orders, **tables)
-    merged = W.orders_view(orders, **tables, max_broadcast_rows=0)
+    merged = W.orders_view(orders, **tables, max_broadcast_bytes=0)
     assert "SortMergeJoin" in merged._jdf.queryExecution().executedPlan().toString()
     assert same(broadcast, merged)
+
+
+def test_counties_are_added_to_what_is_there(spark):
+    feed = lambda *rows: spark.createDataFrame(rows, "county_nbr int, county_name string")
+    first = W.county_lookup(feed((1, "adair"), (2, "polk"), (None, "lost"), (None, "lost")))
+    assert sorted(map(tuple, first.collect())) == [(1, "Adair"), (2, "Polk"), (3, "Lost")]
+    second = W.county_lookup(feed((7, "linn"), (2, "other"), (None, "lost"), (None, "new")), existing=first)
+    assert sorted(map(tuple, second.collect())) == [(1, "Adair"), (2, "Polk"), (3, "Lost"), (7, "Linn"), (8, "New")]
+
+
+def test_failed_refresh_leaves_all_tables_as_they_were(spark, folder, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    feed = lambda columns: sales_feed(spark, folder, columns)
+    W.refresh_warehouse(spark, feed, root, "one")
+    before = {n: t.count() for n, t in W.read_warehouse(spark, root).items()}
+
+    def broken(*_):
+        raise RuntimeError("lost before the switch")
+
+    monkeypatch.setattr(W, "write_manifest", broken)
+    try:
+        W.refresh_warehouse(spark, feed, root, "two")
+    except RuntimeError:
+        pass
+    assert {n: t.count() for n, t in W.read_warehouse(spark, root).items()} == before
+    monkeypatch.undo()
+    assert set(W.refresh_warehouse(spark, feed, root, "two").values()) == {3}
+
+
+def test_scratch_folder_of_a_cluster_must_be_named(spark):
+    import pytest
+
+    from ledgerline.session import scratch_root
+
+    class Session:
+        def __init__(self, **settings):
+            self.settings, self.conf = settings, self
+
+        def get(self, name, default=None):
+            return self.settings.get(name, default)
+
+    with pytest.raises(ValueError):
+        scratch_root(Session(**{"spark.master": "spark://host:7077"}))
+    assert scratch_root(Session(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///x/"})) == "hdfs:///x"
