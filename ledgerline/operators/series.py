@@ -261,14 +261,14 @@ class SmoothingPlan:
 
     def __post_init__(self) -> None:
         if self.season and self.start_periods < 2:
-            raise ValueError("need at least 2 periods to compute seasonal start values")
+            raise ValueError("a seasonal start takes two periods or more")
 
 
 def check_rates(alpha: float | None, beta: float | None, gamma: float | None) -> None:
     if alpha == 0:
-        raise ValueError("cannot fit models without level")
+        raise ValueError("the level needs a rate: alpha is 0")
     if any(r is not None and not 0 <= r <= 1 for r in (alpha, beta, gamma)):
-        raise ValueError("'alpha', 'beta' and 'gamma' must be within the unit interval")
+        raise ValueError("rates lie between 0 and 1")
 
 
 def start_state(y: np.ndarray, plan: SmoothingPlan) -> tuple[float, float, np.ndarray, int]:
@@ -285,13 +285,13 @@ def start_state(y: np.ndarray, plan: SmoothingPlan) -> tuple[float, float, np.nd
 def _estimated_start(y: np.ndarray, plan: SmoothingPlan) -> tuple[float, float, np.ndarray, int]:
     if not plan.season:
         if len(y) < 2:
-            raise ValueError("series too short")
+            raise ValueError("two values or more are needed")
         return (y[1] if plan.trend else y[0]), y[1] - y[0], np.zeros(1), 3 if plan.trend else 2
     period, window = plan.period, plan.start_periods * plan.period
     if len(y) < window:
-        raise ValueError("time series has no or less than 2 periods")
+        raise ValueError("the series does not reach over the start periods")
     if plan.multiplicative and (y == 0).any():
-        raise ValueError("data must be non-zero for multiplicative Holt-Winters")
+        raise ValueError("a multiplicative season cannot hold a zero")
     head = y[:window]
     half = period // 2
     kernel = np.ones(period) if period % 2 else np.concatenate([[0.5], np.ones(period - 1), [0.5]])

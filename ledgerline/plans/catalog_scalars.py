@@ -148,6 +148,16 @@ def orders_upserted(spark, folder):
     return sinks.upsert(old, new, ["item_invoice_nbr"])
 
 
+def orders_upserted_in_parts(spark, folder):
+    """The same over a table written in parts by month, with a batch that moves some invoices to another month."""
+    rows = write_stage(invoice_rows(sales_feed(spark, folder, INVOICE_COLUMNS)), "invoices")
+    root, key, part = scratch_path(spark, "orders"), ["item_invoice_nbr"], sinks.month_part("order_date")
+    parts = sinks.upsert_parts(rows, root, {}, key, part)
+    moved = rows.filter((F.month("order_date") == 3) & (F.col("store_nbr") % 5 == 0))
+    moved = write_stage(moved.withColumn("order_date", F.date_add("order_date", 31)), "moved")
+    return sinks.read_parts(spark, root, sinks.upsert_parts(moved, root, parts, key, part), rows.schema)
+
+
 def invoice_sql(where: str = "true") -> str:
     return (
         "select item_invoice_nbr, order_dt as order_date, cast(state_bottle_cost as decimal(18,2)) as state_bottle_cost,"
@@ -537,6 +547,15 @@ QUERIES = {
             ["order_date"], INVOICE_DOUBLES, ["bottles_sold"],
         ),
     ),
+    "s10_orders_upserted_in_parts": (
+        orders_upserted_in_parts,
+        retyped(
+            f"with o as materialized ({invoice_sql()}),"
+            " n as (select * replace (order_date + 31 as order_date) from o where month(order_date) = 3 and store_nbr % 5 = 0)"
+            " select * from n union all select * from o where item_invoice_nbr not in (select item_invoice_nbr from n)",
+            ["order_date"], INVOICE_DOUBLES, ["bottles_sold"],
+        ),
+    ),
     "p01_title_case": (
         names_title,
         f"""select s_suppkey, {title_sql("'  o''brien_' || s_name || '-x hy-vee 3rd/ '")} as title from supplier""",

@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Container, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions import text as X
 from ledgerline.operators.history import build_history, daily_dominant, merge_history
 from ledgerline.operators.joins import BROADCAST_BYTES, interval_join
 from ledgerline.session import write_stage
-from ledgerline.sources.sinks import insert_absent, publish, read_manifest, upsert, write_manifest
+from ledgerline.sources.sinks import (
+    Manifest,
+    insert_absent,
+    month_part,
+    publish,
+    read_manifest,
+    read_parts,
+    upsert,
+    upsert_parts,
+    write_manifest,
+)
 
 
 @dataclass(frozen=True)
@@ -222,6 +233,23 @@ def invoice_rows(feed: DataFrame) -> DataFrame:
     )
 
 
+# The orders fact as invoice_rows makes it.
+_AMOUNT = T.DecimalType(18, 2)
+ORDERS = T.StructType(
+    [
+        T.StructField("item_invoice_nbr", T.StringType()),
+        T.StructField("order_date", T.DateType()),
+        T.StructField("state_bottle_cost", _AMOUNT),
+        T.StructField("state_bottle_retail", _AMOUNT),
+        T.StructField("bottles_sold", T.LongType()),
+        T.StructField("total_sale", _AMOUNT),
+        T.StructField("item_nbr", T.IntegerType()),
+        T.StructField("vendor_nbr", T.IntegerType()),
+        T.StructField("store_nbr", T.IntegerType()),
+    ]
+)
+
+
 def refresh_orders(existing: DataFrame | None, feed: DataFrame) -> DataFrame:
     rows = invoice_rows(feed)
     return rows if existing is None else upsert(existing, rows, ["item_invoice_nbr"])
@@ -393,30 +421,31 @@ INVOICE_COLUMNS = [
 ]
 
 
-def refresh_warehouse(spark: SparkSession, feed: Feed, root: str, batch: str | None = None) -> dict[str, int]:
-    """Apply a batch to the tables below ``root`` (or start them); returns each table's version.
+def refresh_warehouse(spark: SparkSession, feed: Feed, root: str, batch: str | None = None) -> Manifest:
+    """Apply a batch to the tables below ``root`` (or start them); returns the new manifest.
 
     Every table's new state is written beside the old one. One manifest, written last, switches all
     tables, so a refresh that fails before leaves readers on the old state of all of them, and can
-    be run again. A ``batch`` id that was applied before changes nothing. Item numbers that are no
+    be run again. A ``batch`` id that was applied before changes nothing. Orders are kept in parts by
+    month, of which only those that the batch touches are rewritten. Item numbers that are no
     numbers, or too large for one, are kept with their counts in ``item_rejects``.
     """
-    versions, batches = read_manifest(spark, root)
-    if batch is not None and batch in batches:
-        return versions
+    before = read_manifest(spark, root)
+    if batch is not None and batch in before.batches:
+        return before
 
     def current(name: str) -> DataFrame | None:
-        return _at_version(spark, root, name, versions)
+        return _at_version(spark, root, name, before)
 
-    def refresh(name: str) -> dict[str, int]:
+    def refresh(name: str) -> dict[str, int | dict[int, int]]:
         if name == "county":
             counties = feed(["county_nbr", "county_name"])
             return {name: publish(county_lookup(counties, existing=current(name)), f"{root}/{name}")}
         if name == "orders":
-            # The batch is rolled up once and written: the upsert reads it twice.
+            # The batch is rolled up once and written: the upsert reads it several times.
             rows = write_stage(invoice_rows(feed(INVOICE_COLUMNS)), "invoices")
-            old = current(name)
-            return {name: publish(rows if old is None else upsert(old, rows, ["item_invoice_nbr"]), f"{root}/{name}")}
+            parts = before.parts.get(name, {})
+            return {name: upsert_parts(rows, f"{root}/{name}", parts, ["item_invoice_nbr"], month_part("order_date"))}
         if name == "item_rejects":
             rejects = item_rejects(feed(["item_nbr"]))
             old = current(name)
@@ -433,13 +462,17 @@ def refresh_warehouse(spark: SparkSession, feed: Feed, root: str, batch: str | N
 
     tables = [*DIMENSIONS, "county", "orders", "item_rejects"]
     with ThreadPoolExecutor(len(tables)) as pool:
-        versions = {k: v for done in pool.map(refresh, tables) for k, v in done.items()}
-    write_manifest(spark, root, versions, batches + ([batch] if batch is not None else []))
-    return versions
+        done = {k: v for found in pool.map(refresh, tables) for k, v in found.items()}
+    parts = {"orders": done.pop("orders")}
+    after = Manifest(done, parts, sorted(before.batches + ([batch] if batch is not None else [])))
+    write_manifest(spark, root, after)
+    return after
 
 
-def _at_version(spark: SparkSession, root: str, name: str, versions: dict[str, int]) -> DataFrame | None:
-    return spark.read.parquet(f"{root}/{name}/version={versions[name]}") if name in versions else None
+def _at_version(spark: SparkSession, root: str, name: str, manifest: Manifest) -> DataFrame | None:
+    if name not in manifest.versions:
+        return None
+    return spark.read.parquet(f"{root}/{name}/version={manifest.versions[name]}")
 
 
 def item_rejects(feed: DataFrame) -> DataFrame:
@@ -448,8 +481,16 @@ def item_rejects(feed: DataFrame) -> DataFrame:
     return feed.filter(F.col("item_nbr").isNotNull() & digits.isNull()).groupBy("item_nbr").agg(F.count("*").alias("rows"))
 
 
-def read_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The current tables below ``root``, named as :func:`orders_view` takes them."""
-    names = [*DIMENSIONS, *DETAILS.values(), "county", "orders"]
-    versions, _ = read_manifest(spark, root)
-    return {n: table for n in names if (table := _at_version(spark, root, n, versions)) is not None}
+def read_warehouse(spark: SparkSession, root: str, months: Container[int] | None = None) -> dict[str, DataFrame]:
+    """The current tables below ``root``, named as :func:`orders_view` takes them.
+
+    With ``months`` (as yyyymm) only the files of these months' orders are read.
+    """
+    manifest = read_manifest(spark, root)
+    names = [*DIMENSIONS, *DETAILS.values(), "county"]
+    found = {n: table for n in names if (table := _at_version(spark, root, n, manifest)) is not None}
+    parts = manifest.parts.get("orders")
+    if parts is not None:
+        wanted = {p: v for p, v in parts.items() if months is None or p in months}
+        found["orders"] = read_parts(spark, f"{root}/orders", wanted, ORDERS)
+    return found

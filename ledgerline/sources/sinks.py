@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.session import write_stage
+
 
 def append_rows(target: DataFrame, rows: DataFrame) -> DataFrame:
     return target.unionByName(rows.select(*target.columns))
@@ -93,20 +96,77 @@ def read_current(spark: SparkSession, root: str, schema: T.StructType | None = N
     return reader.parquet(f"{root}/version={versions[-1]}")
 
 
+# --- a table in parts, each with a version of its own ----------------------------------------
+
+
+def month_part(day: str):
+    """A part number from a date: year and month as yyyymm, 0 without a date."""
+    return F.coalesce(F.year(day) * 100 + F.month(day), F.lit(0))
+
+
+def read_parts(spark: SparkSession, root: str, parts: Mapping[int, int], schema: T.StructType) -> DataFrame:
+    """The rows of the given parts (number: version) of a table; pass only some parts to read only their files."""
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{root}/version={v}/part={p}" for p, v in sorted(parts.items())])
+
+
+def upsert_parts(rows: DataFrame, root: str, parts: Mapping[int, int], key: Sequence[str], part: Column) -> dict[int, int]:
+    """Drop the table's rows whose key comes in, add all incoming rows, and rewrite only the parts that this touches.
+
+    ``part`` is the part number of a row, ``parts`` the table's present parts. A part is touched if
+    rows come into it or if it holds an incoming key (a key may have moved); these are found by
+    a scan of the key column alone. Returns the parts after the change, the untouched ones with the version
+    they had: their files stay as they are. ``rows`` is read several times: give a written one.
+    """
+    spark = rows.sparkSession
+    marked = rows.withColumn("part", part)
+    into = [r[0] for r in marked.select("part").distinct().collect()]  # a number per month
+    whole = read_parts(spark, root, parts, rows.schema)
+    found = whole.select(*key, part.alias("part")).join(rows.select(*key), list(key), "left_semi").select("part").distinct()
+    touched = {*into, *(r[0] for r in found.collect())} if parts else set(into)
+    old = read_parts(spark, root, {p: v for p, v in parts.items() if p in touched}, rows.schema)
+    kept = old.join(rows.select(*key), list(key), "left_anti")
+    new = write_stage(kept.withColumn("part", part).unionByName(marked), "upserted")
+    written = [r[0] for r in new.select("part").distinct().collect()]
+    # One file set per part: a part is shuffled to as many tasks as its rows need, not to every task.
+    version = publish(new.hint("rebalance", F.col("part")), root, ["part"])
+    return {p: v for p, v in parts.items() if p not in touched} | dict.fromkeys(written, version)
+
+
 # --- several tables that switch together ----------------------------------------------------
 
 
-MANIFEST = "table string, version int, batch string"
+MANIFEST = "table string, part int, version int, batch string"
 
 
-def read_manifest(spark: SparkSession, root: str) -> tuple[dict[str, int], list[str]]:
-    """The version of each table below ``root`` and the batches applied so far; both empty at the start."""
-    rows = read_current(spark, f"{root}/manifest")
-    found = [] if rows is None else rows.collect()  # a row per table and batch
-    return {r["table"]: r["version"] for r in found if r["table"]}, sorted(r["batch"] for r in found if not r["table"])
+@dataclass
+class Manifest:
+    """What is current: a version per table, a version per part of tables in parts, and the batches applied so far."""
+
+    versions: dict[str, int] = field(default_factory=dict)
+    parts: dict[str, dict[int, int]] = field(default_factory=dict)
+    batches: list[str] = field(default_factory=list)
 
 
-def write_manifest(spark: SparkSession, root: str, versions: dict[str, int], batches: Sequence[str]) -> int:
+def read_manifest(spark: SparkSession, root: str) -> Manifest:
+    """The newest manifest below ``root``; an empty one at the start."""
+    rows = read_current(spark, f"{root}/manifest")
+    out = Manifest()
+    for r in [] if rows is None else rows.collect():  # a row per table, month and batch
+        if r["batch"] is not None:
+            out.batches.append(r["batch"])
+        elif r["part"] is None:
+            out.versions[r["table"]] = r["version"]
+        else:
+            out.parts.setdefault(r["table"], {})[r["part"]] = r["version"]
+    out.batches.sort()
+    return out
+
+
+def write_manifest(spark: SparkSession, root: str, manifest: Manifest) -> int:
     """Switch all tables below ``root`` at once: readers take the versions that the newest manifest names."""
-    rows = [(t, v, None) for t, v in versions.items()] + [("", 0, b) for b in batches]
+    rows = [(t, None, v, None) for t, v in manifest.versions.items()]
+    rows += [(t, p, v, None) for t, parts in manifest.parts.items() for p, v in parts.items()]
+    rows += [(None, None, None, b) for b in manifest.batches]
     return publish(spark.createDataFrame(rows, MANIFEST).coalesce(1), f"{root}/manifest")

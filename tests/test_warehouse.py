@@ -19,8 +19,12 @@ def test_two_batches(spark, folder, tmp_path):
     def part(where):
         return lambda columns: sales_feed(spark, folder, [*columns, *({"order_dt"} - set(columns))]).filter(where).select(*columns)
 
-    assert set(W.refresh_warehouse(spark, part(before), root, "one").values()) == {1}
-    assert set(W.refresh_warehouse(spark, part(after), root, "two").values()) == {2}
+    assert set(W.refresh_warehouse(spark, part(before), root, "one").versions.values()) == {1}
+    second = W.refresh_warehouse(spark, part(after), root, "two")
+    assert set(second.versions.values()) == {2} and second.batches == ["one", "two"]
+    assert {v for p, v in second.parts["orders"].items() if p >= 200000} == {2}
+    some = W.read_warehouse(spark, root, months=range(200001, 200004))["orders"]
+    assert {r[0] for r in some.select(F.date_format("order_date", "yyyyMM")).distinct().collect()} == {"200001", "200002", "200003"}
     tables = W.read_warehouse(spark, root)
     for name, make in W.DIMENSIONS.items():
         dim = make()
@@ -40,7 +44,7 @@ def test_two_batches(spark, folder, tmp_path):
     assert view.count() == orders.count() and view.filter("store_city is null").count() == 0
 
     # A batch that was applied before changes nothing.
-    assert set(W.refresh_warehouse(spark, part(before), root, "one").values()) == {2}
+    assert W.refresh_warehouse(spark, part(before), root, "one") == second
     assert same(W.read_warehouse(spark, root)["vendor"], tables["vendor"])
 
     # The same rows under another name: nothing is lost, no day is left uncovered.
@@ -86,7 +90,7 @@ def test_failed_refresh_leaves_all_tables_as_they_were(spark, folder, tmp_path,
         pass
     assert {n: t.count() for n, t in W.read_warehouse(spark, root).items()} == before
     monkeypatch.undo()
-    assert set(W.refresh_warehouse(spark, feed, root, "two").values()) == {3}
+    assert set(W.refresh_warehouse(spark, feed, root, "two").versions.values()) == {3}
 
 
 def test_scratch_folder_of_a_cluster_must_be_named(spark):
@@ -104,3 +108,23 @@ def test_scratch_folder_of_a_cluster_must_be_named(spark):
     with pytest.raises(ValueError):
         scratch_root(Session(**{"spark.master": "spark://host:7077"}))
     assert scratch_root(Session(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///x/"})) == "hdfs:///x"
+
+
+def test_upsert_rewrites_touched_parts_only(spark, tmp_path):
+    from datetime import date
+
+    from ledgerline.sources.sinks import month_part, read_parts, upsert_parts
+
+    frame = lambda *rows: spark.createDataFrame(rows, "k int, d date, v string")
+    old = frame((1, date(2020, 1, 5), "a"), (2, date(2020, 2, 5), "b"), (3, date(2020, 2, 6), "c"), (4, date(2020, 3, 1), "d"), (5, None, "e"))
+    root, part = str(tmp_path / "t"), month_part("d")
+    first = upsert_parts(old, root, {}, ["k"], part)
+    assert first == {202001: 1, 202002: 1, 202003: 1, 0: 1}
+    before = sorted((p.name, p.stat().st_mtime_ns) for p in (tmp_path / "t" / "version=1" / "part=202001").iterdir())
+    # Key 2 moves to April, key 3 goes with it: nothing is left of February.
+    second = upsert_parts(frame((2, date(2020, 4, 1), "moved"), (3, date(2020, 4, 2), "too")), root, first, ["k"], part)
+    assert second == {202001: 1, 202003: 1, 0: 1, 202004: 2}
+    assert before == sorted((p.name, p.stat().st_mtime_ns) for p in (tmp_path / "t" / "version=1" / "part=202001").iterdir())
+    got = sorted((r.k, r.v) for r in read_parts(spark, root, second, old.schema).collect())
+    assert got == [(1, "a"), (2, "moved"), (3, "too"), (4, "d"), (5, "e")]
+    assert read_parts(spark, root, {}, old.schema).count() == 0
