@@ -16,7 +16,7 @@ MIN_LANGUAGE_SHARE = 0.25
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents that are in no language: null texts, texts without a letter, scripts that nothing was learned of."""
+    """Without documents that are in no language: null texts, texts without a letter, or mostly in scripts that nothing was learned of."""
     found = language.identify(docs, language.fit(docs), spans=False)
     return found.where((F.col("lang_pred") != language.UND) & (F.col("score") >= MIN_LANGUAGE_SHARE)).select(*docs.columns)
 

@@ -234,10 +234,10 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH, text: str =
     """The documents with ``lang_pred``, ``score`` and, if wanted, ``spans``.
 
     ``spans`` array<struct<lang, start, length>>: runs of words of one language, in code points.
-    ``lang_pred`` is the language with the most characters in its spans, the earlier in the alphabet
-    on a tie; ``score`` its share, 0 to 1. A text that is null or has no letter is ``und`` with
-    score 0 and no spans; so is every text if there was nothing to learn from. A word in a script
-    that no learned language uses is ``und``. Repeated rows give equal rows, an empty table none;
+    ``lang_pred`` is the learned language with the most characters in its spans, the earlier in the
+    alphabet on a tie; ``score`` its share, 0 to 1. A word in a script that no learned language uses
+    is in an ``und`` span, so a text of such words alone has score 0. A text that is null or has no
+    letter is ``und`` with score 0; so is every text if there was nothing to learn from. Repeated rows give equal rows, an empty table none;
     columns that clash with the result's are replaced.
     """
     new = ["lang_pred", "score", *(["spans"] if spans else [])]
@@ -265,7 +265,8 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH, text: str =
         owner = np.repeat(np.arange(rows), np.diff(x.first))
         chars = x.points[x.ends] - x.points[x.starts]
         share = np.bincount(owner * width + label, weights=chars, minlength=rows * width).reshape(rows, width)
-        top, total = share.argmax(axis=1), share.sum(axis=1)
+        # A text with letters gets a learned language, even if none of its words is in one: then with score 0.
+        top, total = share[:, : max(width - 1, 1)].argmax(axis=1), share.sum(axis=1)
         # Words may be of signs beyond ASCII alone: only for texts without an ASCII letter a closer look is due.
         ascii_letter = np.zeros(rows, bool)
         ascii_letter[owner[(x.data[x.starts] < 128)]] = True

@@ -487,3 +487,9 @@ def test_decontamination(spark, awkward, empty, folder):
     assert cut[7] == " " and cut[5] is None and cut[4] == "" and cut[12] == PROSE * 3
     assert decontaminate.hits(empty, bench).count() == 0
     assert not any(r.contaminated for r in decontaminate.hits(awkward, bench.limit(0)).collect())
+
+
+def test_language_of_unknown_script(docs):
+    frame = docs.limit(1).select("doc_id", F.lit("Привет мир и все люди").alias("text"))
+    got = language.identify(frame, language.fit(docs)).first()
+    assert got.lang_pred != "und" and got.score == 0 and [s.lang for s in got.spans] == ["und"]
