@@ -63,20 +63,28 @@ class _WordIds(dict):
         self.tokenizer = Tokenizer.from_str(spec)
         self.spelling = _byte_level()
         self.plain = _is_word_bpe(spec)
+        self.kind = _id_kind(spec)
 
     def __missing__(self, word: str) -> bytes:
         core = word.rstrip(_TAIL)
         lower = core.lower()
         if self.plain and core and lower.isalpha() and max(core) < _PLAIN and max(lower) < _PLAIN:
-            ids = np.array([t.id for t in self.tokenizer.model.tokenize(lower.translate(self.spelling))], "<u4").tobytes()
+            ids = np.array([t.id for t in self.tokenizer.model.tokenize(lower.translate(self.spelling))], self.kind).tobytes()
             if len(core) < len(word):
                 ids += self[word[len(core) :]]
         else:
-            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
         self[word] = ids
         return ids
 
 
+def _id_kind(spec: str) -> str:
+    """Two bytes an id where the vocabulary allows it, else four, while pieces are written and moved."""
+    parsed = json.loads(spec)
+    known = [*parsed["model"]["vocab"].values(), *(x["id"] for x in parsed.get("added_tokens", ()))]
+    return "<u2" if max(known, default=0) < 1 << 16 else "<u4"
+
+
 def _is_word_bpe(spec: str) -> bool:
     """True for a lower-casing byte-level BPE that marks word ends, whose letter runs stand alone."""
     parsed = json.loads(spec)
@@ -97,7 +105,7 @@ def _word_ids(spec: str) -> _WordIds:
 def tokenize(docs: DataFrame, tokenizer_path: str, piece: int = PIECE, doc: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """Pieces of at most ``piece`` ids: doc_id, source, start, length, doc_tokens, ids, block, upto.
 
-    ``ids`` are unsigned 32-bit little-endian; the text's ids are followed by the end id, so a null or
+    ``ids`` are packed as ``_id_kind`` says; the text's ids are followed by the end id, so a null or
     empty text is one piece of one id. ``block`` is the task, ``upto`` the tokens of the source in
     that task up to the piece's end: written out, they are the order of the queues.
     """
@@ -108,10 +116,11 @@ def tokenize(docs: DataFrame, tokenizer_path: str, piece: int = PIECE, doc: str
         F.coalesce(F.col(f"`{source}`").cast("string"), F.lit("")).alias("source"),
         F.col(f"`{text}`").cast("string").alias("text"),
     )
-    end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId()
+        kind = np.dtype(_id_kind(spec.value))
+        end, wide = np.array([END_ID], kind).tobytes(), kind.itemsize
         done: dict[str, int] = {}
         for b in slices(batches):
             known = _word_ids(spec.value)
@@ -119,7 +128,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, piece: int = PIECE, doc: str
             row, start, length, upto, total, ids = [], [], [], [], [], []
             for k, said in enumerate(b.column("text").to_pylist()):
                 raw = b"".join(map(known.__getitem__, (said or "").replace("\n", " ").split(" "))) + end if said else end
-                n = len(raw) // 4
+                n = len(raw) // wide
                 for at in range(0, n, piece):
                     size = min(piece, n - at)
                     done[names[k]] = reached = done.get(names[k], 0) + size
@@ -128,7 +137,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, piece: int = PIECE, doc: str
                     length.append(size)
                     upto.append(reached)
                     total.append(n)
-                    ids.append(raw[4 * at : 4 * (at + size)])
+                    ids.append(raw[wide * at : wide * (at + size)])
             at = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").take(at), b.column("source").take(at), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
@@ -194,6 +203,10 @@ def pack(
     laid = laid.repartition("part").sortWithinPartitions("part", "round", "source", "end")
     laid = laid.select("doc_id", "source", "start", "length", "doc_tokens", "ids", "part", "base")
 
+    with open(tokenizer_path, encoding="utf-8") as f:
+        kind = np.dtype(_id_kind(f.read()))
+    wide = kind.itemsize
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, reached = None, 0
         for b in batches:
@@ -219,7 +232,7 @@ def pack(
             size = np.minimum((number + 1) * sequence, place[row] + length[row]) - first
             inside = first - place[row]
             ids = b.column("ids").to_pylist()
-            cut = [ids[r] if n == length[r] else ids[r][4 * a : 4 * (a + n)] for r, a, n in zip(row.tolist(), inside.tolist(), size.tolist())]
+            cut = [np.frombuffer(ids[r], kind, n, wide * a).astype("<u4").tobytes() for r, a, n in zip(row.tolist(), inside.tolist(), size.tolist())]
             at = pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").take(at), b.column("source").take(at), pa.array(b.column("start").to_numpy()[row] + inside), pa.array(size),
