@@ -145,12 +145,13 @@ def read_turns(formatted: Column) -> Column:
 
 def masked_texts(blocks: Column, spans: Column) -> Column:
     """The texts under the loss mask, unescaped, one for each span; ``blocks`` is the formatted text cut at its turn marks."""
-    return F.transform(
-        spans,
-        lambda s: unescape(
-            F.substring(F.get(blocks, s["block"].cast("int")), (s["start"] + 1).cast("int"), s["length"].cast("int"))
-        ),
-    )
+
+    def cut(all_blocks: Column) -> Column:
+        one = lambda s: F.get(all_blocks, s["block"].cast("int"))
+        return F.transform(spans, lambda s: unescape(F.substring(one(s), (s["start"] + 1).cast("int"), s["length"].cast("int"))))
+
+    # Bound as a lambda's variable, the blocks are cut once and not once for each span.
+    return F.get(F.transform(F.array(blocks), cut), F.lit(0))
 
 
 def digests(chats: DataFrame, conv: str = "conv_id") -> DataFrame:
