@@ -38,6 +38,16 @@ def tree_clusters(df: DataFrame, columns: Sequence[str], k: int = 5, seed: int =
     return model.transform(vectors).drop("features")
 
 
+def tree_levels(df: DataFrame, columns: Sequence[str], k_max: int = 5, seed: int = 1) -> DataFrame:
+    """The divisive tree cut at every size: a column ``level_<k>`` of labels for each k from 2 to ``k_max``."""
+    vectors = _vectors(df, columns)
+    out = vectors
+    for k in range(2, k_max + 1):
+        model = BisectingKMeans(k=k, seed=seed, featuresCol="features", predictionCol=f"level_{k}").fit(vectors)
+        out = model.transform(out)
+    return out.drop("features")
+
+
 _SUM_FIELDS = "k int, start int, j int, n long, cost double"
 
 
@@ -47,7 +57,8 @@ def elbow_curve(
     """Least within-cluster sum of squares for k = 1..k_max over several random starts.
 
     All k and all starts advance together: one pass over the rows per iteration updates
-    every model, instead of one pass per model and iteration. A pass returns one row of
+    every model, instead of one pass per model and iteration. The first centres are rows of a pool of
+    ``k_max * starts`` rows, picked by a hash of their values. A pass returns one row of
     sums per centre, so what reaches the driver depends on k_max, starts and the number
     of columns only. Columns: k, wss.
     """

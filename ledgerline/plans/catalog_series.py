@@ -217,6 +217,15 @@ def cluster_tree(spark, folder):
     return clusters.tree_clusters(*_scaled(spark, folder)).select("o_custkey", "cluster")
 
 
+def cluster_levels(spark, folder):
+    """Each level of the tree labels every customer, with as many clusters as asked for at most (some cannot be divided)."""
+    levels = clusters.tree_levels(*_scaled(spark, folder)).select("o_custkey", *[f"level_{k}" for k in range(2, 6)])
+    rows = levels.unpivot(["o_custkey"], [f"level_{k}" for k in range(2, 6)], "level", "cluster")
+    return rows.groupBy("level").agg(
+        (F.count_distinct("cluster") <= F.max(F.substring("level", 7, 2).cast("int"))).alias("within"), F.count("*").alias("customers")
+    )
+
+
 def elbow(spark, folder):
     return clusters.elbow_curve(*profiles(spark, folder))
 
@@ -311,6 +320,11 @@ QUERIES = {
         f"select 1::int as k, round(sum(v) / 1e9, 2) as wss from (select m, var_pop(s) * count(*) as v from ({MONTH_CELLS_SQL}) p group by m) q",
     ),
     "t10_cluster_tree": (cluster_tree, None),
+    "t10_cluster_levels": (
+        cluster_levels,
+        "select 'level_' || k as level, true as within, count(distinct o_custkey) as customers from orders,"
+        " (select unnest(range(2, 6)) as k) levels where o_orderdate >= date '1999-08-31' group by k",
+    ),
     "t11_per_store": (
         per_store,
         "select l_suppkey, count(*) as n, cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as Sales from lineitem group by 1",
