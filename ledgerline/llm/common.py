@@ -7,6 +7,7 @@ Spark hands over at once; only a single text larger than the slice is handled by
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import sys
 from collections.abc import Iterator
@@ -22,7 +23,7 @@ from ledgerline.session import write_stage
 # Functions of this package travel with their job: executors need no copy of it.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 LAST_ID = (1 << 63) - 1
 
 
@@ -68,6 +69,16 @@ def slices(
             to = min(max(int(np.searchsorted(ends, done + limit, "right")), at + 1), at + rows)
             yield batch.slice(at, to - at)
             at = to
+        give_back()
+
+
+def give_back() -> None:
+    """Freed memory back to the system: workers live on between tasks, and allocators would keep their peak."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
 
 
 def text_offsets(column: pa.Array) -> np.ndarray:

@@ -35,7 +35,7 @@ LEAST_SHARE = 0.001
 _NEVER = -40.0
 UND = "und"
 #: Words whose scores are held before their paths are searched together.
-PATH_WORDS = 2_000_000
+PATH_WORDS = 750_000
 
 # Code point ranges of scripts.
 SCRIPTS = [
@@ -85,7 +85,7 @@ class _Letters:
         self.first = np.searchsorted(self.starts, self.offsets)
         self.data = data
         # Code points before each byte, to give spans in characters.
-        self.points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+        self.points = np.concatenate([np.zeros(1, np.int32), np.cumsum((raw & 0xC0) != 0x80, dtype=np.int32)])
 
     def scripts(self) -> np.ndarray:
         lead = self.data[self.starts].astype(np.int64)

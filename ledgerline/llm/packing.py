@@ -34,7 +34,7 @@ PIECE = 256
 ROUNDS = 4096
 END_ID = 1
 #: Distinct words whose ids a worker remembers; beyond it starts anew. No result depends on it.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 #: The most rows of block or round totals that are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
