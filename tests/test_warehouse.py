@@ -20,9 +20,9 @@ def test_two_batches(spark, folder, tmp_path):
         return lambda columns: sales_feed(spark, folder, [*columns, *({"order_dt"} - set(columns))]).filter(where).select(*columns)
 
     assert set(W.refresh_warehouse(spark, part(before), root, "one").versions.values()) == {1}
-    second = W.refresh_warehouse(spark, part(after), root, "two")
-    assert set(second.versions.values()) == {2} and second.batches == ["one", "two"]
-    assert {v for p, v in second.parts["orders"].items() if p >= 200000} == {2}
+    applied = W.refresh_warehouse(spark, part(after), root, "two")
+    assert set(applied.versions.values()) == {2} and applied.batches == ["one", "two"]
+    assert {v for p, v in applied.parts["orders"].items() if p >= 200000} == {2}
     some = W.read_warehouse(spark, root, months=range(200001, 200004))["orders"]
     assert {r[0] for r in some.select(F.date_format("order_date", "yyyyMM")).distinct().collect()} == {"200001", "200002", "200003"}
     tables = W.read_warehouse(spark, root)
@@ -44,7 +44,7 @@ def test_two_batches(spark, folder, tmp_path):
     assert view.count() == orders.count() and view.filter("store_city is null").count() == 0
 
     # A batch that was applied before changes nothing.
-    assert W.refresh_warehouse(spark, part(before), root, "one") == second
+    assert W.refresh_warehouse(spark, part(before), root, "one") == applied
     assert same(W.read_warehouse(spark, root)["vendor"], tables["vendor"])
 
     # The same rows under another name: nothing is lost, no day is left uncovered.
