@@ -58,25 +58,64 @@ MAX_LINKS = 0.33  # share of a block's characters inside links beyond which it i
 LENGTH_LOW, LENGTH_HIGH = 70, 200  # characters: a shorter block cannot decide, a longer one can
 STOP_LOW, STOP_HIGH = 0.10, 0.25  # share of stop words: below it is no prose, beyond it is
 
-_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]{0,4096}\"|'[^']{0,4096}')*+)>")
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+# A quote opens a value only after "="; one that nothing closes up to the page's end is a sign like others.
+_VALUE = r"\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]++)?+"
+_TAG = re.compile(rf"<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:{_VALUE})?+)*+)>")
+_TAG_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_NAMED = re.compile(r"[\s/]*+(?:[^\s/>][^\s/>=]*+(\s*+=\s*+)?)?")
+_BARE = re.compile(r"[^\s>]*+")
+_ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+def _attributes(said: str) -> dict[str, str]:
+    """The attributes of a start tag by lower-case name; the first of a name counts."""
+    out: dict[str, str] = {}
+    for name, a, b, c in _ATTRIBUTE.findall(said):
+        out.setdefault(name.lower(), a or b or c)
+    return out
+
+
+def _end_of_tag(page: str, at: int, lost: set[int]) -> int:
+    """Where the ">" of a tag with its name before ``at`` stands; -1 if its values reach to the page's end.
+
+    ``lost`` holds the quotes that are known to lead there. Each is followed once, so all the tags of
+    a page take linear time together.
+    """
+    tried = []
+    while True:
+        m = _NAMED.match(page, at)
+        at = m.end()
+        if m.group(1):
+            if at in lost:
+                break
+            end = page.find(page[at], at + 1) if page[at : at + 1] in ('"', "'") else -1
+            if end >= 0:
+                tried.append(at)
+                at = end + 1
+            else:
+                at = _BARE.match(page, at).end()
+        elif at >= len(page):
+            break
+        elif page[at] == ">":
+            return at
+    lost.update(tried)
+    return -1
+
+
 def _is_chrome(tag: str, attributes: str, in_article: bool) -> bool:
     if tag in CHROME_TAGS or (tag == "header" and not in_article):
         return True
     if not attributes:
         return False
-    for name, a, b, c in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), a or b or c
+    for name, value in _attributes(attributes).items():
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             return True
         if name == "style":
             if _HIDDEN.search(value):
                 return True
-        elif tag not in ("html", "body", "article", "main"):
+        elif name in ("class", "id", "role") and tag not in ("html", "body", "article", "main"):
             found = {x.lower() for x in _NAME.findall(value)}
             if found & CHROME_NAMES or (not in_article and found & HEADER_NAMES):
                 return True
@@ -97,6 +136,7 @@ def blocks_of(page: str) -> list[_Block]:
     parts: list[str] = []
     links = breaks = chrome = articles = scope = scopes = anchors = 0
     heading = False
+    lost: set[int] | None = None  # set once a tag's values have reached to the page's end
 
     def flush() -> None:
         nonlocal links, breaks
@@ -139,16 +179,25 @@ def blocks_of(page: str) -> list[_Block]:
         if page.startswith(("<!", "<?"), at):
             at = page.find(">", at) + 1 or size
             continue
-        m = _TAG.match(page, at)
-        if not m:
-            if at + 1 < size and (page[at + 1].isalpha() or page[at + 1] == "/"):
-                at = page.find(">", at) + 1 or size  # a tag with a stray quote
-            else:
-                said("<")
-                at += 1
-            continue
-        closing, tag, attributes = m.group(1), m.group(2).lower(), m.group(3)
-        at = m.end()
+        m = _TAG.match(page, at) if lost is None else None
+        if m:
+            attributes, at = m.group(3), m.end()
+        else:
+            m = _TAG_NAME.match(page, at)
+            if not m:
+                if page.startswith("</", at):
+                    at = page.find(">", at) + 1 or size
+                else:
+                    said("<")
+                    at += 1
+                continue
+            lost = set() if lost is None else lost
+            end = _end_of_tag(page, m.end(), lost)
+            if end < 0:  # no ">" but inside values: the tag ends at the first of these
+                end = page.find(">", m.end())
+                end = end if end >= 0 else size
+            attributes, at = page[m.end() : end], min(end + 1, size)
+        closing, tag = m.group(1), m.group(2).lower()
         if not closing and tag in RAW_TAGS:
             if tag not in ("noscript", "template"):
                 end = re.compile(f"</{tag}\\b", re.I).search(page, at)
