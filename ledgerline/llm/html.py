@@ -10,6 +10,7 @@ from __future__ import annotations
 import html as entities
 import re
 import sys
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -53,6 +54,16 @@ CHROME_NAMES = frozenset(
     """.split()
 )
 HEADER_NAMES = frozenset("header banner masthead".split())
+REPLY_NAMES = frozenset("comment comments commentlist disqus respond reply replies discussion".split())
+# Parts of a name that say what a page has, not what the element is; parts that only say what kind of box it is.
+STATE_PARTS = frozenset("has have had no not non with without is are show shows hide hides enable enabled disable disabled open closed can".split())
+BOX_PARTS = frozenset(
+    """
+    box boxes wrap wrapper wrapping container holder outer inner inside area block blocks section region zone slot unit
+    list lists item items link links button buttons bar icon icons post posts article articles story stories form field
+    panel text body content left right top bottom primary secondary default dark light fixed sticky widgets x px
+    """.split()
+)
 
 MAX_LINKS = 0.33  # share of a block's characters inside links beyond which it is navigation
 LENGTH_LOW, LENGTH_HIGH = 70, 200  # characters: a shorter block cannot decide, a longer one can
@@ -115,24 +126,53 @@ def _is_chrome(tag: str, attributes: str, in_article: bool) -> bool:
         if name == "style":
             if _HIDDEN.search(value):
                 return True
-        elif name in ("class", "id", "role") and tag not in ("html", "body", "article", "main"):
-            found = {x.lower() for x in _NAME.findall(value)}
-            if found & CHROME_NAMES or (not in_article and found & HEADER_NAMES):
-                return True
     return False
 
 
+def _chrome_name(tag: str, attributes: str, in_article: bool) -> str | None:
+    """What the names of an element call it, if that is chrome: a whole name, or what its last part says.
+
+    Parts that only tell the kind of a box are left out before (sidebar-left, ad-box); a name that begins
+    with a state (has-sidebar, no-sidebar, with-nav) is about the page.
+    """
+    if not attributes or tag in ("html", "body", "article", "main"):
+        return None
+    found = _attributes(attributes)
+    for value in (found.get("class"), found.get("id"), found.get("role")):
+        for name in (value or "").split():
+            parts = [x.lower() for x in _NAME.findall(name)]
+            if not parts or parts[0] in STATE_PARTS:
+                continue
+            while len(parts) > 1 and parts[-1] in BOX_PARTS:
+                parts.pop()
+            if parts[-1] in CHROME_NAMES or (not in_article and parts[-1] in HEADER_NAMES):
+                return parts[-1]
+    return None
+
+
+class _Named:
+    """An element that its name calls chrome, with the next such element (-1: none) and the article (0: none) around it."""
+
+    __slots__ = ("around", "scope", "main", "reply")
+
+    def __init__(self, around: int, scope: int, name: str):
+        self.around, self.scope, self.main, self.reply = around, scope, False, name in REPLY_NAMES
+
+
 class _Block:
-    __slots__ = ("text", "links", "chrome", "scope", "heading")
+    __slots__ = ("text", "links", "chrome", "scope", "heading", "named")
 
-    def __init__(self, text: str, links: int, chrome: bool, scope: int, heading: bool):
-        self.text, self.links, self.chrome, self.scope, self.heading = text, links, chrome, scope, heading
+    def __init__(self, text: str, links: int, chrome: bool, scope: int, heading: bool, named: int):
+        self.text, self.links, self.chrome, self.scope, self.heading, self.named = text, links, chrome, scope, heading, named
 
 
 def blocks_of(page: str) -> list[_Block]:
     """The page's blocks of text in order, white space made single, references decoded."""
     out: list[_Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements that matter: (tag, is chrome, is article)
+    stack: list[tuple[str, bool, bool, bool]] = []  # open elements that matter: (tag, is chrome, is article, is chrome by name)
+    called: list[_Named] = []
+    named = -1  # the innermost open one of these
+    homes: dict[int, int] = {}  # by scope, the innermost one around it
     parts: list[str] = []
     links = breaks = chrome = articles = scope = scopes = anchors = 0
     heading = False
@@ -143,15 +183,17 @@ def blocks_of(page: str) -> list[_Block]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(_Block(text, links, chrome > 0, scope if articles else 0, heading))
+                out.append(_Block(text, links, chrome > 0, scope if articles else 0, heading, named))
             parts.clear()
         links = breaks = 0
 
     def close(at: int) -> None:
-        nonlocal chrome, articles
-        for _, is_chrome, is_article in stack[at:]:
+        nonlocal chrome, articles, named
+        for _, is_chrome, is_article, _ in stack[at:]:
             chrome -= is_chrome
             articles -= is_article
+        for x in reversed(stack[at:]):
+            named = called[named].around if x[3] else named
         del stack[at:]
 
     def said(raw: str) -> None:
@@ -222,35 +264,88 @@ def blocks_of(page: str) -> list[_Block]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
                     if tag in BLOCK_TAGS or all(x[0] not in BLOCK_TAGS for x in stack[k + 1 :]):
-                        flush() if stack[k][1] else None
+                        flush() if stack[k][1] or stack[k][3] else None
                         close(k)
                     break
             continue
         is_article = tag in ("article", "main")
         if is_article:
             # An article ends what was left open around it, unless it is a card in a side column.
-            k = next((k for k, x in enumerate(stack) if x[1] and x[0] in ("nav", "header", "form", "head", "ul", "li")), None)
+            k = next((k for k, x in enumerate(stack) if (x[1] or x[3]) and x[0] in ("nav", "header", "form", "head", "ul", "li")), None)
             if k is not None:
                 close(k)
             if not articles:
                 scopes += 1
                 scope = scopes
+                homes[scope] = named
         if tag == "p":
             # A paragraph ends the one before; only containers are kept open.
             k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == "p"), None)
             if k is not None and all(x[0] not in BLOCK_TAGS for x in stack[k + 1 :]):
                 close(k)
+            if named >= 0 and tag == "main":
+                called[named].main = True
         is_chrome = tag in ("noscript", "template") or _is_chrome(tag, attributes, articles > 0)
-        if is_chrome:
+        name = None if is_chrome else _chrome_name(tag, attributes, articles > 0)
+        if is_chrome or name:
             flush()
-        if is_chrome or is_article or tag in BLOCK_TAGS:
-            stack.append((tag, is_chrome, is_article))
+        if name:
+            called.append(_Named(named, scope if articles else 0, name))
+            named = len(called) - 1
+        if is_chrome or name or is_article or tag in BLOCK_TAGS:
+            stack.append((tag, is_chrome, is_article, bool(name)))
             chrome += is_chrome
             articles += is_article
     flush()
+    _settle(out, called, homes)
     return out
 
 
+def _settle(blocks: list[_Block], called: list[_Named], homes: dict[int, int]) -> None:
+    """Mark the blocks in elements that are chrome by name, but for those that hold the page's text.
+
+    An element is not what its name says if it holds main, the longest article of a page that has none
+    elsewhere, or most of the page's prose. Beside an article the last is no reason; readers' replies
+    may well be most of a page, so they are text only if nothing else is.
+    """
+    if not called:
+        return
+    prose = [_prose(b) for b in blocks]
+    if not any(prose):  # short lines only: all that are not links count
+        prose = [0 if b.chrome or b.links > MAX_LINKS * len(b.text) else len(b.text) for b in blocks]
+    total = sum(prose)
+    own, articles = [0] * (len(called) + 1), Counter()  # the last of own is the prose in no named element
+    for b, n in zip(blocks, prose):
+        own[b.named] += n
+        if b.scope and not b.chrome:
+            articles[b.scope] += n
+    inside = list(own)
+    for k in range(len(called) - 1, -1, -1):
+        inside[called[k].around] += inside[k]
+        if called[k].around >= 0:
+            called[called[k].around].main |= called[k].main
+    holds = set()  # the named elements around the longest article
+    if articles and all(homes[x] >= 0 for x in articles):
+        k = homes[max(articles, key=lambda x: articles[x])]
+        while k >= 0:
+            holds.add(k)
+            k = called[k].around
+    around = {homes[x] for x in articles}
+    article = -1 in around  # whether an article is found to be text
+    good, others = {-1}, own[-1]  # others: the prose of what is found to hold text, without the named elements in it
+    order = sorted(range(len(called)), key=lambda k: called[k].reply)
+    for k in order + order:  # twice, for elements inside of replies
+        c = called[k]
+        if k not in good and c.around in good and (
+            c.main or (k in holds and inside[k] > others) or (2 * inside[k] > total and not (c.reply and others) and (c.scope or not article))
+        ):
+            good.add(k)
+            article |= k in around
+            others += own[k]
+    for b in blocks:
+        b.chrome = b.chrome or b.named not in good
+
+
 def _nearest(blocks: list[_Block], label: list[bool | None]) -> list[int | None]:
     """For each block, the last decided one before it that has a say.
 
@@ -266,6 +361,18 @@ def _nearest(blocks: list[_Block], label: list[bool | None]) -> list[int | None]
     return out
 
 
+def _prose(b: _Block) -> int:
+    """The characters of a block that may be of the article by its length, links and stop words, 0 for others."""
+    if b.chrome or b.heading or len(b.text) < LENGTH_LOW or b.links > MAX_LINKS * len(b.text):
+        return 0
+    return len(b.text) if b.scope or _stop_share(b) >= STOP_LOW else 0
+
+
+def _stop_share(b: _Block) -> float:
+    found = b.text.lower().split()
+    return sum(w.strip(".,;:!?") in STOP_WORDS for w in found) / len(found)
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks joined by line feeds."""
     blocks = blocks_of(page or "")
@@ -275,8 +382,7 @@ def main_text(page: str | None) -> str:
         if b.chrome or density > MAX_LINKS:
             label.append(False)
             continue
-        found = b.text.lower().split()
-        stops = sum(w.strip(".,;:!?") in STOP_WORDS for w in found) / len(found)
+        stops = _stop_share(b)
         if length >= LENGTH_HIGH and stops >= STOP_HIGH:
             label.append(True)
         elif b.scope or length < LENGTH_LOW or b.heading or stops >= STOP_LOW:

@@ -26,3 +26,22 @@ def test_unclosed_quotes():
     start = time.process_time()
     html.main_text("<a b='>'" * 40_000 + "<a b=\">\" c='" * 40_000)
     assert time.process_time() - start < 30  # each tag reaches to the end of the page
+
+
+def test_wrappers_of_the_text_are_not_chrome():
+    for name in ("layout has-sidebar", "no-sidebar", "with-nav", "social-share-enabled", "comments-open", "sidebar", "content-sidebar-wrap", "Widget"):
+        nav = '<div class="main-nav"><p>Home of all</p></div><div id="sidebar-left"><p>The side of it.</p></div>'
+        assert html.main_text(f'<div class="{name}">{nav}<article><p>Text.</p><p>{PROSE}</p></article></div>') == f"Text.\n{PROSE}"
+        assert html.main_text(f'<div class="{name}">{nav}<div><p>{PROSE}</p></div></div><div class="ad-box">Buy it.</div>') == PROSE
+        assert html.main_text(f'<div class="{name}">{nav}<main><p>Text.</p></main></div>') == "Text."
+
+
+def test_side_columns_and_replies_stay_chrome():
+    cards = "".join(f"<article><p>{PROSE}</p></article>" for _ in range(5))
+    for side in ("comments", "related-posts", "sidebar"):
+        assert html.main_text(f'<article><p>{PROSE}</p></article><div class="{side}"><p>x</p>{"" if side == "sidebar" else cards}</div>') == PROSE
+    thread = f'<div class="comment-list"><div class="comment"><p>{PROSE}</p></div></div>'
+    assert html.main_text(f"<div><p>{PROSE}</p></div>" + thread * 5) == PROSE
+    assert html.main_text(f'<div class="sidebar">{thread * 5}<div><p>{PROSE}</p></div></div>') == PROSE
+    assert html.main_text(thread) == PROSE  # a page of replies alone
+    assert len(html.main_text('<div class="ad">' * 20_000 + PROSE)) == len(PROSE)
