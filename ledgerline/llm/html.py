@@ -310,9 +310,11 @@ def _settle(blocks: list[_Block], called: list[_Named], homes: dict[int, int]) -
     """
     if not called:
         return
-    prose = [_prose(b) for b in blocks]
-    if not any(prose):  # short lines only: all that are not links count
-        prose = [0 if b.chrome or b.links > MAX_LINKS * len(b.text) else len(b.text) for b in blocks]
+    stops = [_stops(b.text) for b in blocks]
+    known = _knows(blocks, stops)
+    plain = [0 if b.chrome or b.heading or b.links > MAX_LINKS * len(b.text) else len(b.text) for b in blocks]
+    prose = [n if n >= LENGTH_LOW and (b.scope or not known or x >= STOP_LOW * w) else 0 for b, n, (x, w) in zip(blocks, plain, stops)]
+    prose = prose if any(prose) else plain  # short lines only: all that are not links count
     total = sum(prose)
     own, articles = [0] * (len(called) + 1), Counter()  # the last of own is the prose in no named element
     for b, n in zip(blocks, prose):
@@ -361,34 +363,48 @@ def _nearest(blocks: list[_Block], label: list[bool | None]) -> list[int | None]
     return out
 
 
-def _prose(b: _Block) -> int:
-    """The characters of a block that may be of the article by its length, links and stop words, 0 for others."""
-    if b.chrome or b.heading or len(b.text) < LENGTH_LOW or b.links > MAX_LINKS * len(b.text):
-        return 0
-    return len(b.text) if b.scope or _stop_share(b) >= STOP_LOW else 0
+def _stops(text: str) -> tuple[int, int]:
+    """The stop words and all the words of a text."""
+    found = text.lower().split()
+    return sum(w.strip(".,;:!?") in STOP_WORDS for w in found), len(found)
 
 
-def _stop_share(b: _Block) -> float:
-    found = b.text.lower().split()
-    return sum(w.strip(".,;:!?") in STOP_WORDS for w in found) / len(found)
+def _knows(blocks: list[_Block], stops: list[tuple[int, int]]) -> bool:
+    """Whether the page is in a language of the stop words, as its blocks of some length say together."""
+    fit = [x for b, x in zip(blocks, stops) if not (b.chrome or b.heading) and len(b.text) >= LENGTH_LOW and b.links <= MAX_LINKS * len(b.text)]
+    return sum(x for x, _ in fit) >= STOP_LOW * sum(n for _, n in fit)
+
+
+def _choose_by_length(blocks: list[_Block], label: list[bool | None]) -> None:
+    """Decide text on a page where the rules have found none: long undecided blocks, in its articles if they have any.
+
+    Where all are short, those are long that have half the length of the longest.
+    """
+    fit = [k for k, b in enumerate(blocks) if label[k] is None and not b.heading]
+    fit = [k for k in fit if blocks[k].scope] or fit
+    least = min(LENGTH_LOW, max((len(blocks[k].text) for k in fit), default=0) / 2)
+    for k in fit:
+        label[k] = len(blocks[k].text) >= least or None
 
 
 def main_text(page: str | None) -> str:
     """The article's blocks joined by line feeds."""
     blocks = blocks_of(page or "")
+    stops = [_stops(b.text) for b in blocks]
+    known = _knows(blocks, stops)
     label: list[bool | None] = []
-    for b in blocks:
-        length, density = len(b.text), b.links / len(b.text)
+    for b, (found, n) in zip(blocks, stops):
+        length, density, share = len(b.text), b.links / len(b.text), found / n
         if b.chrome or density > MAX_LINKS:
             label.append(False)
-            continue
-        stops = _stop_share(b)
-        if length >= LENGTH_HIGH and stops >= STOP_HIGH:
+        elif length >= LENGTH_HIGH and share >= STOP_HIGH:
             label.append(True)
-        elif b.scope or length < LENGTH_LOW or b.heading or stops >= STOP_LOW:
-            label.append(None)  # short, or odd prose where prose is to be expected
+        elif b.scope or length < LENGTH_LOW or b.heading or share >= STOP_LOW or not known:
+            label.append(None)  # short, or odd prose where prose is to be expected, or in a language without rules
         else:
             label.append(False)
+    if True not in label:
+        _choose_by_length(blocks, label)
     before, after = _nearest(blocks, label), _nearest(blocks[::-1], label[::-1])[::-1]
     keep: list[bool] = []
     for k, b in enumerate(blocks):

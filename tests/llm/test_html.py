@@ -45,3 +45,25 @@ def test_side_columns_and_replies_stay_chrome():
     assert html.main_text(f'<div class="sidebar">{thread * 5}<div><p>{PROSE}</p></div></div>') == PROSE
     assert html.main_text(thread) == PROSE  # a page of replies alone
     assert len(html.main_text('<div class="ad">' * 20_000 + PROSE)) == len(PROSE)
+
+
+def test_short_paragraphs_without_an_article():
+    short = "The man and the dog of the town is in the house by the river, and so is she."
+    page = f'<nav><a href="/">Home</a></nav><div><h1>A title</h1><p>{short}</p><p>Short.</p><p>{short}</p></div><p><a href="/b">{short}</a></p><footer>{short}</footer>'
+    assert html.main_text(page) == f"A title\n{short}\nShort.\n{short}"
+    assert html.main_text("<div><p>One line of it.</p><p>Another line.</p></div><footer>Not this line at all.</footer>") == "One line of it.\nAnother line."
+    # A line of links has no say about an article without a long paragraph.
+    assert html.main_text(f'<article><p>{short}</p><p><a href="/b">{short}</a></p><p>{short}</p></article><p>Aside</p>').startswith(f"{short}\n{short}")
+
+
+def test_prose_of_languages_without_stop_words():
+    polish = "Stary rybak mieszkał nad brzegiem rzeki i codziennie przed świtem wypływał łodzią, żeby sprawdzić sieci zastawione poprzedniego wieczoru. "
+    russian = "Старый рыбак жил на берегу реки и каждый день перед рассветом выходил на лодке проверить сети, поставленные накануне вечером. "
+    chinese = "老渔夫住在河边，每天黎明之前划船出去检查前一天晚上布下的渔网，然后把鱼带到镇上的市场去卖。"
+    for text in (polish * 3, polish, russian * 3, russian, chinese * 6, chinese):
+        text = text.strip()
+        page = f'<nav><a href="/">{text}</a></nav><div class="has-menu"><p>{text}</p><p>{text}</p></div><div class="sidebar"><p>{text}</p></div>'
+        assert html.main_text(page) == f"{text}\n{text}"
+    # On a page in a language of the rules, a block without stop words is no prose still.
+    junk = "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda omega sigma tau"
+    assert html.main_text(f"<p>{PROSE}</p><p>{PROSE}</p><p>{junk}</p>") == f"{PROSE}\n{PROSE}"
