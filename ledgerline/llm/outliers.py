@@ -33,7 +33,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Base rule.
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-#: Rows from which a group has an estimate of its own; smaller ones share one per language, then one for all.
+#: Rows from which a group has an estimate of its own; smaller ones share one per language, then one for all; too few of these have one of all rows.
 MIN_ROWS = 100
 #: Share of a group's rows that the estimate is concentrated on.
 COVERAGE = 0.75
@@ -314,6 +314,7 @@ def _groups(stats: DataFrame, lang: str, source: str, min_rows: int) -> DataFram
         "s",
         F.when(own | pooled, name("l", "=")).otherwise("all").alias("g_lang"),
         F.when(own, name("s", "=")).otherwise("pooled").alias("g_source"),
+        "n",
     )
 
 
@@ -323,18 +324,22 @@ def judge(stats: DataFrame, lang: str = "lang", source: str = "source", min_rows
     The base rule fails a document of under ten words, or with more than a fifth of its words in
     repeated five-word windows. The others are kept unless the squared distance from their group's
     estimate passes the chi-square point of ``tail``. A null language or source is one of its own.
-    Groups under ``min_rows`` are pooled by language, then altogether; a pool that is still smaller
-    rejects nothing (``distance2`` is null). Identical rows get identical verdicts; an empty table
+    Groups under ``min_rows`` are pooled by language, then altogether; a pool that is still smaller is
+    judged by an estimate over all rows. Only a table under ``min_rows`` rejects nothing (``distance2`` is null). Identical rows get identical verdicts; an empty table
     gives an empty one.
     """
     spark = stats.sparkSession
     stats = stage(stats, "statistics")
     totals = stats.agg(*[F.sum(c).alias(c) for c in COUNTS]).first()
     groups = stage(_groups(stats, f"`{lang}`", f"`{source}`", min_rows), "group_names")
-    side = _sized(groups)
+    rest = groups.where("g_lang = 'all'").agg(F.sum("n")).first()[0] or 0
+    side = _sized(groups.drop("n"))
     named = stats.join(side, stats[f"`{lang}`"].eqNullSafe(side["l"]) & stats[f"`{source}`"].eqNullSafe(side["s"]), "left").drop("l", "s")
     named = named.withColumns({f"x{i}": c for i, c in enumerate(_vector(totals))})
     vectors = stage(named.select("g_lang", "g_source", *[f"x{i}" for i in range(P)]), "vectors")
+    if 0 < rest < min_rows:  # too few for an estimate of their own: all rows stand for them
+        every = vectors.withColumns({"g_lang": F.lit("all"), "g_source": F.lit("pooled")})
+        vectors = vectors.where("g_lang <> 'all'").unionByName(every)
     params = _starts(vectors)
     for _ in range(STEPS):
         params = _concentrate(vectors, params, COVERAGE, None)
