@@ -199,7 +199,7 @@ def word_scores(letters: _Letters, model: Model) -> np.ndarray:
 def paths(scores: np.ndarray, first: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     """The best language of every word, for texts ``first[i]:first[i + 1]``, all texts a step at a time."""
     n, width = scores.shape
-    label = np.zeros(n, np.int8)
+    label = np.zeros(n, np.int16)
     if not n:
         return label
     length = np.diff(first)
@@ -207,7 +207,7 @@ def paths(scores: np.ndarray, first: np.ndarray, switch: float = SWITCH) -> np.n
     length, begin = length[order], first[:-1][order]
     active = np.searchsorted(-length, -np.arange(length[0]), "left")  # texts longer than t
     stay = np.zeros((n, width), bool)
-    best = np.zeros(n, np.int8)  # where a change at this word comes from
+    best = np.zeros(n, np.int16)  # where a change at this word comes from
     value = scores[begin[: active[0]]].copy()
     for t in range(1, length[0]):
         a = active[t]
