@@ -1,18 +1,19 @@
-"""Substring deduplication with prefix-partitioned suffix trees over words.
+"""Substring deduplication over words by naming the windows of partitioned suffixes.
 
 A window is 50 words. The suffixes that begin at the windows of all texts are split into groups by a
-prefix of theirs, each group fits into a task's memory, and the group's subtree is built there.
+minimizer in place of a prefix, each group fits into a task's memory, and its equal windows are found
+there by names in place of a suffix tree.
 
 *Groups.* Of all runs of eight words inside a suffix's first 50, the one with the least hash names the
 group: equal windows have the same one, and neighbouring suffixes mostly share it, so a group gets
 stretches of text (some 70 words for 22 suffixes) and not a copy of 50 words for each suffix. A group that only one
 document reaches has no repeats and is dropped before any text moves. A group of too many stretches
-is split further by the longest prefix there is, all 50 words: such a suffix travels as the hash
+is split further by all 50 words: such a suffix travels as the hash
 of those, and a combining minimum settles it, however many documents share it.
 
-*Subtrees.* Suffixes are named level by level, at depths 1, 2, 4, 8, 16, 32 and 50 words: a name is a node of
-the tree, and equal names at 50 words are the suffixes below one deep internal node. Neighbouring
-suffixes below deep nodes chain up to the maximal repeats.
+*Names.* Suffixes are named level by level, at depths 1, 2, 4, 8, 16, 32 and 50 words: equal names at 50 words
+are the suffixes that would be below one internal node of that depth in a tree. Neighbouring
+suffixes with shared names chain up to the repeats.
 
 Documents with the same words throughout are settled first: all but the one with the smallest id
 are repeats as a whole and take no part.
