@@ -191,8 +191,8 @@ def kmeans(spark, folder):
 def kmeans_checked(spark, folder):
     """What must hold of the clusters: each row is nearest to its own centre, and spreads add up.
 
-    Columns: customers, clusters, misplaced (rows nearer to another cluster's mean by more
-    than rounding), spread (within and between the clusters together).
+    Columns: customers, clusters, misplaced (rows whose squared distance to their own cluster's mean is
+    over 5% larger than to the nearest one: the fit ends before its centres stand quite still), spread (within and between the clusters together).
     """
     scaled, months = _scaled(spark, folder)
     rows = write_stage(clusters.kmeans_clusters(scaled, months).select("o_custkey", "cluster", F.array(*months).alias("x")), "clustered")
