@@ -13,7 +13,6 @@ is not full. When a queue runs dry, the others fill its place.
 
 from __future__ import annotations
 
-import json
 import sys
 from collections.abc import Iterator, Mapping
 
@@ -23,6 +22,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.llm import tokens
 from ledgerline.llm.common import slices, stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -32,80 +32,15 @@ SEQUENCE = 2048
 PIECE = 256
 #: Rounds whose pieces are laid out by one task: some eight million tokens.
 ROUNDS = 4096
-END_ID = 1
-#: Distinct words whose ids a worker remembers; beyond it starts anew. No result depends on it.
-REMEMBERED = 300_000
+#: Bytes of text that are tokenized at once: a larger slice repeats more of its words.
+TEXT_SLICE = 4 << 20
 #: The most rows of block or round totals that are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
-_TAIL = ".,;:!?|$#*%&"
-_PLAIN = "ƀ"
-
-
-def _byte_level() -> dict[int, str]:
-    """How byte-level tokenizers spell bytes: printable ones as they are, the others from code point 256 on."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    spelled = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in shown)}
-    return {c: "".join(spelled[b] for b in chr(c).encode()) for c in range(33, ord(_PLAIN)) if chr(c).isalpha()}
-
-
-class _WordIds(dict):
-    """The ids of a word as bytes; words are encoded once.
-
-    A text's ids are those of its words between blanks and line feeds in turn, as this kind of
-    tokenizer drops white space before it looks for tokens. A run of plain Latin letters, with
-    punctuation behind it or not, is given to the vocabulary at once; any other word to the whole tokenizer.
-    """
-
-    def __init__(self, spec: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(spec)
-        self.spelling = _byte_level()
-        self.plain = _is_word_bpe(spec)
-        self.kind = _id_kind(spec)
-
-    def __missing__(self, word: str) -> bytes:
-        core = word.rstrip(_TAIL)
-        lower = core.lower()
-        if self.plain and core and lower.isalpha() and max(core) < _PLAIN and max(lower) < _PLAIN:
-            ids = np.array([t.id for t in self.tokenizer.model.tokenize(lower.translate(self.spelling))], self.kind).tobytes()
-            if len(core) < len(word):
-                ids += self[word[len(core) :]]
-        else:
-            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
-        self[word] = ids
-        return ids
-
-
-def _id_kind(spec: str) -> str:
-    """Two bytes an id where the vocabulary allows it, else four, while pieces are written and moved."""
-    parsed = json.loads(spec)
-    known = [*parsed["model"]["vocab"].values(), *(x["id"] for x in parsed.get("added_tokens", ()))]
-    return "<u2" if max(known, default=0) < 1 << 16 else "<u4"
-
-
-def _is_word_bpe(spec: str) -> bool:
-    """True for a lower-casing byte-level BPE that marks word ends, whose letter runs stand alone."""
-    parsed = json.loads(spec)
-    steps = (parsed.get("normalizer") or {}).get("normalizers", [])
-    return parsed["model"].get("end_of_word_suffix") == "</w>" and any(x["type"] == "Lowercase" for x in steps)
-
-
-def _word_ids(spec: str) -> _WordIds:
-    """The worker's own table of words, kept between its tasks."""
-    import tokenizers
-
-    kept = getattr(tokenizers, "_ledgerline_words", None)
-    if kept is None or kept[0] != hash(spec) or len(kept[1]) > REMEMBERED:
-        kept = tokenizers._ledgerline_words = (hash(spec), _WordIds(spec))
-    return kept[1]
-
-
 def tokenize(docs: DataFrame, tokenizer_path: str, piece: int = PIECE, doc: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """Pieces of at most ``piece`` ids: doc_id, source, start, length, doc_tokens, ids, block, upto.
 
-    ``ids`` are packed as ``_id_kind`` says; the text's ids are followed by the end id, so a null or
+    ``ids`` are packed as ``tokens.id_kind`` says; the text's ids are followed by the end id, so a null or
     empty text is one piece of one id. ``block`` is the task, ``upto`` the tokens of the source in
     that task up to the piece's end: written out, they are the order of the queues.
     """
@@ -119,29 +54,16 @@ def tokenize(docs: DataFrame, tokenizer_path: str, piece: int = PIECE, doc: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId()
-        kind = np.dtype(_id_kind(spec.value))
-        end, wide = np.array([END_ID], kind).tobytes(), kind.itemsize
         done: dict[str, int] = {}
-        for b in slices(batches):
-            known = _word_ids(spec.value)
-            names = b.column("source").to_pylist()
-            row, start, length, upto, total, ids = [], [], [], [], [], []
-            for k, said in enumerate(b.column("text").to_pylist()):
-                raw = b"".join(map(known.__getitem__, (said or "").replace("\n", " ").split(" "))) + end if said else end
-                n = len(raw) // wide
-                for at in range(0, n, piece):
-                    size = min(piece, n - at)
-                    done[names[k]] = reached = done.get(names[k], 0) + size
-                    row.append(k)
-                    start.append(at)
-                    length.append(size)
-                    upto.append(reached)
-                    total.append(n)
-                    ids.append(raw[wide * at : wide * (at + size)])
-            at = pa.array(row, pa.int64())
+        for b in slices(batches, limit=TEXT_SLICE):
+            ids, offsets = tokens.encode(b.column("text"), spec.value)
+            row, _, start, length = tokens.pieces(offsets, piece)
+            names = b.column("source").dictionary_encode()
+            upto = _running(names.indices.to_numpy()[row], length, names.dictionary.to_pylist(), done)
+            at = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").take(at), b.column("source").take(at), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
-                 pa.array(total, pa.int64()), pa.array(ids, pa.binary()), pa.array([block] * len(row), pa.int32()), pa.array(upto, pa.int64())],
+                [b.column("doc_id").take(at), b.column("source").take(at), pa.array(start), pa.array(length), pa.array(np.diff(offsets)[row]),
+                 tokens.as_binary(ids, length).cast(pa.binary()), pa.array(np.full(len(row), block, np.int32)), pa.array(upto)],
                 names=["doc_id", "source", "start", "length", "doc_tokens", "ids", "block", "upto"],
             )
 
@@ -149,6 +71,21 @@ def tokenize(docs: DataFrame, tokenizer_path: str, piece: int = PIECE, doc: str
     return read.mapInArrow(run, kinds)
 
 
+def _running(group: np.ndarray, value: np.ndarray, names: list, done: dict[str, int]) -> np.ndarray:
+    """The sum of its group's values up to each row, carried on in ``done`` from slice to slice."""
+    order = np.argsort(group, kind="stable")
+    sums = np.cumsum(value[order])
+    firsts = np.flatnonzero(np.diff(group[order], prepend=-1))
+    before = np.concatenate([[0], sums])[firsts]
+    had = np.array([done.get(names[g], 0) for g in group[order][firsts]], np.int64)
+    sums += np.repeat(had - before, np.diff(firsts, append=len(group)))
+    for g, s in zip(group[order][firsts], sums[np.append(firsts[1:], len(group)) - 1]):
+        done[names[g]] = int(s)
+    out = np.empty(len(group), np.int64)
+    out[order] = sums
+    return out
+
+
 def _side(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
@@ -204,8 +141,7 @@ def pack(
     laid = laid.select("doc_id", "source", "start", "length", "doc_tokens", "ids", "part", "base")
 
     with open(tokenizer_path, encoding="utf-8") as f:
-        kind = np.dtype(_id_kind(f.read()))
-    wide = kind.itemsize
+        kind = np.dtype(tokens.id_kind(f.read()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, reached = None, 0
@@ -231,12 +167,11 @@ def pack(
             first = np.maximum(number * sequence, place[row])
             size = np.minimum((number + 1) * sequence, place[row] + length[row]) - first
             inside = first - place[row]
-            ids = b.column("ids").to_pylist()
-            cut = [np.frombuffer(ids[r], kind, n, wide * a).astype("<u4").tobytes() for r, a, n in zip(row.tolist(), inside.tolist(), size.tolist())]
+            ids = tokens.binary_values(b.column("ids"), kind).astype("<u4")  # the cuts of a piece lie side by side
             at = pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").take(at), b.column("source").take(at), pa.array(b.column("start").to_numpy()[row] + inside), pa.array(size),
-                 b.column("doc_tokens").take(at), pa.array(cut, pa.binary()), pa.array(number), pa.array(first - number * sequence)],
+                 b.column("doc_tokens").take(at), tokens.as_binary(ids, size).cast(pa.binary()), pa.array(number), pa.array(first - number * sequence)],
                 names=["doc_id", "source", "start", "length", "doc_tokens", "ids", "sequence_id", "offset"],
             )
 

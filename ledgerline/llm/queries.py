@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, classifier, decontaminate, html, jaccard, language, lines, outliers, packing, repeats
+from ledgerline.llm import bestfit, centroids, chat, classifier, decontaminate, html, jaccard, language, lines, outliers, packing, repeats, whitening
 from ledgerline.llm.common import LAST_ID, held_out, table
 
 # --- 1: quality rules -------------------------------------------------------------------------
@@ -202,6 +202,68 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+# --- 11: best-fit packing ---------------------------------------------------------------------
+
+
+def op11_pattern_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed whole into as few sequences of 4096 tokens as length patterns allow."""
+    pieces = bestfit.pack(table(spark, folder, "documents"), tokenizer_file())
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+# --- 12: centroid clustering ------------------------------------------------------------------
+
+
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    """Every embedding of 64 components with its cluster after ten exact rounds from eight hashed starts."""
+    found = centroids.cluster(table(spark, folder, "embeddings"))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ",").cast("binary"), 256)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
+def _op12_sql(rounds: int = 10) -> str:
+    """The rounds written out one after the other, a row per vector and dimension."""
+    near = """d{r} as materialized (
+  select v.id, c.cluster, sum((v.x - c.x) * (v.x - c.x))::bigint as distance from v join c{r} c using (d) group by v.id, c.cluster
+), a{r} as materialized (
+  select id, arg_min(cluster, distance * 8 + cluster) as cluster, min(distance) as distance from d{r} group by id
+)"""
+    step = """c{n} as materialized (
+  select c.cluster, c.d, coalesce(m.x, c.x) as x from c{r} c left join (
+    select cluster, d, ((s - ((s % n) + n) % n) // n)::bigint as x
+    from (select a.cluster, v.d, sum(v.x)::bigint as s, count(*) as n from a{r} a join v using (id) group by all)
+  ) m using (cluster, d)
+)"""
+    parts = []
+    for r in range(rounds + 1):
+        parts.append(near.format(r=r))
+        if r < rounds:
+            parts.append(step.format(r=r, n=r + 1))
+    return f"""
+with kept as materialized (
+  select row_number() over () as id, vec_id, [floor(x::double * 1024)::bigint for x in embedding] as w
+  from embeddings
+  where len(embedding) = 64 and len([x for x in embedding if x is not null and isfinite(x::double)]) = 64
+), v as materialized (select id, unnest(range(64)) as d, unnest(w) as x from kept),
+starts as (select row_number() over (order by sha256('3:' || vec_id::varchar), w) - 1 as cluster, w from kept),
+c0 as materialized (select cluster, unnest(range(64)) as d, unnest(w) as x from starts where cluster < 8),
+{", ".join(parts)},
+digest as (select cluster, sha256(string_agg(x::varchar, ',' order by d)) as centroid_sha256 from c{rounds} group by cluster)
+select vec_id, cluster::integer as cluster, distance, sum(distance) over (partition by cluster)::bigint as cluster_inertia,
+  sum(distance) over ()::bigint as inertia, centroid_sha256
+from a{rounds} join kept using (id) join digest using (cluster)
+"""
+
+
+# --- 13: embedding whitening ------------------------------------------------------------------
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """The 32 leading whitened components of every embedding."""
+    found = whitening.whiten(table(spark, folder, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op1_outliers": (op1_outliers, None),
     "op2_chat_format": (op2_chat_format, OP2_SQL),
@@ -213,4 +275,7 @@ QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op8_jaccard": (op8_jaccard, None),
     "op9_decontaminate": (op9_decontaminate, OP9_SQL),
     "op10_language": (op10_language, None),
+    "op11_pattern_packing": (op11_pattern_packing, None),
+    "op12_centroids": (op12_centroids, _op12_sql()),
+    "op13_whitening": (op13_whitening, None),
 }

@@ -22,6 +22,8 @@ CONTRACTS = {
     "op7_html_text": ("pages", "page_id bigint, url string, text string, n_chars bigint"),
     "op8_jaccard": ("documents", "doc_id bigint, n_shingles bigint, component_id bigint"),
     "op10_language": ("documents", "doc_id bigint, held_out boolean, lang_pred string, score double"),
+    "op11_pattern_packing": (None, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"),
+    "op13_whitening": (None, "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double"),
 }
 
 
