@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import held_out, id_or_last, slices, text_bytes
+from ledgerline.llm.common import held_out, id_or_last, keeps_others, slices, text_bytes
 from ledgerline.llm.outliers import count_texts
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -154,6 +154,7 @@ def score_counts(counts: np.ndarray, model: Model, neighbours: int = NEIGHBOURS)
     return np.clip((weight @ model.labels) / weight.sum(axis=1), 0, 1)
 
 
+@keeps_others("text")
 def classify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The documents without their text, with ``score`` (0 to 1) and ``predicted`` (1 from ``THRESHOLD`` on).
 
@@ -163,13 +164,13 @@ def classify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     given = [f for f in docs.schema.fields if f.name not in ("score", "predicted", text)]
     schema = T.StructType([*given, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     names = [f.name for f in given]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # arrays: executors need no copy of the class
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "_said", rows=BLOCK_ROWS):
             counts = term_counts(b.column("_said"))
             blank = ~(counts[:, GRAM_TERMS:] > 0).any(axis=1)
-            score = np.where(blank, 0.0, score_counts(counts, shared.value)).astype(np.float64)
+            score = np.where(blank, 0.0, score_counts(counts, Model(**shared.value))).astype(np.float64)
             yield pa.RecordBatch.from_arrays(
                 [*[b.column(n) for n in names], pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))],
                 names=[*names, "score", "predicted"],

@@ -8,7 +8,9 @@ Spark hands over at once; only a single text larger than the slice is handled by
 from __future__ import annotations
 
 import ctypes
+import functools
 import hashlib
+import inspect
 import sys
 from collections.abc import Iterator
 
@@ -51,6 +53,37 @@ def held_out(column: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 4 == 2, F.lit(True))
 
 
+def keeps_others(*used: str, fixed: tuple[str, ...] = ()):
+    """For operators on a frame: columns they do not use pass through under names that clash with none of their own.
+
+    ``used`` are the operator's parameters that name columns, ``fixed`` the columns it always reads. Used columns reach the
+    operator under their usual names. A column of the result takes the place of a given one of its name.
+    """
+
+    def wrap(operator):
+        said = inspect.signature(operator)
+        frame = next(iter(said.parameters))
+        usual = {p: said.parameters[p].default for p in used}
+
+        @functools.wraps(operator)
+        def call(*args, **options):
+            given = said.bind(*args, **options)
+            given.apply_defaults()
+            df = given.arguments[frame]
+            own = {given.arguments[p]: usual[p] for p in used} | {c: c for c in fixed}
+            names = {c: own.get(c, f"__other{k}") for k, c in enumerate(df.columns)}
+            given.arguments.update(usual)
+            given.arguments[frame] = df.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+            out = operator(*given.args, **given.kwargs)
+            back = {n: c for c, n in names.items()}
+            new = {n for n in out.columns if n not in back}
+            return out.select(*[F.col(f"`{n}`").alias(back.get(n, n)) for n in out.columns if back.get(n) not in new])
+
+        return call
+
+    return wrap
+
+
 # --- texts in a batch -------------------------------------------------------------------------
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import id_or_last, stage, text_key
+from ledgerline.llm.common import id_or_last, keeps_others, stage, text_key
 
 WINDOW = 13
 #: The most n-grams of the benchmark that are broadcast (some 200 bytes each); more are joined by a shuffle.
@@ -105,6 +105,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, doc: str =
     )
 
 
+@keeps_others("doc", "text")
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, action: str = "documents", window: int = WINDOW, doc: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -130,10 +131,15 @@ def decontaminate(
     lead = F.when(F.regexp_like(F.get("_p", F.lit(0)), F.lit(f"^{_CASED_BETWEEN}")), 1).otherwise(0)
     joined = joined.withColumn("_lead", lead)
 
-    def hit(i: Column) -> Column:
-        word = F.floor((i - F.col("_lead")) / 2).cast("int")
-        return F.exists("spans", lambda s: (word >= s["start"]) & (word < s["start"] + s["size"]) & (i >= F.col("_lead")))
+    def hit(word: Column) -> Column:
+        return F.exists("spans", lambda s: (word >= s["start"]) & (word < s["start"] + s["size"]))
 
-    cut = F.concat_ws("", F.filter("_p", lambda _, i: ~hit(i)))
+    def gone(i: Column) -> Column:
+        """A hit word, or what stands between two of them; the piece at ``i`` is word number half of its place, or behind that word."""
+        place = i - F.col("_lead")
+        word = F.floor(place / 2).cast("int")
+        return (place >= 0) & hit(word) & ((place % 2 == 0) | hit(word + 1))
+
+    cut = F.concat_ws("", F.filter("_p", lambda _, i: ~gone(i)))
     named = F.when(F.col("spans").isNull(), F.col(f"`{text}`")).otherwise(cut).alias(text)
     return joined.select(*[named if c == text else F.col(f"`{c}`") for c in docs.columns])

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import slices
+from ledgerline.llm.common import keeps_others, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -283,8 +283,8 @@ def blocks_of(page: str) -> list[_Block]:
             k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == "p"), None)
             if k is not None and all(x[0] not in BLOCK_TAGS for x in stack[k + 1 :]):
                 close(k)
-            if named >= 0 and tag == "main":
-                called[named].main = True
+        if named >= 0 and tag == "main":
+            called[named].main = True
         is_chrome = tag in ("noscript", "template") or _is_chrome(tag, attributes, articles > 0)
         name = None if is_chrome else _chrome_name(tag, attributes, articles > 0)
         if is_chrome or name:
@@ -420,6 +420,7 @@ def main_text(page: str | None) -> str:
     return "\n".join(b.text for b, good in zip(blocks, keep) if good)
 
 
+@keeps_others("html")
 def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:
     """The pages with ``text`` in place of the html column, and ``n_chars``, its code points.
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import held_out, mix, ranges, slices, text_bytes
+from ledgerline.llm.common import held_out, keeps_others, mix, ranges, slices, text_bytes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -230,6 +230,7 @@ def paths(scores: np.ndarray, first: np.ndarray, switch: float = SWITCH) -> np.n
     return label
 
 
+@keeps_others("text")
 def identify(docs: DataFrame, model: Model, switch: float = SWITCH, text: str = "text", spans: bool = True) -> DataFrame:
     """The documents with ``lang_pred``, ``score`` and, if wanted, ``spans``.
 
@@ -241,19 +242,19 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH, text: str =
     columns that clash with the result's are replaced.
     """
     new = ["lang_pred", "score", *(["spans"] if spans else [])]
-    given = [f for f in docs.schema.fields if f.name not in (*new, "_said")]
+    given = [f for f in docs.schema.fields if f.name not in new]
     span_type = T.ArrayType(
         T.StructType([T.StructField("lang", T.StringType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType())])
     )
     kinds = {"lang_pred": T.StringType(), "score": T.DoubleType(), "spans": span_type}
     schema = T.StructType([*given, *[T.StructField(n, kinds[n]) for n in new]])
     names = [f.name for f in given]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # arrays: executors need no copy of the class
     # A string column that is passed on anyway is read from there, not sent twice.
     source = text if text in names and docs.schema[text].dataType == T.StringType() else "_said"
 
     def flush(held: list) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Model(**shared.value)
         offsets = np.cumsum([0, *[len(s) for _, _, s in held]])
         first = np.concatenate([x.first[:-1] + o for (_, x, _), o in zip(held, offsets)] + [offsets[-1:]])
         label = paths(np.concatenate([s for _, _, s in held]), first, switch)
@@ -294,7 +295,7 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH, text: str =
         held, words = [], 0
         for b in slices(batches, source):
             letters = _Letters(b.column(source))
-            held.append((b, letters, word_scores(letters, shared.value)))
+            held.append((b, letters, word_scores(letters, Model(**shared.value))))
             words += len(letters.starts)
             if words >= PATH_WORDS:
                 yield from flush(held)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import id_or_last, stage, text_key
+from ledgerline.llm.common import id_or_last, keeps_others, stage, text_key
 
 MIN_SITES = 10
 #: Log2 of a sketch's buckets: a standard error of 1.04 / sqrt(4096), under 2 %.
@@ -57,6 +57,7 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     return sure.select("h", "first").unionByName(near.join(exact, "h", "left_semi").select("h", "first"))
 
 
+@keeps_others("doc", "text", "site")
 def spread_dedup(
     docs: DataFrame, min_sites: int = MIN_SITES, doc: str = "doc_id", text: str = "text", site: str = "source"
 ) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import WHITE, Words, mix, range_hashes, slices, stage
+from ledgerline.llm.common import WHITE, Words, keeps_others, mix, range_hashes, slices, stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -127,6 +127,7 @@ def count_texts(column: pa.Array) -> dict[str, np.ndarray]:
     return out
 
 
+@keeps_others("text")
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents without their text, with the counts of ``COUNTS`` (long); clashing columns are replaced."""
     given = [f for f in docs.schema.fields if f.name not in (*COUNTS, text)]
@@ -308,7 +309,7 @@ def _groups(stats: DataFrame, lang: str, source: str, min_rows: int) -> DataFram
     per_lang = small.groupBy("l").agg(F.sum("n").alias("pooled"))
     joined = sizes.join(_sized(per_lang), sizes["l"].eqNullSafe(per_lang["l"]), "left").select(sizes["*"], "pooled")
     own, pooled = F.col("n") >= min_rows, F.col("pooled") >= min_rows
-    name = lambda c, tag: F.concat(F.lit(tag), F.coalesce(F.col(c), F.lit("")))
+    name = lambda c, tag: F.coalesce(F.concat(F.lit(tag), F.col(c)), F.lit("none"))
     return joined.select(
         "l",
         "s",
@@ -318,6 +319,7 @@ def _groups(stats: DataFrame, lang: str, source: str, min_rows: int) -> DataFram
     )
 
 
+@keeps_others("lang", "source", fixed=COUNTS)
 def judge(stats: DataFrame, lang: str = "lang", source: str = "source", min_rows: int = MIN_ROWS, tail: float = TAIL) -> DataFrame:
     """The rows of ``statistics`` with ``distance2``, ``base_failed`` and ``kept``.
 

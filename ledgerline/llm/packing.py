@@ -107,12 +107,14 @@ def pack(
 
     ``weights`` are the target proportions by source; a source that is not named has its own share
     of all tokens as its weight, so without weights the targets are the corpus's proportions and all
-    queues end together. A missing source is the source "". A null or empty text is its end id alone.
+    queues end together. A weight of 0 or less is refused, as every token must be packed. A missing source is the source "". A null or empty text is its end id alone.
     Rows that repeat a document are packed as often. An empty table gives no pieces. Other columns are not read.
 
     The ids are written once, moved by one shuffle, and laid out in tasks of ``ROUNDS`` rounds each; a
     source with a third of all rows is spread over all rounds like any other.
     """
+    if weights and min(weights.values()) <= 0:
+        raise ValueError("weights are above 0: a source without a share could not be packed")
     spark = docs.sparkSession
     pieces = stage(tokenize(docs, tokenizer_path, piece, doc, text, source), "pieces")
     blocks = stage(pieces.groupBy("source", "block").agg(F.sum("length").alias("n")), "blocks")
@@ -122,7 +124,7 @@ def pack(
     total = shares.agg(F.sum("n")).first()[0] or 1
     share = F.col("n") / F.lit(float(total))
     if weights:
-        given = spark.createDataFrame([(s, float(w)) for s, w in weights.items() if w > 0], "source string, w double")
+        given = spark.createDataFrame([(s, float(w)) for s, w in weights.items()], "source string, w double")
         shares = shares.join(F.broadcast(given), "source", "left").withColumn("w", F.coalesce("w", share))
     else:
         shares = shares.withColumn("w", share)

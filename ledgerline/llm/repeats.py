@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import Words, id_or_last, mix, range_hashes, ranges, signed, slices, stage, text_key
+from ledgerline.llm.common import Words, id_or_last, keeps_others, mix, range_hashes, ranges, signed, slices, stage, text_key
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -252,6 +252,7 @@ def repeat_spans(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, la
     return stage(spans.groupBy("_id", "_key").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans")), "spans")
 
 
+@keeps_others("doc", "text")
 def remove_repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, large_group: int = LARGE_GROUP, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents, all columns kept, without words in windows that also start in a document with a smaller id.
 
