@@ -22,7 +22,7 @@ from ledgerline.plans.catalog_scalars import (
 )
 from ledgerline.plans.feed import sales_feed, sales_feed_sql
 from ledgerline.plans.sqlforms import dimension_sql, dominant_sql, history_sql, merge_sql, retyped, title_sql
-from ledgerline.session import write_stage
+from ledgerline.session import scratch_path, write_stage
 from ledgerline.sources import sinks
 from ledgerline.sources.tables import load_parquet
 
@@ -254,6 +254,26 @@ def orders_view_in_range(spark, folder):
     return orders_view(spark, folder).filter(F.col("order_date").between(F.lit(date(2000, 1, 1)), F.lit(date(2000, 1, 14))))
 
 
+def orders_view_resolved(spark, folder):
+    """The same two weeks from orders whose dimension rows were resolved when they were written: joins by equality only."""
+    tables = _tables(spark, folder, _STAR)
+    known = {n: tables[n] for n in ("store", "item", "item_detail", "category", "vendor")}
+    fact = write_stage(W.resolve_versions(orders_fact(spark, folder), **known), "resolved")
+    view = W.orders_view(fact, **{n: tables[n] for n in _STAR}).filter(F.col("order_date").between(F.lit(date(2000, 1, 1)), F.lit(date(2000, 1, 14))))
+    return view.withColumn("total_volume_gallons", F.round("total_volume_gallons", 6))
+
+
+def vendor_in_buckets(spark, folder):
+    """The vendor dimension kept in buckets on disk, the later batch rewriting only buckets of its keys."""
+    dim, root, parts = W.DIMENSIONS["vendor"](), scratch_path(spark, "vendor"), {}
+    for where in (_BEFORE, _AFTER):
+        feed = sales_feed(spark, folder, W.FEED_FOR["vendor"]).filter(where)
+        daily = write_stage(W.daily_values(feed, dim), "vendor-daily")
+        change = lambda old, daily=daily: W.refresh_dimension(old, daily, dim)
+        parts, _, _ = sinks.rewrite_buckets(daily.select(dim.key_name), root, parts, 16, dim.key_name, change)
+    return sinks.read_parts(spark, root, parts, sinks.part_schema(spark, root, parts))
+
+
 def item_view(spark, folder):
     t = _tables(spark, folder, ["item", "item_detail", "category"])
     return W.item_view(t["item"], t["item_detail"], t["category"])
@@ -380,6 +400,10 @@ QUERIES = {
     "d07_orders_view_in_range": (
         orders_view_in_range, _orders_view_sql("order_date between date '2000-01-01' and date '2000-01-14'")
     ),
+    "d07_orders_view_resolved": (
+        orders_view_resolved, _orders_view_sql("order_date between date '2000-01-01' and date '2000-01-14'")
+    ),
+    "d02_vendor_in_buckets": (vendor_in_buckets, _merged_sql("vendor", _BEFORE, _AFTER)),
     "d08_item_view": (item_view, _item_view_sql(False)),
     "d08_item_view_dated": (item_view_dated, _item_view_sql(True)),
     "d09_store_view": (store_view, _STORE_VIEW_SQL),

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Container, Sequence
+from collections.abc import Callable, Container, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,11 +17,14 @@ from ledgerline.operators.joins import BROADCAST_BYTES, interval_join
 from ledgerline.session import write_stage
 from ledgerline.sources.sinks import (
     Manifest,
+    bucket_part,
     insert_absent,
     month_part,
+    part_schema,
     publish,
     read_manifest,
     read_parts,
+    rewrite_buckets,
     upsert,
     upsert_parts,
     write_manifest,
@@ -260,6 +264,88 @@ def gallons(millilitres: Column) -> Column:
     return millilitres.cast("decimal(24,10)") / F.lit("3785.41").cast("decimal(6,2)")
 
 
+# --- the versions in force, resolved into keys of the fact ---------------------------------------
+
+#: What a resolved order has beside its own columns: the start dates of the rows in force on its day, null where there is none,
+#: and the category of its item on that day.
+VERSION_KEYS = {"store": "store_start", "item": "item_start", "category": "category_start", "vendor": "vendor_start"}
+RESOLVED = T.StructType(
+    [
+        *ORDERS.fields,
+        T.StructField("category_nbr", T.IntegerType()),
+        *[T.StructField(c, T.DateType()) for c in VERSION_KEYS.values()],
+    ]
+)
+
+
+def resolve_versions(
+    orders: DataFrame, store: DataFrame, item: DataFrame, item_detail: DataFrame, category: DataFrame, vendor: DataFrame,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """The orders with :data:`VERSION_KEYS`: each names, with the dimension's number, one row of the dimension.
+
+    The four as-of joins of the view are done here, once when orders are written; reading is by equality then.
+    """
+    items = (
+        item.select("item_nbr", "start_date", "end_date", "orig_item_hash")
+        .join(item_detail.select("item_hash", "category_nbr"), F.col("orig_item_hash") == F.col("item_hash"), "left")
+        .select("item_nbr", "start_date", "end_date", "category_nbr")
+    )
+    df = orders.drop("category_nbr", *VERSION_KEYS.values())
+    for name, dim, key in (("store", store, "store_nbr"), ("item", items, "item_nbr"), ("category", category, "category_nbr"), ("vendor", vendor, "vendor_nbr")):
+        wanted = ["start_date", "end_date", *(["category_nbr"] if name == "item" else [])]
+        joined = interval_join(df, dim.select(key, *wanted), {key: key}, "order_date", max_broadcast_bytes=max_broadcast_bytes)
+        df = joined.withColumnRenamed("start_date", VERSION_KEYS[name]).drop("end_date")
+    own = [c for c in orders.columns if c not in RESOLVED.names]
+    return df.select(*RESOLVED.names, *own)
+
+
+def version_changes(old: DataFrame | None, new: DataFrame, key: str, payload: Sequence[str] = ()) -> DataFrame:
+    """Where the row in force may be another than before: key, low, high (days).
+
+    A row that is only in one of the two states counts from its start to its end; one whose end moved counts from the earlier end
+    to the later one. Days that no such range holds have the row they had.
+    """
+    if old is None:
+        return new.select(key, F.col("start_date").alias("low"), F.col("end_date").alias("high"))
+    a = old.select(key, "start_date", *payload, F.col("end_date").alias("was"))
+    b = new.select(key, "start_date", *payload, F.col("end_date").alias("is"))
+    # Null payloads must meet as well, so the payload is one value that is never null.
+    a, b = (x.withColumn("payload", F.to_json(F.struct(*payload)) if payload else F.lit("")).drop(*payload) for x in (a, b))
+    both = a.join(b, [key, "start_date", "payload"], "full").where("not (was <=> is)")
+    moved = F.col("was").isNotNull() & F.col("is").isNotNull()
+    return both.select(
+        key,
+        F.when(moved, F.date_add(F.least("was", "is"), 1)).otherwise(F.col("start_date")).alias("low"),
+        F.greatest("was", "is").alias("high"),
+    )
+
+
+def parts_to_resolve(spark: SparkSession, root: str, parts: Mapping[int, int], changes: Mapping[str, DataFrame]) -> set[int]:
+    """The parts of resolved orders that hold an order inside a changed range; ``changes`` are ranges by dimension.
+
+    Only parts of months that a range touches are read, and of these only the keys and the date.
+    """
+    months = sorted(p for p in parts if p)
+    if not months:
+        return set()
+    found: set[int] = set()
+    known = spark.createDataFrame([(p,) for p in months], "part int")
+    first = F.make_date(F.floor(F.col("part") / 100), F.col("part") % 100, F.lit(1))
+    for name, ranges in changes.items():
+        key = f"{name}_nbr"
+        low, high = (F.greatest(F.least(F.col(c), F.lit(date(x // 100, x % 100, 28))), F.lit(date(y // 100, y % 100, 1))) for c, x, y in (("low", months[-1], months[0]), ("high", months[-1], months[0])))
+        spans = ranges.select(F.trunc(low, "month").alias("a"), F.trunc(high, "month").alias("b")).distinct()  # a few for all keys of a batch
+        near = known.withColumn("day", first).join(F.broadcast(spans), F.col("day").between(F.col("a"), F.col("b")), "left_semi")
+        some = {r["part"]: parts[r["part"]] for r in near.collect() if r["part"] not in found}
+        if not some:
+            continue
+        facts = read_parts(spark, root, some, RESOLVED).select(key, "order_date", month_part("order_date").alias("part"))
+        inside = interval_join(facts, ranges, {key: key}, "order_date", "low", "high", how="left_semi")
+        found |= {r[0] for r in inside.select("part").distinct().collect()}
+    return found
+
+
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{prefix}{c}") for c in df.columns])
 
@@ -278,8 +364,10 @@ def orders_view(
     """Every order with the store, item, category and vendor in force on its date.
 
     Store, item and vendor are shown as seen on the day (the ``orig`` side), the
-    category with gaps filled.
+    category with gaps filled. Orders that carry :data:`VERSION_KEYS` are joined to them by
+    equality; for others the rows in force are looked up by date, dimension by dimension.
     """
+    resolved = set(VERSION_KEYS.values()) <= set(orders.columns)
     # The details are joined to the small dated rows, not once more to the large fact.
     stores = (
         store.select("store_nbr", "start_date", "end_date", "orig_store_hash")
@@ -300,9 +388,14 @@ def orders_view(
         "vendor_nbr", "start_date", "end_date", F.col("orig_vendor_name").alias("vendor_name")
     )
     df = orders
-    for dim, key in ((stores, "store_nbr"), (items, "item_nbr"), (categories, "category_nbr"), (vendors, "vendor_nbr")):
-        joined = interval_join(df, dim, {key: key}, "order_date", max_broadcast_bytes=max_broadcast_bytes)
-        df = joined.drop("start_date", "end_date")
+    for name, dim in (("store", stores), ("item", items), ("category", categories), ("vendor", vendors)):
+        key = f"{name}_nbr"
+        if resolved:
+            dim = dim.drop("category_nbr") if name == "item" else dim
+            df = df.join(dim.withColumnRenamed("start_date", VERSION_KEYS[name]).drop("end_date"), [key, VERSION_KEYS[name]], "left")
+        else:
+            joined = interval_join(df, dim, {key: key}, "order_date", max_broadcast_bytes=max_broadcast_bytes)
+            df = joined.drop("start_date", "end_date")
     volume = F.col("bottles_sold").cast("long") * F.coalesce("item_vol", F.lit(0))
     return df.select(
         "item_invoice_nbr", "order_date", "store_nbr", "store_name", "store_address", "store_city", "lat", "long",
@@ -421,18 +514,27 @@ INVOICE_COLUMNS = [
 ]
 
 
-def refresh_warehouse(spark: SparkSession, feed: Feed, root: str, batch: str | None = None) -> Manifest:
+#: Buckets of a dimension or detail table; a warehouse keeps the number it was started with.
+BUCKETS = 32
+
+
+def refresh_warehouse(spark: SparkSession, feed: Feed, root: str, batch: str | None = None, buckets: int = BUCKETS) -> Manifest:
     """Apply a batch to the tables below ``root`` (or start them); returns the new manifest.
 
     Every table's new state is written beside the old one. One manifest, written last, switches all
     tables, so a refresh that fails before leaves readers on the old state of all of them, and can
-    be run again. A ``batch`` id that was applied before changes nothing. Orders are kept in parts by
-    month, of which only those that the batch touches are rewritten. Item numbers that are no
+    be run again. A ``batch`` id that was applied before changes nothing.
+
+    Dimensions and details are kept in buckets of their key, of which only those with a key of the batch (or, for details, with
+    a new value) are rewritten. Orders are kept in parts by month with the dimension rows in force on their day resolved
+    (:func:`resolve_versions`): the parts that the batch touches are rewritten, and those with an older order for
+    which the batch changed the row in force. Item numbers that are no
     numbers, or too large for one, are kept with their counts in ``item_rejects``.
     """
     before = read_manifest(spark, root)
     if batch is not None and batch in before.batches:
         return before
+    sizes = {name: before.buckets.get(name, buckets) for name in [*DIMENSIONS, *DETAILS.values()]}
 
     def current(name: str) -> DataFrame | None:
         return _at_version(spark, root, name, before)
@@ -441,35 +543,79 @@ def refresh_warehouse(spark: SparkSession, feed: Feed, root: str, batch: str | N
         if name == "county":
             counties = feed(["county_nbr", "county_name"])
             return {name: publish(county_lookup(counties, existing=current(name)), f"{root}/{name}")}
-        if name == "orders":
-            # The batch is rolled up once and written: the upsert reads it several times.
-            rows = write_stage(invoice_rows(feed(INVOICE_COLUMNS)), "invoices")
-            parts = before.parts.get(name, {})
-            return {name: upsert_parts(rows, f"{root}/{name}", parts, ["item_invoice_nbr"], month_part("order_date"))}
         if name == "item_rejects":
             rejects = item_rejects(feed(["item_nbr"]))
             old = current(name)
             if old is not None:
                 rejects = old.unionByName(rejects).groupBy("item_nbr").agg(F.sum("rows").alias("rows"))
             return {name: publish(rejects, f"{root}/{name}")}
+        # The batch is rolled up once and written: the upsert reads it several times.
+        return {name: write_stage(invoice_rows(feed(INVOICE_COLUMNS)), "invoices")}
+
+    def refresh_dim(name: str) -> tuple[dict[str, dict[int, int]], DataFrame | None]:
         dim, detail, done = DIMENSIONS[name](), DETAILS.get(name), {}
-        daily = daily_values(feed(FEED_FOR[name]), dim)
+        daily = write_stage(daily_values(feed(FEED_FOR[name]), dim), f"{name}-daily")
         if detail is not None:
-            daily = write_stage(daily, f"{name}-daily")
-            done[detail] = publish(refresh_detail(current(detail), daily, dim), f"{root}/{detail}")
-        done[name] = publish(refresh_dimension(current(name), daily, dim), f"{root}/{name}")
-        return done
-
-    tables = [*DIMENSIONS, "county", "orders", "item_rejects"]
-    with ThreadPoolExecutor(len(tables)) as pool:
-        done = {k: v for found in pool.map(refresh, tables) for k, v in found.items()}
-    parts = {"orders": done.pop("orders")}
-    after = Manifest(done, parts, sorted(before.batches + ([batch] if batch is not None else [])))
+            done[detail] = _refresh_detail_buckets(spark, f"{root}/{detail}", before.parts.get(detail, {}), sizes[detail], daily, dim)
+        done[name], old, new = rewrite_buckets(
+            daily.select(dim.key_name), f"{root}/{name}", before.parts.get(name, {}), sizes[name], dim.key_name,
+            lambda rows: refresh_dimension(rows, daily, dim),
+        )
+        payload = ["orig_item_hash"] if name == "item" else []
+        changes = None if new is None else write_stage(version_changes(old, new, dim.key_name, payload), f"{name}-changes")
+        return done, changes
+
+    others = ["county", "item_rejects", "orders"]
+    with ThreadPoolExecutor(len(DIMENSIONS) + len(others)) as pool:
+        plain = [pool.submit(refresh, name) for name in others]
+        dims = {name: pool.submit(refresh_dim, name) for name in DIMENSIONS}
+        done = {k: v for p in plain for k, v in p.result().items()}
+        dims = {name: p.result() for name, p in dims.items()}
+    rows = done.pop("orders")
+    parts = {k: v for found, _ in dims.values() for k, v in found.items()}
+    tables = {n: table for n in ("store", "item", "item_detail", "category", "vendor") if (table := _of_parts(spark, root, n, parts.get(n))) is not None}
+
+    def resolve(orders: DataFrame) -> DataFrame:
+        return resolve_versions(orders, **tables)
+
+    old_parts = before.parts.get("orders", {})
+    changes = {name: c for name, (_, c) in dims.items() if c is not None}
+    stale = _unresolved(spark, f"{root}/orders", old_parts)
+    stale |= parts_to_resolve(spark, f"{root}/orders", {p: v for p, v in old_parts.items() if p not in stale}, changes)
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in RESOLVED.fields if f.name not in ORDERS.names]
+    rows = rows.select(*ORDERS.names, *empty)
+    parts["orders"] = upsert_parts(rows, f"{root}/orders", old_parts, ["item_invoice_nbr"], month_part("order_date"), stale, resolve)
+    after = Manifest(done, parts, sorted(before.batches + ([batch] if batch is not None else [])), sizes)
     write_manifest(spark, root, after)
     return after
 
 
+def _unresolved(spark: SparkSession, root: str, parts: dict[int, int]) -> set[int]:
+    """Parts written by a release that did not resolve versions: they are all due."""
+    one_each = {v: p for p, v in parts.items()}
+    bare = {v for v, p in one_each.items() if "store_start" not in part_schema(spark, root, {p: v}).names}
+    return {p for p, v in parts.items() if v in bare}
+
+
+def _refresh_detail_buckets(spark: SparkSession, root: str, parts: dict[int, int], buckets: int, daily: DataFrame, dim: Dimension) -> dict[int, int]:
+    """Add the batch's new values; only buckets that get one are rewritten."""
+    rows = write_stage(detail_rows(daily, dim), "detail-rows")
+    into = {r[0] for r in rows.select(bucket_part(dim.value_name, buckets)).distinct().collect()}
+    held = {p: v for p, v in parts.items() if p in into}
+    if held:
+        known = read_parts(spark, root, held, rows.schema)
+        rows = write_stage(rows.join(known.select(dim.value_name), dim.value_name, "left_anti").select(*rows.columns), "new-details")
+    change = lambda old: rows if old is None else old.unionByName(rows)
+    return rewrite_buckets(rows, root, parts, buckets, dim.value_name, change)[0]
+
+
+def _of_parts(spark: SparkSession, root: str, name: str, parts: dict[int, int] | None) -> DataFrame | None:
+    return read_parts(spark, f"{root}/{name}", parts, part_schema(spark, f"{root}/{name}", parts)) if parts else None
+
+
 def _at_version(spark: SparkSession, root: str, name: str, manifest: Manifest) -> DataFrame | None:
+    if name in manifest.parts:
+        return _of_parts(spark, root, name, manifest.parts[name])
     if name not in manifest.versions:
         return None
     return spark.read.parquet(f"{root}/{name}/version={manifest.versions[name]}")
@@ -492,5 +638,5 @@ def read_warehouse(spark: SparkSession, root: str, months: Container[int] | None
     parts = manifest.parts.get("orders")
     if parts is not None:
         wanted = {p: v for p, v in parts.items() if months is None or p in months}
-        found["orders"] = read_parts(spark, f"{root}/orders", wanted, ORDERS)
+        found["orders"] = read_parts(spark, f"{root}/orders", wanted, RESOLVED)
     return found

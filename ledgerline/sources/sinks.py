@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Container, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.session import write_stage
+from ledgerline.sources.keyfilters import parts_to_open, write_key_filters
 
 
 def append_rows(target: DataFrame, rows: DataFrame) -> DataFrame:
@@ -111,51 +112,111 @@ def read_parts(spark: SparkSession, root: str, parts: Mapping[int, int], schema:
     return spark.read.schema(schema).parquet(*[f"{root}/version={v}/part={p}" for p, v in sorted(parts.items())])
 
 
-def upsert_parts(rows: DataFrame, root: str, parts: Mapping[int, int], key: Sequence[str], part: Column) -> dict[int, int]:
+def upsert_parts(
+    rows: DataFrame,
+    root: str,
+    parts: Mapping[int, int],
+    key: Sequence[str],
+    part: Column,
+    also: Container[int] = (),
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+) -> dict[int, int]:
     """Drop the table's rows whose key comes in, add all incoming rows, and rewrite only the parts that this touches.
 
     ``part`` is the part number of a row, ``parts`` the table's present parts. A part is touched if
-    rows come into it or if it holds an incoming key (a key may have moved); these are found by
-    a scan of the key column alone. Returns the parts after the change, the untouched ones with the version
+    rows come into it or if it holds an incoming key (a key may have moved). Parts that cannot hold one by their
+    key filters are not opened; of the others the key column alone is read. Parts named by ``also`` are rewritten as well.
+    ``finish`` is applied to all rows of the touched parts before they are written; it keeps their columns.
+    Returns the parts after the change, the untouched ones with the version
     they had: their files stay as they are. ``rows`` is read several times: give a written one.
     """
     spark = rows.sparkSession
     marked = rows.withColumn("part", part)
-    into = [r[0] for r in marked.select("part").distinct().collect()]  # a number per month
-    whole = read_parts(spark, root, parts, rows.schema)
+    into = {r[0] for r in marked.select("part").distinct().collect()}  # a number per month
+    rest = {p: v for p, v in parts.items() if p not in into}
+    opened = parts_to_open(rows, root, rest, key)
+    whole = read_parts(spark, root, {p: v for p, v in rest.items() if p in opened}, rows.schema)
     found = whole.select(*key, part.alias("part")).join(rows.select(*key), list(key), "left_semi").select("part").distinct()
-    touched = {*into, *(r[0] for r in found.collect())} if parts else set(into)
+    moved = {r[0] for r in found.collect()} if opened else set()
+    touched = into | moved | {p for p in parts if p in also}
+    if not touched:
+        return dict(parts)
     old = read_parts(spark, root, {p: v for p, v in parts.items() if p in touched}, rows.schema)
     kept = old.join(rows.select(*key), list(key), "left_anti")
-    new = write_stage(kept.withColumn("part", part).unionByName(marked), "upserted")
-    written = [r[0] for r in new.select("part").distinct().collect()]
+    new = kept.withColumn("part", part).unionByName(marked)
+    new = write_stage(finish(new) if finish else new, "upserted")
+    return {p: v for p, v in parts.items() if p not in touched} | write_parts(new, root, key)
+
+
+def write_parts(rows: DataFrame, root: str, key: Sequence[str]) -> dict[int, int]:
+    """Write the parts named by the column ``part`` as a new version, with their key filters; give a written frame."""
+    written = [r[0] for r in rows.select("part").distinct().collect()]
     # One file set per part: a part is shuffled to as many tasks as its rows need, not to every task.
+    version = publish(rows.hint("rebalance", F.col("part")), root, ["part"])
+    write_key_filters(rows, root, version, key)
+    return dict.fromkeys(written, version)
+
+
+# --- a table in buckets of its key ------------------------------------------------------------
+
+
+def bucket_part(key: str, buckets: int) -> Column:
+    """The bucket of a key, whatever its type."""
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+
+
+def rewrite_buckets(
+    keys: DataFrame, root: str, parts: Mapping[int, int], buckets: int, key: str, change: Callable[[DataFrame | None], DataFrame]
+) -> tuple[dict[int, int], DataFrame | None, DataFrame | None]:
+    """Rewrite the buckets of ``keys`` as ``change`` makes them from their present rows; all other buckets keep their files.
+
+    ``change`` gets the rows of these buckets (None if there are none) and returns them anew.
+    Returns the parts after the change, and the buckets' rows before and after it.
+    """
+    spark = keys.sparkSession
+    touched = [r[0] for r in keys.select(bucket_part(key, buckets).alias("part")).distinct().collect()]  # as many as buckets
+    if not touched:
+        return dict(parts), None, None
+    held = {p: parts[p] for p in touched if p in parts}
+    old = read_parts(spark, root, held, part_schema(spark, root, held)) if held else None
+    new = write_stage(change(old).withColumn("part", bucket_part(key, buckets)), "buckets")
     version = publish(new.hint("rebalance", F.col("part")), root, ["part"])
-    return {p: v for p, v in parts.items() if p not in touched} | dict.fromkeys(written, version)
+    written = [r[0] for r in new.select("part").distinct().collect()]
+    return {p: v for p, v in parts.items() if p not in touched} | dict.fromkeys(written, version), old, new.drop("part")
+
+
+def part_schema(spark: SparkSession, root: str, parts: Mapping[int, int]) -> T.StructType:
+    """The columns of a table in parts, as its newest part has them."""
+    p, v = max(parts.items(), key=lambda x: x[1])
+    return spark.read.parquet(f"{root}/version={v}/part={p}").schema
 
 
 # --- several tables that switch together ----------------------------------------------------
 
 
-MANIFEST = "table string, part int, version int, batch string"
+MANIFEST = "table string, part int, version int, batch string, buckets int"
 
 
 @dataclass
 class Manifest:
-    """What is current: a version per table, a version per part of tables in parts, and the batches applied so far."""
+    """What is current: a version per table, a version per part of tables in parts (with the number of buckets of those
+    in buckets), and the batches applied so far."""
 
     versions: dict[str, int] = field(default_factory=dict)
     parts: dict[str, dict[int, int]] = field(default_factory=dict)
     batches: list[str] = field(default_factory=list)
+    buckets: dict[str, int] = field(default_factory=dict)
 
 
 def read_manifest(spark: SparkSession, root: str) -> Manifest:
     """The newest manifest below ``root``; an empty one at the start."""
-    rows = read_current(spark, f"{root}/manifest")
+    rows = read_current(spark, f"{root}/manifest", T._parse_datatype_string(MANIFEST))
     out = Manifest()
-    for r in [] if rows is None else rows.collect():  # a row per table, month and batch
+    for r in [] if rows is None else rows.collect():  # a row per table, part and batch
         if r["batch"] is not None:
             out.batches.append(r["batch"])
+        elif r["buckets"] is not None:
+            out.buckets[r["table"]] = r["buckets"]
         elif r["part"] is None:
             out.versions[r["table"]] = r["version"]
         else:
@@ -166,7 +227,8 @@ def read_manifest(spark: SparkSession, root: str) -> Manifest:
 
 def write_manifest(spark: SparkSession, root: str, manifest: Manifest) -> int:
     """Switch all tables below ``root`` at once: readers take the versions that the newest manifest names."""
-    rows = [(t, None, v, None) for t, v in manifest.versions.items()]
-    rows += [(t, p, v, None) for t, parts in manifest.parts.items() for p, v in parts.items()]
-    rows += [(None, None, None, b) for b in manifest.batches]
+    rows = [(t, None, v, None, None) for t, v in manifest.versions.items()]
+    rows += [(t, p, v, None, None) for t, parts in manifest.parts.items() for p, v in parts.items()]
+    rows += [(None, None, None, b, None) for b in manifest.batches]
+    rows += [(t, None, None, None, n) for t, n in manifest.buckets.items()]
     return publish(spark.createDataFrame(rows, MANIFEST).coalesce(1), f"{root}/manifest")

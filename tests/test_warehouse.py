@@ -128,3 +128,93 @@ def test_upsert_rewrites_touched_parts_only(spark, tmp_path):
     got = sorted((r.k, r.v) for r in read_parts(spark, root, second, old.schema).collect())
     assert got == [(1, "a"), (2, "moved"), (3, "too"), (4, "d"), (5, "e")]
     assert read_parts(spark, root, {}, old.schema).count() == 0
+
+
+def test_parts_ruled_out_by_their_key_filter_are_not_opened(spark, tmp_path):
+    import shutil
+    from datetime import date
+
+    from ledgerline.sources.sinks import month_part, read_parts, upsert_parts
+
+    rows = [(f"INV-{m:02d}-{k:05d}" if m != 5 else f"INV-{k % 12 + 1:02d}-x{k:05d}", date(2020, m, 1 + k % 28), m) for m in range(1, 13) for k in range(500)]
+    old = spark.createDataFrame(rows, "k string, d date, v int")
+    root, part = str(tmp_path / "t"), month_part("d")
+    parts = upsert_parts(old, root, {}, ["k"], part)
+    # Keys of February move to December; one new key. May holds keys of every month's range, so only its filter rules it out.
+    batch = spark.createDataFrame([(f"INV-02-{k:05d}", date(2020, 12, 5), -1) for k in range(20)] + [("INV-04-new", date(2020, 12, 6), -2)], "k string, d date, v int")
+    for p in (1, 3, 4, 5, 6, 7, 8, 9, 10, 11):  # whoever opens one of these finds no files
+        shutil.move(tmp_path / "t" / "version=1" / f"part={202000 + p}", tmp_path / f"away-{p}")
+    after = upsert_parts(batch, root, parts, ["k"], part)
+    assert {p for p, v in after.items() if v == 2} == {202002, 202012} and len(after) == 12
+    for p in (1, 3, 4, 5, 6, 7, 8, 9, 10, 11):
+        shutil.move(tmp_path / f"away-{p}", tmp_path / "t" / "version=1" / f"part={202000 + p}")
+    gone = {f"INV-02-{k:05d}" for k in range(20)}
+    want = sorted([r for r in rows if r[0] not in gone] + [tuple(r) for r in batch.collect()])
+    assert sorted(map(tuple, read_parts(spark, root, after, old.schema).collect())) == want
+
+
+def test_key_filters_never_miss_and_rarely_admit(spark, tmp_path):
+    from ledgerline.sources.keyfilters import parts_to_open, write_key_filters
+
+    root = str(tmp_path)
+    rows = spark.range(40_000).selectExpr("cast(id % 7 as int) as part", "cast(id * 3 as string) as k", "id % 11 as n")
+    rows = rows.unionByName(spark.createDataFrame([(9, None, 1), (8, "12", None)], "part int, k string, n long"))
+    write_key_filters(rows, root, 1, ["k", "n"])
+    parts = dict.fromkeys([*range(7), 8, 9], 1)
+    for k in (0, 1, 12_345, 39_999):
+        one = spark.createDataFrame([(str(k * 3), k % 11)], "k string, n long")
+        assert k % 7 in parts_to_open(one, root, parts, ["k", "n"])
+    absent = spark.range(300).selectExpr("cast(id * 3 + 1 as string) as k", "id % 11 as n")
+    assert len(parts_to_open(absent, root, parts, ["k", "n"])) <= 2  # 300 keys and 7 filters: 0.1 are expected
+    assert parts_to_open(absent, root, parts | {77: 5}, ["k", "n"]) >= {77}  # written without filters: always opened
+    assert parts_to_open(absent.where("false"), root, parts, ["k", "n"]) == set()
+    nulls = spark.createDataFrame([(None, None)], "k string, n long")
+    assert parts_to_open(nulls, root, parts, ["k", "n"]) == set()
+
+
+def test_late_batches_resolve_what_they_change(spark, folder, tmp_path):
+    """A batch of older days: the resolved view equals the view by dates, and only parts it changes are rewritten."""
+    root = str(tmp_path)
+
+    def part(where):
+        return lambda columns: sales_feed(spark, folder, [*columns, *({"order_dt"} - set(columns))]).filter(where).select(*columns)
+
+    def views():
+        tables = W.read_warehouse(spark, root)
+        orders = tables.pop("orders")
+        return W.orders_view(orders, **tables), W.orders_view(orders.select(*W.ORDERS.names), **tables)
+
+    W.refresh_warehouse(spark, part("order_dt < date '1997-01-01' or order_dt >= date '1997-07-01'"), root, "one")
+    assert same(*views())
+    first = W.read_manifest(spark, root)
+    # One store's late days: its keys change the row in force of later orders of the same keys alone.
+    late = part("order_dt between date '1997-02-01' and date '1997-02-03'")
+    second = W.refresh_warehouse(spark, late, root, "late")
+    resolved, dated = views()
+    assert same(resolved, dated) and "store_start" in W.read_warehouse(spark, root)["orders"].columns
+    assert {v for p, v in second.parts["orders"].items() if 0 < p < 199701} == {1}  # earlier months keep their files
+    for name in ("vendor", "item", "store", "item_detail"):
+        kept = {p for p, v in second.parts[name].items() if v == first.parts[name].get(p)}
+        assert kept or name == "vendor"
+        dim = W.DIMENSIONS[name]() if name in W.DIMENSIONS else None
+        if dim is not None:
+            keys = W.daily_values(late(W.FEED_FOR[name]), dim).select(dim.key_name)
+            from ledgerline.sources.sinks import bucket_part
+
+            assert kept == set(second.parts[name]) - {r[0] for r in keys.select(bucket_part(dim.key_name, second.buckets[name])).collect()}
+    assert second.buckets["vendor"] == W.BUCKETS
+    joins = resolved._jdf.queryExecution().optimizedPlan().toString()
+    assert "order_date" not in "".join(line for line in joins.split("\n") if "Join" in line)  # equality on keys only
+
+
+def test_version_changes_name_the_days_that_differ(spark):
+    from datetime import date
+
+    d = lambda m: date(2020, m, 1)
+    end, kind = date(2999, 12, 31), "k int, start_date date, end_date date, v string"
+    old = spark.createDataFrame([(1, d(1), end, "a"), (2, d(1), d(5), "a"), (2, d(6), end, None), (3, d(1), end, "a")], kind)
+    new = spark.createDataFrame([(1, d(1), date(2020, 2, 29), "a"), (1, d(3), end, "b"), (2, d(1), d(5), "a"), (2, d(6), end, None), (3, d(1), end, "z")], kind)
+    got = sorted(map(tuple, W.version_changes(old, new, "k", ["v"]).collect()))
+    assert got == [(1, d(3), end), (1, d(3), end), (3, d(1), end), (3, d(1), end)]
+    assert sorted(map(tuple, W.version_changes(None, new, "k").collect()))[0] == (1, d(1), date(2020, 2, 29))
+    assert W.version_changes(old, new, "k").where("k <> 1").count() == 0
