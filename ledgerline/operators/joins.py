@@ -8,7 +8,7 @@ after counting the rows.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,22 +17,11 @@ from pyspark.sql import functions as F
 from ledgerline.session import write_stage
 
 
-def _month_number(day: Column) -> Column:
-    return F.year(day) * 12 + F.month(day)
+def _day_number(day: Column) -> Column:
+    return F.datediff(day, F.lit("1970-01-01").cast("date"))
 
 
-def _clamped_month(day: Column, low: int | Column, high: int | Column) -> Column:
-    """Month number held to [low, high]; null days stay null.
-
-    Clamping is monotone, so an interval's clamped month range still holds the clamped
-    month of every day in it: any bounds give right results, close ones give few rows.
-    """
-    month = _month_number(day)
-    as_column = [x if isinstance(x, Column) else F.lit(x) for x in (low, high)]
-    return F.when(month.isNotNull(), F.least(F.greatest(month, as_column[0]), as_column[1]))
-
-
-#: Intervals of a key beyond which its rows are matched by month as well.
+#: Intervals of a key beyond which its days are looked up by tiles.
 BUSY_INTERVALS = 128
 #: Estimated bytes of a dimension up to which it is broadcast.
 BROADCAST_BYTES = 64 << 20
@@ -45,50 +34,84 @@ def _estimated_bytes(df: DataFrame, rows: int) -> int:
 
 @dataclass(frozen=True)
 class _Busy:
-    """The keys with many intervals, bounds for these intervals' months, and the rows of all intervals once those are spread."""
+    """The keys with many intervals, bounds for these intervals' days, and the rows of all other intervals.
+
+    A busy key has a ``__grain``: the tile level of its average interval, below which no tile is cut.
+    """
 
     keys: DataFrame | None
     low: int
     high: int
-    rows: int
+    rest: int
 
 
 def _busy(intervals: DataFrame, keys: Sequence[str], start: str, end: str, limit: int) -> _Busy:
-    """One job over the intervals, which brings back five numbers; the busy keys themselves are written.
-
-    Per key: how many intervals there are, and the first and last month in which any begins or
-    ends, open ends aside. An interval's months are counted as they will be once they are held to the
-    bounds of all busy keys, so the estimate of rows is an upper one.
-    """
-    dates = F.array(
-        F.when(F.year(start) > 1, _month_number(F.col(start))), F.when(F.year(end) < 2999, _month_number(F.col(end)))
-    )
+    """One job over the intervals, which brings back five numbers; only if there are busy keys, these are written."""
+    first, last = (_day_number(F.col(c)) for c in (start, end))
+    # Open ends are no days: they are cut to just outside the others.
+    dates = F.array(F.when(F.year(start) > 1, first), F.when(F.year(end) < 2999, last))
     per_key = intervals.groupBy(*keys).agg(
         F.count("*").alias("n"), F.min(F.array_min(dates)).alias("low"), F.max(F.array_max(dates)).alias("high")
     )
-    per_key = write_stage(per_key.withColumn("busy", F.col("n") > limit), "intervals_per_key")
-    busy = F.col("busy")
+    busy = F.col("n") > limit
     found = per_key.agg(
-        F.sum("n").alias("all"), F.sum(F.when(busy, F.col("n"))).alias("n"), F.count(F.when(busy, 1)).alias("keys"),
+        F.count(F.when(busy, 1)).alias("keys"), F.sum(F.when(~busy, F.col("n"))).alias("rest"),
         F.min(F.when(busy, F.col("low"))).alias("low"), F.max(F.when(busy, F.col("high"))).alias("high"),
     ).first()
-    low, high = (found["low"] or 1) - 1, (found["high"] or 0) + 1
-    # Consecutive intervals of a key share a month at most, and no key touches more months than there are.
-    spread = (found["n"] or 0) + found["keys"] * max(high - low + 1, 0)
-    marked = per_key.filter(busy).select(*keys, F.lit(True).alias("__busy")) if found["keys"] else None
-    return _Busy(marked, low, high, (found["all"] or 0) + spread)
+    low, high = (found["low"] or 0) - 1, (found["high"] or 0) + 1
+    if not found["keys"]:
+        return _Busy(None, low, high, found["rest"] or 0)
+    average = F.greatest((F.coalesce("high", F.lit(low)) - F.coalesce("low", F.lit(low)) + 1) / F.col("n"), F.lit(1))
+    marked = per_key.where(busy).select(*keys, F.floor(F.log2(average)).cast("int").alias("__grain"))
+    return _Busy(write_stage(marked, "busy_keys"), low, high, found["rest"] or 0)
+
+
+def _clamped_day(day: Column, busy: _Busy) -> Column:
+    """Days from the lowest bound, held to the bounds; null days stay null. Clamping is monotone, so a clamped interval still holds its clamped days."""
+    n = _day_number(day)
+    return F.when(n.isNotNull(), F.least(F.greatest(n, F.lit(busy.low)), F.lit(busy.high)) - F.lit(busy.low))
+
+
+def _tile(level: Column, day: Column) -> Column:
+    return level.cast("long") * F.lit(1 << 32) + F.floor(day / F.pow(F.lit(2.0), level)).cast("long")
+
 
+def _tiles(intervals: DataFrame, keys: Sequence[str], busy: _Busy, start: str, end: str) -> DataFrame:
+    """Intervals of busy keys, each with the dyadic tiles of its own size that it touches: ``__level``, ``__tile``.
 
-def _spread(df: DataFrame, keys: Sequence[str], busy: _Busy, first: Column, last: Column, out: str) -> DataFrame:
-    """Rows of busy keys once for each month from ``first`` to ``last``; all others once, with month 0."""
+    A tile of level l is 2**l days from a multiple of 2**l on. An interval takes the level of its length (the key's grain at least), so
+    that it touches two tiles at most, and a day lies in one tile of each level.
+    """
+    a, b = _clamped_day(F.col(start), busy), _clamped_day(F.col(end), busy)
+    cut = intervals.join(busy.keys, list(keys)).withColumns({"__a": a, "__b": b})
+    level = F.greatest(F.col("__grain"), F.ceil(F.log2(F.col("__b") - F.col("__a") + 1)).cast("int"))
+    cut = cut.withColumn("__level", level)
+    first, last = _tile(F.col("__level"), F.col("__a")), _tile(F.col("__level"), F.col("__b"))
+    return cut.withColumn("__tile", F.explode(F.sequence(first, last))).drop("__a", "__b", "__grain")
+
+
+#: Stands for the day where a key's rows are compared with all its intervals.
+_ANY_DAY = "0001-01-01"
+
+
+def _looked_up(points: DataFrame, day: str, dim: DataFrame, keys: Sequence[str], busy: _Busy, start: str, end: str) -> DataFrame:
+    """Points of busy keys with the dimension rows in force on their day: a point looks into one tile of every level that its key uses."""
+    tiles = write_stage(_tiles(dim, keys, busy, start, end), "tiles")
+    levels = tiles.groupBy(*keys).agg(F.collect_set("__level").alias("__levels"))  # as many as a day count has bits at most
+    looked = points.join(levels, list(keys)).withColumn("__level", F.explode("__levels")).drop("__levels")
+    looked = looked.withColumn("__tile", _tile(F.col("__level"), _clamped_day(F.col(day), busy)))
+    met = looked.drop("__level").join(tiles.drop("__level"), [*keys, "__tile"])
+    return met.where((F.col(start) <= F.col(day)) & (F.col(end) >= F.col(day))).drop("__tile")
+
+
+def _starting_inside(points: DataFrame, day: str, dim: DataFrame, keys: Sequence[str], busy: _Busy, start: str, end: str) -> DataFrame:
+    """Points with the dimension rows of their key in force on their day; all columns of both, pairs only."""
+    inside = (F.col(start) <= F.col(day)) & (F.col(end) >= F.col(day))
     if busy.keys is None:
-        return df.withColumn(out, F.lit(0))
-    marked = df.join(busy.keys, list(keys), "left")
-    low, high = (F.when(F.col("__busy"), _clamped_month(c, busy.low, busy.high)).otherwise(0) for c in (first, last))
-    if first is last:
-        return marked.withColumn(out, low).drop("__busy")
-    # A null end gives no months and so no row: such an interval holds no day.
-    return marked.withColumn(out, F.explode(F.sequence(low, high, F.lit(1)))).drop("__busy")
+        return points.join(dim.hint("merge"), list(keys)).where(inside)
+    few = dim.join(busy.keys.select(*keys), list(keys), "left_anti")
+    plain = points.join(few, list(keys)).where(inside)
+    return _looked_up(points, day, dim, keys, busy, start, end).unionByName(plain)
 
 
 def interval_join(
@@ -105,29 +128,38 @@ def interval_join(
     """Join each fact to the dimension rows of its key in force on its day.
 
     ``on`` maps fact key to dimension key. Most keys have few intervals: their facts are
-    joined on the key and tested against them. A key whose value changes often has thousands;
-    both its sides also match on a month number, so a fact meets at most the intervals that touch
-    its month. Short intervals touch a month or two, so the dimension hardly grows. A fact has one month,
-    so no pair is found twice. The dimension's key and month columns are dropped.
+    joined on the key and tested against them. A key whose value changes often has thousands: its distinct days are
+    looked up first, by dyadic tiles (:func:`_tiles`), and its facts are joined on key and day. So no fact is multiplied,
+    no interval is spread over more than two tiles, and no pair is found twice. The dimension's key columns are dropped.
 
     The intervals are counted per key first, in one job over the dimension; a dimension of up to
     ``max_broadcast_bytes``, as estimated from its rows and columns, is broadcast, a larger one
     sort-merged, where adaptive execution splits busy keys.
     """
-    renamed = {d: f"__{d}" for d in on.values()}
+    keys = list(on.values())
     dim = dim.filter(F.col(start) <= F.col(end))
-    busy = _busy(dim, list(on.values()), start, end, busy_intervals)
-    months = _spread(dim, list(on.values()), busy, F.col(start), F.col(end), "__dim_month").withColumnsRenamed(renamed)
-    months = F.broadcast(months) if _estimated_bytes(months, busy.rows) <= max_broadcast_bytes else months.hint("merge")
-    of_facts = busy
-    if busy.keys is not None:
-        of_facts = replace(busy, keys=busy.keys.withColumnsRenamed({d: f for f, d in on.items()}))
-    when = F.col(day)
-    left = _spread(facts, list(on), of_facts, when, when, "__fact_month")
+    busy = _busy(dim, keys, start, end, busy_intervals)
+    any_day = F.lit(_ANY_DAY).cast("date")
+    if busy.keys is None:
+        left, rows = facts.withColumn("__fact_when", any_day), busy.rest
+        side = dim.withColumn("__when", any_day)
+    else:
+        marked = busy.keys.select(*[F.col(d).alias(f) for f, d in on.items()], F.lit(True).alias("__busy"))
+        left = facts.join(marked, list(on), "left")
+        days = left.where("__busy").select(*[F.col(f).alias(d) for f, d in on.items()], F.col(day).alias("__when")).dropna().distinct()
+        # A day is looked up once, however many facts it has.
+        found = write_stage(_looked_up(days, "__when", dim, keys, busy, start, end), "on_their_days")
+        left = left.withColumn("__fact_when", F.when(F.col("__busy"), F.col(day)).otherwise(any_day)).drop("__busy")
+        few = dim.join(busy.keys.select(*keys), keys, "left_anti").withColumn("__when", any_day)
+        side, rows = few.unionByName(found), busy.rest + found.count()
+    renamed = {d: f"__{d}" for d in keys}
+    estimate = _estimated_bytes(side, rows)
+    side = side.withColumnsRenamed(renamed)
+    side = F.broadcast(side) if estimate <= max_broadcast_bytes else side.hint("merge")
     same_key = reduce(lambda a, b: a & b, [F.col(f) == F.col(renamed[d]) for f, d in on.items()])
     in_force = (F.col(start) <= F.col(day)) & (F.col(end) >= F.col(day))
-    joined = left.join(months, same_key & (F.col("__fact_month") == F.col("__dim_month")) & in_force, how)
-    return joined.drop("__fact_month", "__dim_month", *renamed.values())
+    joined = left.join(side, same_key & (F.col("__fact_when") == F.col("__when")) & in_force, how)
+    return joined.drop("__fact_when", "__when", *renamed.values())
 
 
 def overlap_join(
@@ -139,33 +171,35 @@ def overlap_join(
     left_id: Sequence[str],
     how: str = "left",
     busy_intervals: int = BUSY_INTERVALS,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join intervals that overlap, per key; ``left_id`` identifies a left row.
 
-    Keys with few right intervals are joined on the key alone. For the others both sides are spread over
-    the months they touch, and a pair is taken only in its first common month, so pairs are found
-    once and never by comparing all intervals of a busy key with each other. Both sides are
+    Where no key has many right intervals, rows meet on the key alone. Otherwise a pair overlaps in one of two ways: the left one
+    starts on a day of the right one, or the right one starts later, on a day of the left one. Both are interval
+    joins of a start day, so pairs are found once, neither side is spread over its days, and the intervals of a busy
+    key are never all compared with each other. Both sides are
     read more than once: give written ones.
     """
     start, end = left_dates
     right = right.filter(F.col(right_dates[0]) <= F.col(right_dates[1]))
     busy = _busy(right, keys, *right_dates, busy_intervals)
-
-    def spread(df: DataFrame, dates: tuple[str, str], side: str) -> DataFrame:
-        out = _spread(df, keys, busy, F.col(dates[0]), F.col(dates[1]), "__month")
-        first = F.when(F.col("__month") == 0, 0).otherwise(_clamped_month(F.col(dates[0]), busy.low, busy.high))
-        return out.withColumn(f"__first_{side}", first)
-
     ids = [c for c in left_id if c not in keys]
-    a = spread(left.filter(F.col(start) <= F.col(end)).select(*keys, *{*ids, *left_dates}), left_dates, "l")
-    b = spread(right, right_dates, "r").hint("merge")
-    pairs = a.join(b, [*keys, "__month"]).filter(
-        (F.col(start) <= F.col(right_dates[1]))
-        & (F.col(end) >= F.col(right_dates[0]))
-        & (F.col("__month") == F.greatest("__first_l", "__first_r"))
-    )
     right_columns = [c for c in right.columns if c not in keys]
-    return left.join(pairs.select(*keys, *ids, *right_columns), [*keys, *ids], how)
+    wanted = [*keys, *ids, *right_columns]
+    own = left.filter(F.col(start) <= F.col(end))
+    if busy.keys is None:
+        side = F.broadcast(right) if _estimated_bytes(right, busy.rest) <= max_broadcast_bytes else right.hint("merge")
+        meet = (F.col(start) <= F.col(right_dates[1])) & (F.col(end) >= F.col(right_dates[0]))
+        pairs = own.select(*keys, *{*ids, *left_dates}).join(side, list(keys)).filter(meet).select(*wanted)
+    else:
+        # Both sides are read several times from here on.
+        right = write_stage(right, "right_intervals")
+        spans = write_stage(own.select(*keys, *ids, F.col(start).alias("__from"), F.col(end).alias("__to")), "left_intervals")
+        inside = _starting_inside(spans, "__from", right, keys, busy, *right_dates).select(*wanted)
+        later = _starting_inside(right, right_dates[0], spans, keys, _busy(spans, keys, "__from", "__to", busy_intervals), "__from", "__to")
+        pairs = inside.unionByName(later.filter(F.col("__from") < F.col(right_dates[0])).select(*wanted))
+    return left.join(pairs, [*keys, *ids], how)
 
 
 def newest(df: DataFrame, key: str, order: Sequence[Column] | None = None) -> DataFrame:

@@ -1,12 +1,13 @@
 """Dated joins against brute force, and the plans they get."""
 
+from collections import Counter
 from datetime import date, timedelta
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import _busy, _spread, add_detail, interval_join, newest, overlap_join
+from ledgerline.operators.joins import _busy, _tiles, add_detail, interval_join, newest, overlap_join
 from ledgerline.operators.weekly import share_of_parent, weekly_totals, year_over_year
 
 START = date(2020, 1, 1)
@@ -50,25 +51,27 @@ def test_interval_join_inner(spark):
     assert interval_join(fact, dim, {"k": "k"}, "day", how="inner").count() == 1
 
 
-def test_only_busy_keys_are_spread(spark):
+def test_only_busy_keys_have_tiles_and_few(spark):
     rng = np.random.default_rng(4)
-    dim = spark.createDataFrame(intervals(rng, 8), "k int, v string, start_date date, end_date date")
+    rows = intervals(rng, 8) + [(3, "long", START, START + timedelta(days=399)), (4, "day", START, START)]
+    dim = spark.createDataFrame(rows, "k int, v string, start_date date, end_date date")
     sizes = {r["k"]: r["count"] for r in dim.groupBy("k").count().collect()}
     busy = _busy(dim, ["k"], "start_date", "end_date", 20)
-    rows = _spread(dim, ["k"], busy, F.col("start_date"), F.col("end_date"), "m").collect()
-    assert sum(r["m"] == 0 for r in rows) == sum(n for n in sizes.values() if n <= 20)
-    assert {r["k"] for r in rows if r["m"]} == {k for k, n in sizes.items() if n > 20}
-    assert len(rows) <= busy.rows
+    tiles = _tiles(dim, ["k"], busy, "start_date", "end_date").collect()
+    assert {r["k"] for r in tiles} == {k for k, n in sizes.items() if n > 20} and busy.rest == sum(n for n in sizes.values() if n <= 20)
+    per = Counter((r["k"], r["v"]) for r in tiles)
+    assert len(per) == sum(n for n in sizes.values() if n > 20) and max(per.values()) <= 2
+    assert _busy(dim, ["k"], "start_date", "end_date", 500).keys is None
 
 
-@pytest.mark.parametrize("limit", [128, 10, 0])
-def test_overlap_join(spark, limit):
+@pytest.mark.parametrize("limit, size", [(128, 64 << 20), (128, 0), (10, 64 << 20), (0, 0)])
+def test_overlap_join(spark, limit, size):
     rng = np.random.default_rng(2)
     left, right = intervals(rng, 6), intervals(rng, 5)
     df = overlap_join(
         spark.createDataFrame(left, "k int, v string, a date, b date"),
         spark.createDataFrame(right, "k int, w string, c date, d date"),
-        ["k"], ("a", "b"), ("c", "d"), ["k", "a"], busy_intervals=limit,
+        ["k"], ("a", "b"), ("c", "d"), ["k", "a"], busy_intervals=limit, max_broadcast_bytes=size,
     )
     got = sorted((r["v"], r["w"] or "") for r in df.collect())
     want = []
