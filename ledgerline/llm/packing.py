@@ -33,7 +33,7 @@ PIECE = 256
 #: Rounds whose pieces are laid out by one task: some eight million tokens.
 ROUNDS = 4096
 #: Bytes of text that are tokenized at once: a larger slice repeats more of its words.
-TEXT_SLICE = 4 << 20
+TEXT_SLICE = 2 << 20
 #: The most rows of block or round totals that are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
