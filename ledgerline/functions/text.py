@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -147,12 +148,26 @@ def category_group(
     return F.lit(default) if result is None else result.otherwise(default)
 
 
+_REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
+
+
+@contextmanager
+def repeated_json_keys(spark: SparkSession) -> Iterator[None]:
+    """Frames made inside accept repeated keys in JSON objects; the session's own setting is as before afterwards."""
+    before = spark.conf.get(_REPEATED_KEYS, None)
+    spark.conf.set(_REPEATED_KEYS, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_REPEATED_KEYS) if before is None else spark.conf.set(_REPEATED_KEYS, before)
+
+
 def is_valid_json(text: Column) -> Column:
     """True where the whole text is one JSON value; null is not valid.
 
     The parser stops after the first value, so the text is tried inside an array and
-    inside an object: trailing text breaks one of the two. Repeated keys are accepted
-    when ``spark.sql.variant.allowDuplicateKeys`` is set.
+    inside an object: trailing text breaks one of the two. Repeated keys are valid in frames
+    made inside :func:`repeated_json_keys`.
     """
     in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
     in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))

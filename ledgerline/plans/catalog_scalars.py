@@ -327,22 +327,22 @@ _BAD_JSON = ["aaa", "", "{", '{"a":1} x', "1,2", "1],[2", '{"a":}', "[1,]"]
 
 def json_validity(spark, folder):
     """Event properties as they are, and with text added that breaks them in several ways."""
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     tails = F.array(*[F.lit(s) for s in ["", " x", ",1", "}", " ", "],[1"]])
     events = _table(spark, folder, "events").select("event_id", F.posexplode(tails).alias("kind", "tail"), "props")
     text = F.concat("props", "tail")
-    return events.select("event_id", F.col("kind").cast("int").alias("kind"), X.is_valid_json(text).alias("valid"))
+    with X.repeated_json_keys(spark):
+        return events.select("event_id", F.col("kind").cast("int").alias("kind"), X.is_valid_json(text).alias("valid"))
 
 
 def json_valid_counts(spark, folder):
     """Which columns of several tables hold JSON."""
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     sources = {"events": "props", "documents": "text", "pages": "html", "conversations": "text"}
     out = None
     for name, c in sources.items():
-        one = _table(spark, folder, name).agg(
-            F.lit(name).alias("name"), F.count("*").alias("n"), F.count_if(X.is_valid_json(F.col(c))).alias("valid")
-        )
+        with X.repeated_json_keys(spark):
+            one = _table(spark, folder, name).agg(
+                F.lit(name).alias("name"), F.count("*").alias("n"), F.count_if(X.is_valid_json(F.col(c))).alias("valid")
+            )
         out = one if out is None else out.unionByName(one)
     return out
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,12 +13,11 @@ from ledgerline.plans.catalog_relations import (
     MONTH_CELLS_SQL,
     PRICED_SQL,
     STAR_SQL,
-    STORE_MONTHS_SQL,
     priced_lines,
     star_sales,
     store_months,
 )
-from ledgerline.plans.sqlforms import code_sql
+from ledgerline.plans.sqlforms import code_sql, decomposed_sql
 from ledgerline.plans.warehouse import MONEY
 from ledgerline.session import write_stage
 from ledgerline.sources.tables import load_parquet
@@ -40,6 +41,64 @@ def decomposed_segments(spark, folder):
     return series.decompose_groups(weekly_sales(spark, folder, ["c_mktsegment"]), ["c_mktsegment"], "Sales")
 
 
+def decomposed_nations_rounded(spark, folder):
+    return _rounded(decomposed_nations(spark, folder))
+
+
+def _rounded(df: DataFrame, columns=series.COMPONENTS, digits: int = 5) -> DataFrame:
+    """Fractions cut to what two engines agree on."""
+    return df.withColumns({c: F.round(c, digits) for c in columns})
+
+
+def decomposed_segments_rounded(spark, folder):
+    return _rounded(decomposed_segments(spark, folder))
+
+
+def _parts_sql(weekly: str, select: str) -> str:
+    """``select`` from the decomposition of ``weekly`` (g, w, y)."""
+    return f"with {decomposed_sql(weekly)} {select}"
+
+
+def _components_sql(group: str) -> str:
+    rounded = ", ".join(f"round({c}, 5) as {c}" for c in series.COMPONENTS)
+    weekly = f"select {group} as g, YrWk as w, Sales as y from ({_weekly_sql(group)}) q"
+    return _parts_sql(weekly, f"select g as {group}, w as YrWk, {rounded}, error from parts")
+
+
+_SEGMENTS_WEEKLY = "select c_mktsegment as g, YrWk as w, Sales as y from ({}) q"
+
+
+def _relative_sql(g: str, more: str = "") -> str:
+    ratios = ", ".join(f"round({c} / nullif(first_value({c}) over (partition by g order by w), 0), 5) as {c}" for c in series.COMPONENTS)
+    return f"select g as {g}, w as YrWk, {ratios}, error{more} from parts where error = 0"
+
+
+def _bands_sql() -> str:
+    around = "over (partition by g order by w rows between 25 preceding and 26 following)"
+    z = NormalDist().inv_cdf(0.975)
+    sides = ", ".join(
+        f"round(trend {sign} {z!r} * sd_{name}, 5) as CI_{side}_{name}" for name in ("remainder", "x") for side, sign in (("lower", "-"), ("upper", "+"))
+    )
+    rounded = ", ".join(f"round({c}, 5) as {c}" for c in (*series.COMPONENTS, "sd_remainder", "sd_x"))
+    return (
+        f"select g as c_mktsegment, w as YrWk, {rounded}, error, {sides} from (select *, stddev_samp(remainder) {around} as sd_remainder,"
+        f" stddev_samp(actual) {around} as sd_x from parts)"
+    )
+
+
+def relative_growth_rounded(spark, folder):
+    return _rounded(relative_growth(spark, folder))
+
+
+def trend_bands_rounded(spark, folder):
+    bands = trend_bands(spark, folder)
+    return _rounded(bands, [c for c, kind in bands.dtypes if kind == "double"])
+
+
+def performance_rounded(spark, folder):
+    return _rounded(performance_table(spark, folder))
+
+
 def decomposed_nations(spark, folder):
     """Two group columns: the series are of the first one."""
     groups = ["n_name", "c_mktsegment"]
@@ -86,6 +145,14 @@ _ACTUALS_SQL = f"""select p_type as Grouping, w as YrWk,
     group by 1, 2) x"""
 
 
+_PERFORMANCE_SQL = _parts_sql(
+    f"select p_type as g, {code_sql('Date')} as w, cast(sum(Sales) as double) as y from ({STAR_SQL}) p group by 1, 2",
+    _relative_sql(
+        "Grouping", ", cast(cast(least(make_date(w // 100, 12, 31), make_date(w // 100, 1, 1) + 7 * cast(w % 100 as int) - 1) as date) as varchar) as Date"
+    ),
+)
+
+
 def trend_bands(spark, folder):
     return series.trend_bands(decomposed_segments(spark, folder), ["c_mktsegment"])
 
@@ -181,7 +248,8 @@ def _scaled(spark, folder) -> tuple[DataFrame, list[str]]:
 
 def standardized(spark, folder):
     wide, months = profiles(spark, folder)
-    return reshape.standardize(wide, months).select("o_custkey", *[F.round(c, 6).alias(c) for c in months])
+    cells = reshape.unpivot(reshape.standardize(wide, months), ["o_custkey"], months, "m", "z")
+    return cells.select("o_custkey", F.col("m").substr(2, 6).alias("m"), F.round("z", 6).alias("z"))
 
 
 def kmeans(spark, folder):
@@ -254,8 +322,8 @@ def per_store(spark, folder):
 
 
 QUERIES = {
-    "t01_decomposed": (decomposed_segments, None),
-    "t01_decomposed_first_group": (decomposed_nations, None),
+    "t01_decomposed": (decomposed_segments_rounded, _components_sql("c_mktsegment")),
+    "t01_decomposed_first_group": (decomposed_nations_rounded, _components_sql("n_name")),
     "t01_components_add_up": (
         components_add_up,
         f"select c_mktsegment, YrWk, round(Sales, 5) as actual, round(Sales, 5) as total from ({_weekly_sql('c_mktsegment')}) w",
@@ -265,8 +333,8 @@ QUERIES = {
         "select event_type, cast(dayofyear(ts) as int) as YrWk, cast(sum(cast(value as decimal(18,2))) as double) as actual,"
         " 0.0::double as seasonal, 0.0::double as trend, 0.0::double as remainder, 1::int as error from events group by 1, 2",
     ),
-    "t02_relative_growth": (relative_growth, None),
-    "t03_trend_bands": (trend_bands, None),
+    "t02_relative_growth": (relative_growth_rounded, _parts_sql(_SEGMENTS_WEEKLY.format(_weekly_sql("c_mktsegment")), _relative_sql("c_mktsegment"))),
+    "t03_trend_bands": (trend_bands_rounded, _parts_sql(_SEGMENTS_WEEKLY.format(_weekly_sql("c_mktsegment")), _bands_sql())),
     "t03_band_widths": (
         band_widths,
         "select c_mktsegment, YrWk, round(2 * 1.959963984540054 * stddev_samp(Sales) over (partition by c_mktsegment order by YrWk"
@@ -299,8 +367,8 @@ QUERIES = {
     ),
     "t07_standardized": (
         standardized,
-        "select o_custkey, round((columns('^m[0-9]{6}$') - avg(columns('^m[0-9]{6}$')) over ())"
-        f" / nullif(stddev_samp(columns('^m[0-9]{{6}}$')) over (), 0), 6) from ({STORE_MONTHS_SQL}) p",
+        "select o_custkey, m, round((s - avg(s) over (partition by m)) / nullif(stddev_samp(s) over (partition by m), 0), 6) as z"
+        f" from ({MONTH_CELLS_SQL}) p",
     ),
     "t08_kmeans": (kmeans, None),
     "t08_kmeans_checked": (
@@ -329,6 +397,6 @@ QUERIES = {
         per_store,
         "select l_suppkey, count(*) as n, cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as Sales from lineitem group by 1",
     ),
-    "d16_performance": (performance_table, None),
+    "d16_performance": (performance_rounded, _PERFORMANCE_SQL),
     "d16_performance_actuals": (performance_actuals, _ACTUALS_SQL),
 }

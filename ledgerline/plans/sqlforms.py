@@ -71,7 +71,7 @@ def history_sql(daily: str, name: str = "h") -> str:
     {n}_spans as (select s, k, r, v, min(d) as lo, max(d) as hi from {n}_runs group by s, k, r, v),
     {n}_dated as (select *, case when lag(hi) over ({by_start}) is null then date '0001-01-01' else lo end as f,
         coalesce(lead(lo) over ({by_start}) - 1, date '2999-12-31') as t from {n}_spans),
-    {n} as (select y.k, m.v as value, y.f as start_dt, y.lo as orig_start_dt, y.t as end_dt, y.v as orig_value
+    {n} as materialized (select y.k, m.v as value, y.f as start_dt, y.lo as orig_start_dt, y.t as end_dt, y.v as orig_value
         from {n}_dated y left join {n}_dated m on m.s = 'N' and m.k = y.k and y.f <= m.t and y.t >= m.f
         where y.s = 'Y')"""
 
@@ -102,3 +102,83 @@ def merge_sql(old: str, fresh: str, name: str = "m") -> str:
         select x.k, x.value, case when e.e + 1 = x.orig_start_dt then x.orig_start_dt else x.start_dt end,
         x.end_dt, x.orig_value, case when x.end_dt = date '2999-12-31' then 'Y' else 'N' end
         from {fresh} x left join {n}_ends e on e.k = x.k)"""
+
+
+# --- local regression and seasonal decomposition as moment sums -----------------------------------
+
+
+def local_fit_sql(name: str, points: str, source: str, span: str, degree: int) -> str:
+    """CTE ``name`` (g, pt, v): the local fit of ``source`` (g, n, i, y) at ``points`` (g, pt), i from 1 to n.
+
+    A fit needs only the sums of the weights and of their products with place and value, so it is a join of each point with
+    its neighbours and one aggregation. ``span`` is in terms of n; places are counted from the point, which keeps the sums small.
+    """
+    line = "sy / sw" if not degree else (
+        "case when sqrt(greatest(sxx / sw - (sx / sw) * (sx / sw), 0)) > 0.001 * (n - 1)"
+        " then sy / sw - (sx / sw) / (sxx / sw - (sx / sw) * (sx / sw)) * (sxy / sw - (sx / sw) * (sy / sw)) else sy / sw end"
+    )
+    return f"""
+    {name}_near as (select p.g, p.pt, m.n, {span} as span, least({span}, m.n) as width from ({points}) p
+        join (select distinct g, n from {source}) m using (g)),
+    {name}_edge as (select *, greatest(least(pt - (width + 1) // 2 + 1, n - width + 1), 1) as a from {name}_near),
+    {name}_reach as (select *, greatest(pt - a, a + width - 1 - pt) + greatest(span - n, 0) // 2 as h from {name}_edge),
+    {name}_pairs as (select r.g, r.pt, r.n, s.i - r.pt as x, s.y, case when abs(s.i - r.pt) > 0.999 * h then 0.0
+        when abs(s.i - r.pt) <= 0.001 * h then 1.0 else pow(1 - pow(abs(s.i - r.pt) / h::double, 3), 3) end as w
+        from {name}_reach r join {source} s on s.g = r.g and s.i between r.a and r.a + r.width - 1),
+    {name}_sums as (select g, pt, n, sum(w) as sw, sum(w * x) as sx, sum(w * x * x) as sxx, sum(w * y) as sy, sum(w * x * y) as sxy
+        from {name}_pairs group by g, pt, n),
+    {name} as materialized (select g, pt, {line} as v from {name}_sums)"""
+
+
+def smooth_sql(name: str, source: str, span: str, degree: int, jump: int) -> str:
+    """CTE ``name`` (g, i, v): local fits at every ``jump``-th place and the last of ``source`` (g, n, i, y), lines between."""
+    points = f"select g, i as pt from {source} where (i - 1) % {jump} = 0 or i = n"
+    return f"""{local_fit_sql(f"{name}_fit", points, source, span, degree)},
+    {name} as materialized (select s.g, s.i, a.v + case when b.pt > a.pt then (s.i - a.pt) / (b.pt - a.pt)::double * (b.v - a.v) else 0 end as v
+        from (select g, i, 1 + (i - 1) // {jump} * {jump} as lo, least(1 + (i - 1) // {jump} * {jump} + {jump}, n) as hi from {source}) s
+        join {name}_fit a on a.g = s.g and a.pt = s.lo join {name}_fit b on b.g = s.g and b.pt = s.hi)"""
+
+
+def decomposed_sql(weekly: str, period: int = 52) -> str:
+    """CTEs ending in ``parts`` (g, w, actual, seasonal, trend, remainder, error) of ``weekly`` (g, w, y).
+
+    The periodic decomposition with two rounds: seasonal subseries, moving averages of the cycle, smoothed trend. A series of
+    no more than two periods has error 1 and zero components.
+    """
+    trend_span = period * 3 // 2 + 1 + (period * 3 // 2) % 2
+    low_span = period + 1 - period % 2
+    parts = [f"""dated as materialized (select g, w, y, row_number() over (partition by g order by w) as i, count(*) over (partition by g) as n from ({weekly})),
+    series as materialized (select * from dated where n > {2 * period}),
+    trend0 as (select g, i, 0.0::double as v from series)"""]
+    for r in (1, 2):
+        parts.append(f"""
+    sub{r} as materialized (select s.g || ':' || ((s.i - 1) % {period})::varchar as g, s.g as own, s.n as whole, (s.i - 1) % {period} as phase, (s.i - 1) // {period} + 1 as i,
+        s.y - t.v as y, count(*) over (partition by s.g, (s.i - 1) % {period}) as n from series s join trend{r - 1} t using (g, i)),
+    wide{r} as materialized (select g, own, phase, n, whole, i, y, 10 * whole + 1 as span from sub{r}),
+    ends{r} as materialized (select distinct g, own, phase, n, unnest([0, 1, n, n + 1]) as pt from wide{r}),
+    fitted{r} as materialized (select own, phase, n, pt, sum(w * y) / sum(w) as v from (
+        select own, phase, n, pt, y, case when x > 0.999 * h then 0.0 when x <= 0.001 * h then 1.0 else pow(1 - pow(x / h::double, 3), 3) end as w
+        from (select e.*, s.y, abs(s.i - e.pt) as x, greatest(e.pt - 1, e.n - e.pt) + (s.span - e.n) // 2 as h from ends{r} e join wide{r} s using (g))
+        ) group by own, phase, n, pt),
+    corners{r} as materialized (select own, phase, n, max(v) filter (pt = 0) as v0, max(v) filter (pt = 1) as v1, max(v) filter (pt = n) as vn,
+        max(v) filter (pt = n + 1) as vz from fitted{r} group by own, phase, n),
+    cycle{r} as materialized (select own as g, phase + {period} * m as c, case when m = 0 then v0 when m = n + 1 then vz
+        else v1 + (m - 1) / (n - 1)::double * (vn - v1) end as v from (select *, unnest(range(0, n + 2)) as m from corners{r})),
+    one{r} as (select g, c, avg(v) over (partition by g order by c rows between current row and {period - 1} following) as v,
+        count(*) over (partition by g order by c rows between current row and {period - 1} following) as k from cycle{r}),
+    two{r} as (select g, c, avg(v) over (partition by g order by c rows between current row and {period - 1} following) as v,
+        count(*) over (partition by g order by c rows between current row and {period - 1} following) as k from one{r} where k = {period}),
+    three{r} as (select g, c, avg(v) over (partition by g order by c rows between current row and 2 following) as v,
+        count(*) over (partition by g order by c rows between current row and 2 following) as k from two{r} where k = {period}),
+    low{r} as materialized (select g, c + 1 as i, v as y, count(*) over (partition by g) as n from three{r} where k = 3),
+    {smooth_sql(f"pass{r}", f"low{r}", str(low_span), 1, -(-low_span // 10))},
+    season{r} as materialized (select s.g, s.i, s.n, s.y, c.v - p.v as v from series s join cycle{r} c on c.g = s.g and c.c = {period} + s.i - 1
+        join pass{r} p on p.g = s.g and p.i = s.i),
+    rest{r} as materialized (select g, i, n, y - v as y from season{r}),
+    {smooth_sql(f"trend{r}", f"rest{r}", str(trend_span), 1, -(-trend_span // 10))}""")
+    parts.append(f"""
+    parts as materialized (select d.g, d.w, d.y as actual, coalesce(x.s, 0) as seasonal, coalesce(x.t, 0) as trend,
+        coalesce(d.y - x.s - x.t, 0) as remainder, case when x.g is null then 1 else 0 end as error
+        from dated d left join (select s.g, s.i, avg(s.v) over (partition by s.g, (s.i - 1) % {period}) as s, t.v as t
+            from season2 s join trend2 t using (g, i)) x using (g, i))""")
+    return ",\n    ".join(parts)
