@@ -58,7 +58,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, doc: str =
 
     Null and empty texts have no words and are clean. Repeated rows give a row each. An empty
     benchmark leaves all clean. Other columns are not read. The benchmark's windows are counted
-    before they are broadcast; beyond ``BROADCAST_GRAMS`` both sides meet in a shuffle on the hash.
+    before they are broadcast; beyond ``BROADCAST_GRAMS`` both sides meet in a shuffle on the hash, to which a document sends
+    its windows.
     """
     known = stage(grams(benchmark, window), "grams")
     counted = known.groupBy("size").count().collect()  # at most ``window`` rows
@@ -76,7 +77,11 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, doc: str =
         side = F.broadcast(side) if few else side
         at = base.select("*", F.explode(F.sequence(F.lit(0), F.greatest(F.col("n") - size, F.lit(0)))).alias("at"))
         at = at.withColumn("h0", F.when(F.col("n") >= size, F.xxhash64(_run("w", F.col("at"), size))))
-        same = (F.col("h0") == F.col("h")) & (F.concat_ws(" ", _run("w", F.col("at"), size)) == F.col("gram"))
+        said = F.concat_ws(" ", _run("w", F.col("at"), size))
+        if not few:  # what is shuffled is the window itself, never the text around it
+            at = at.select("_row", "_doc", "_key", "n", "at", "h0", F.when(F.col("h0").isNotNull(), said).alias("said"))
+            said = F.col("said")
+        same = (F.col("h0") == F.col("h")) & (said == F.col("gram"))
         got = at.join(side, same, "left").where((F.col("at") == 0) | F.col("items").isNotNull())
         got = got.select(
             "_row", "_doc", "_key", "n",

@@ -59,6 +59,18 @@ def test_hit_words_go_and_their_surroundings_stay(spark):
     assert cut == {1: "Before it. .\n\nNext paragraph", 2: "", 3: "( )"}
 
 
+def test_many_windows_meet_in_a_shuffle(spark, clashing, monkeypatch):
+    bench = spark.createDataFrame([(1, PROSE), (2, "the dog"), (3, "not there at all")], "item_id long, text string")
+    docs = clashing.select("doc_id", "text")
+    few = sorted(map(repr, decontaminate.hits(docs, bench).drop("spans").collect()))
+    monkeypatch.setattr(decontaminate, "BROADCAST_GRAMS", 0)
+    many = decontaminate.hits(docs, bench)
+    assert sorted(map(repr, many.drop("spans").collect())) == few
+    plan = many._jdf.queryExecution().optimizedPlan().toString()
+    join = plan[: plan.rindex("Generate")]
+    assert "said" in join and "Join LeftOuter" in join
+
+
 def test_null_and_empty_groups_are_apart(spark):
     rows = [("en", None), ("en", ""), (None, ""), ("", "")] * 60
     groups = outliers._groups(spark.createDataFrame(rows, "lang string, source string"), "lang", "source", 50)
