@@ -5,10 +5,13 @@ minimizer in place of a prefix, each group fits into a task's memory, and its eq
 there by names in place of a suffix tree.
 
 *Groups.* Of all runs of eight words inside a suffix's first 50, the one with the least hash names the
-group: equal windows have the same one, and neighbouring suffixes mostly share it, so a group gets
+group: equal windows have the same one, and neighbouring suffixes mostly share it, so a group has
 stretches of text (some 70 words for 22 suffixes) and not a copy of 50 words for each suffix. A group that only one
-document reaches has no repeats and is dropped before any text moves. A group of too many stretches
-is split further by all 50 words: such a suffix travels as the hash
+document reaches has no repeats and is dropped before any text moves.
+
+*Equal stretches* are settled by their hashes: all but those of the smallest id are repeats from end to
+end. Words move only for the first one of each, and only where a group has several different ones. A group of
+too many stretches is split further by all 50 words: such a suffix travels as the hash
 of those, and a combining minimum settles it, however many documents share it.
 
 *Names.* Suffixes are named level by level, at depths 1, 2, 4, 8, 16, 32 and 50 words: equal names at 50 words
@@ -39,6 +42,9 @@ WINDOW = 50
 PREFIX = 8
 #: Stretches of a group beyond which its suffixes are told apart by their whole first window (500 bytes each in memory).
 LARGE_GROUP = 50_000
+#: A key of more rows than this, and of more than one in MOST_HEAVY of all, is joined by a broadcast; so there are at most MOST_HEAVY.
+HEAVY = 5_000
+MOST_HEAVY = 100_000
 #: Bytes of stretches whose subtrees are built together.
 TREE_BYTES = 24 << 20
 #: Bytes kept of a word's hash: two different words pass for one with probability 2 ** -48.
@@ -79,7 +85,7 @@ def _runs(w: Words, window: int, prefix: int) -> tuple[np.ndarray, ...]:
 
 
 def _profile(docs: DataFrame, text: str, window: int, prefix: int) -> DataFrame:
-    """Per document with a window or more: ``_id``, ``_key``, a fingerprint of its words, and its stretches' groups and bounds."""
+    """Per document with a window or more: ``_id``, ``_key``, a fingerprint of its words, and its stretches' groups, hashes and bounds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "_said"):
@@ -87,18 +93,20 @@ def _profile(docs: DataFrame, text: str, window: int, prefix: int) -> DataFrame:
             row, low, high, group = _runs(w, window, prefix)
             long = np.flatnonzero(w.counts >= window)
             start, end = w.first[:-1][long], w.first[1:][long]
-            marks = [range_hashes(x, start, end) for x in (w.hashes, mix(w.hashes ^ np.uint64(0x5DEECE66D)))]
+            other = mix(w.hashes ^ np.uint64(0x5DEECE66D))
+            marks = [range_hashes(x, start, end) for x in (w.hashes, other)]
+            whole = range_hashes(other, low, high + window)
             bounds = np.searchsorted(row, np.append(long, b.num_rows)).astype(np.int32)
             own = w.first[:-1][row]
-            lists = [pa.ListArray.from_arrays(bounds, pa.array(x)) for x in (signed(group), (low - own).astype(np.int32), (high - own).astype(np.int32))]
+            lists = [pa.ListArray.from_arrays(bounds, pa.array(x)) for x in (signed(group), signed(whole), (low - own).astype(np.int32), (high - own).astype(np.int32))]
             take = pa.array(long)
             yield pa.RecordBatch.from_arrays(
                 [b.column("_id").take(take), b.column("_key").take(take), pa.array(w.counts[long].astype(np.int64)), *[pa.array(signed(m)) for m in marks], *lists],
-                names=["_id", "_key", "n", "f1", "f2", "group", "low", "high"],
+                names=["_id", "_key", "n", "f1", "f2", "group", "mark", "low", "high"],
             )
 
     read = docs.select(id_or_last("_doc").alias("_id"), "_key", "_said")
-    return read.mapInArrow(run, "_id long, _key long, n long, f1 long, f2 long, group array<long>, low array<int>, high array<int>")
+    return read.mapInArrow(run, "_id long, _key long, n long, f1 long, f2 long, group array<long>, mark array<long>, low array<int>, high array<int>")
 
 
 def _stretches(texts: DataFrame, window: int, whole: bool) -> DataFrame:
@@ -218,6 +226,24 @@ def _subtrees(window: int):
     return run
 
 
+def _meet(rows: DataFrame, one: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``one``, which has a row for a key and, as ``n``, how many of ``rows`` have it.
+
+    Keys of very many rows are broadcast, so that no task gets all rows of one.
+    """
+    total = one.agg(F.sum("n")).first()[0] or 0
+    heavy = F.col("n") > max(HEAVY, total // MOST_HEAVY)
+    if one.where(heavy).isEmpty():
+        return rows.join(one, keys, how)
+    rest = rows.join(F.broadcast(one.where(heavy).select(*keys)), keys, "left_anti")
+    return rows.join(F.broadcast(one.where(heavy)), keys).unionByName(rest.join(one.where(~heavy), keys, how))
+
+
+def _firsts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key the smallest id, the largest and the number of rows."""
+    return rows.groupBy(*keys).agg(F.min("_id").alias("first"), F.max("_id").alias("last"), F.count(F.lit(1)).alias("n"))
+
+
 def repeat_spans(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, large_group: int = LARGE_GROUP, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Where documents repeat earlier ones: ``_id``, ``_key``, ``spans`` array<struct<start, stop>> in words.
 
@@ -225,29 +251,36 @@ def repeat_spans(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, la
     in a document with a smaller id. Spans may touch or overlap.
     """
     read = docs.select(F.col(f"`{doc}`").alias("_doc"), text_key(f"`{text}`").alias("_key"), F.col(f"`{text}`").cast("string").alias("_said"))
-    profile = stage(_profile(read, text, window, prefix).dropDuplicates(["_id", "_key"]), "profile")
-    alike = profile.groupBy("f1", "f2", "n").agg(F.min("_id").alias("first"))
-    known = stage(profile.select("_id", "_key", "f1", "f2", "n").join(alike, ["f1", "f2", "n"]).select("_id", "_key", "n", "first"), "alike")
-    copies = known.where("_id > first").select("_id", "_key", F.lit(0).alias("start"), F.col("n").cast("int").alias("stop"))
-    leaders = known.where("_id = first").select("_id", "_key")
-    lists = profile.join(leaders, ["_id", "_key"]).select("_id", "_key", F.explode(F.arrays_zip("group", "low", "high")).alias("s"))
-    parts = stage(lists.select("_id", "_key", "s.*"), "stretches")
-    groups = parts.groupBy("group").agg(F.min("_id").alias("a"), F.max("_id").alias("b"), F.count(F.lit(1)).alias("n"))
-    groups = stage(groups.where("a <> b").select("group", (F.col("n") > large_group).alias("large")), "repeated_groups")
-    parts = parts.join(groups, "group")
+    profile = stage(_profile(read, text, window, prefix), "profile")
+    alike = ["f1", "f2", "n_words"]
+    profile = profile.withColumnRenamed("n", "n_words")
+    shared = stage(_firsts(profile, alike).where("first <> last").drop("last"), "alike")
+    known = stage(_meet(profile, shared, alike, "left").withColumn("copy", F.expr("coalesce(_id > first, false)")).drop("f1", "f2", "first", "n"), "leaders")
+    copies = known.where("copy").select("_id", "_key", F.lit(0).alias("start"), F.col("n_words").cast("int").alias("stop"))
+
+    lists = known.where("not copy").select("_id", "_key", F.explode(F.arrays_zip("group", "mark", "low", "high")).alias("s"))
+    parts = lists.select("_id", "_key", "s.*")
+    marks = stage(_firsts(parts, ["group", "mark"]), "marks")
+    groups = marks.groupBy("group").agg(F.min("first").alias("a"), F.max("last").alias("b"), F.count(F.lit(1)).alias("n"), F.sum("n").alias("size"))
+    groups = stage(groups.where("a <> b").select("group", "n", (F.col("n") > 1).alias("several"), (F.col("size") > large_group).alias("large")), "repeated_groups")
+    wanted = _meet(marks.withColumnRenamed("n", "rows"), groups, ["group"])
+    # A stretch of one document alone in a group of equal ones is no repeat, nor is it needed to find one.
+    wanted = stage(wanted.where("several or first <> last").select("group", "mark", "first", F.col("rows").alias("n"), "several", "large"), "wanted")
+    met = stage(_meet(parts, wanted, ["group", "mark"]).where("several or _id > first").drop("n", "mark"), "stretches")
+    spans = copies.unionByName(met.where("_id > first").select("_id", "_key", F.col("low").alias("start"), (F.col("high") + window).alias("stop")))
 
     def texts(large: bool) -> DataFrame:
-        some = parts.where(F.col("large") == large).groupBy("_id", "_key")
-        some = some.agg(F.sort_array(F.collect_list(F.struct("low", "high", "group"))).alias("s"))
+        some = met.where((F.col("large") == large) & F.expr("_id = first")).groupBy("_id", "_key")
+        some = some.agg(F.sort_array(F.collect_set(F.struct("low", "high", "group"))).alias("s"))
         said = read.select(id_or_last("_doc").alias("_id"), "_key", "_said")
         return said.join(some, ["_id", "_key"])
 
     pieces = _stretches(texts(False), window, False).repartition("group").sortWithinPartitions("group")
-    spans = pieces.mapInArrow(_subtrees(window), "_id long, _key long, start int, stop int").unionByName(copies)
-    if not groups.where("large").isEmpty():
+    spans = spans.unionByName(pieces.mapInArrow(_subtrees(window), "_id long, _key long, start int, stop int"))
+    if not met.where("large and _id = first").isEmpty():
         suffixes = stage(_stretches(texts(True), window, True), "suffixes")
-        first = suffixes.groupBy("h1", "h2").agg(F.min("_id").alias("first"))
-        late = suffixes.join(first, ["h1", "h2"]).where("_id > first")
+        first = stage(_firsts(suffixes, ["h1", "h2"]).where("first <> last").drop("last"), "windows")
+        late = _meet(suffixes, first, ["h1", "h2"]).where("_id > first")
         spans = spans.unionByName(late.select("_id", "_key", F.col("low").alias("start"), (F.col("low") + window).alias("stop")))
     return stage(spans.groupBy("_id", "_key").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans")), "spans")
 

@@ -232,6 +232,13 @@ def test_repeats(request, which, large):
     assert Counter(tuple(r) for r in got.collect()) == brute_repeats(frame.collect(), 50)
 
 
+def test_repeats_of_busy_keys(docs, awkward, monkeypatch):
+    monkeypatch.setattr(repeats, "HEAVY", 1)  # every shared key takes the way of those with very many rows
+    for frame in (docs, awkward):
+        got = repeats.remove_repeats(frame, large_group=2).select("doc_id", "text", "n_words", "n_removed")
+        assert Counter(tuple(r) for r in got.collect()) == brute_repeats(frame.collect(), 50)
+
+
 def test_window_names():
     x = np.array([5, 1, 2, 5, 1, 2, 9], np.uint64)
     for size in (1, 2, 3):
