@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.session import write_stage
+
 # The functions below travel with their job: executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -403,3 +405,47 @@ def best_rates(scores: DataFrame) -> DataFrame:
     totals = scores.groupBy("alpha", "beta", "gamma").agg(F.sum("sse").alias("sse"), F.count("*").alias("series"))
     best = F.min(F.struct("sse", "alpha", "beta", "gamma", "series")).alias("b")
     return totals.agg(best).select("b.alpha", "b.beta", "b.gamma", "b.sse", "b.series")
+
+
+def search_rates(
+    weekly: DataFrame,
+    group_cols: Sequence[str],
+    metric: str,
+    alphas: Sequence[float],
+    betas: Sequence[float],
+    gammas: Sequence[float],
+    plan: SmoothingPlan = SmoothingPlan(),
+    steps: int = 6,
+    least: float = 0.01,
+    order: str = "YrWk",
+) -> DataFrame:
+    """One rate combination for all series together, searched from a grid's best one.
+
+    Step 0 scores the grid. Each further step scores the neighbours of the best combination, a width below and above in every
+    rate, in one pass over all series; the width, a fifth at first, is halved when none is better. The search
+    ends after ``steps`` steps or below the width ``least``. Columns: step and those of ``best_rates``, the last step has the
+    result; its error is the grid's at most. No rows if no series has a start state.
+    """
+    group = list(group_cols)
+    weekly = write_stage(weekly.select(*group, order, metric), "series")
+
+    def best(a, b, c):
+        return best_rates(smoothing_grid(weekly, group, metric, a, b, c, plan, order)).first()
+
+    spark = weekly.sparkSession
+    fields = "step int, alpha double, beta double, gamma double, sse double, series long"
+    at = best(alphas, betas, gammas)
+    if at.sse is None:
+        return spark.createDataFrame([], fields)
+    out, width = [(0, *at)], 0.2
+    for step in range(1, steps + 1):
+        near = [sorted({min(max(r + d, low), 1.0) for d in (-width, 0.0, width)}) for r, low in zip(at[:3], (least, 0.0, 0.0))]
+        found = best(*near)
+        if found.sse < at.sse:
+            at = found
+        else:
+            width /= 2
+        out.append((step, *at))
+        if width < least:
+            break
+    return spark.createDataFrame(out, fields)

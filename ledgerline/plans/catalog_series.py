@@ -17,7 +17,7 @@ from ledgerline.plans.catalog_relations import (
     star_sales,
     store_months,
 )
-from ledgerline.plans.sqlforms import code_sql, decomposed_sql
+from ledgerline.plans.sqlforms import code_sql, decomposed_sql, shifts_sql
 from ledgerline.plans.warehouse import MONEY
 from ledgerline.session import write_stage
 from ledgerline.sources.tables import load_parquet
@@ -164,11 +164,16 @@ def band_widths(spark, folder):
 
 
 def level_shifts(spark, folder):
-    return series.mean_shifts(weekly_sales(spark, folder, ["c_mktsegment"]), ["c_mktsegment"], "Sales")
+    return _rounded(series.mean_shifts(weekly_sales(spark, folder, ["c_mktsegment"]), ["c_mktsegment"], "Sales"), ["actual"])
 
 
 def slope_shifts(spark, folder):
-    return series.mean_shifts(weekly_sales(spark, folder, ["n_name"]), ["n_name"], "Sales", beta=0.0001, on_differences=True)
+    shifts = series.mean_shifts(weekly_sales(spark, folder, ["n_name"]), ["n_name"], "Sales", beta=0.0001, on_differences=True)
+    return _rounded(shifts, ["actual"])
+
+
+def _shifts_sql(group: str, beta: float, on_differences: bool = False) -> str:
+    return f"with recursive {shifts_sql(f'select {group} as g, YrWk as w, Sales as y from ({_weekly_sql(group)}) q', beta, on_differences)} select g as {group}, w as YrWk, round(y, 5) as actual, shift from shifts"
 
 
 def smoothing_start(spark, folder):
@@ -203,6 +208,17 @@ def best_smoothing(spark, folder):
     return best.withColumn("sse", F.round("sse", 2))
 
 
+def searched_rates(spark, folder):
+    """The search as a check: how many series it scored, the error of its grid, and that no step is worse than the one before."""
+    steps = series.search_rates(weekly_sales(spark, folder, ["n_name"]), ["n_name"], "Sales", RATES, [0.1], RATES)
+    worse = F.col("sse") > F.lag("sse").over(Window.orderBy("step"))  # a row per step
+    return steps.select("*", worse.alias("worse")).agg(
+        F.max("series").alias("series"),
+        F.round(F.max_by("sse", -F.col("step")), 2).alias("grid_sse"),
+        F.sum(F.coalesce(F.col("worse"), F.lit(False)).cast("long")).alias("worse"),
+    )
+
+
 def _start_sql(group: str) -> str:
     """CTEs: weeks numbered per series, two-sided yearly averages of the first 104, level, slope and figure."""
     return f"""al as materialized (select {group} as g, Sales as x, row_number() over (partition by {group} order by YrWk) as i,
@@ -259,8 +275,8 @@ def kmeans(spark, folder):
 def kmeans_checked(spark, folder):
     """What must hold of the clusters: each row is nearest to its own centre, and spreads add up.
 
-    Columns: customers, clusters, misplaced (rows whose squared distance to their own cluster's mean is
-    over 5% larger than to the nearest one: the fit ends before its centres stand quite still), spread (within and between the clusters together).
+    Columns: customers, clusters, misplaced (rows whose squared distance to their own cluster's mean is larger than to
+    the nearest one, beyond rounding), spread (within and between the clusters together).
     """
     scaled, months = _scaled(spark, folder)
     rows = write_stage(clusters.kmeans_clusters(scaled, months).select("o_custkey", "cluster", F.array(*months).alias("x")), "clustered")
@@ -276,7 +292,7 @@ def kmeans_checked(spark, folder):
     return wide.agg(
         F.count("*").alias("customers"),
         F.count_distinct("cluster").alias("clusters"),
-        F.sum((F.col("own") > F.col("nearest") * 1.05 + 1e-6).cast("long")).alias("misplaced"),
+        F.sum((F.col("own") > F.col("nearest") * (1 + 1e-6) + 1e-6).cast("long")).alias("misplaced"),
         F.round(F.sum(F.col("own") + apart), 3).alias("spread"),
     )
 
@@ -294,6 +310,26 @@ def cluster_levels(spark, folder):
     )
 
 
+def ward_tree(spark, folder):
+    return clusters.ward_tree(*_scaled(spark, folder))
+
+
+def ward_checked(spark, folder):
+    """The agglomerative tree as a check: its last merge holds all customers and all of their spread, and no merge is lower than the one before."""
+    tree = ward_tree(spark, folder)
+    falls = F.col("height") < F.lag("height").over(Window.orderBy("step"))  # a row per leaf of the tree, a bounded number
+    last = lambda c: F.max_by(c, "step")
+    return tree.select("*", falls.alias("falls")).agg(
+        last("n").alias("customers"),
+        F.round(last("spread"), 3).alias("spread"),
+        F.sum(F.coalesce(F.col("falls"), F.lit(False)).cast("long")).alias("falls"),
+    )
+
+
+def ward_cut(spark, folder):
+    return clusters.ward_clusters(*_scaled(spark, folder)).select("o_custkey", "cluster")
+
+
 def elbow(spark, folder):
     return clusters.elbow_curve(*profiles(spark, folder))
 
@@ -340,8 +376,8 @@ QUERIES = {
         "select c_mktsegment, YrWk, round(2 * 1.959963984540054 * stddev_samp(Sales) over (partition by c_mktsegment order by YrWk"
         f" rows between 25 preceding and 26 following), 3) as width from ({_weekly_sql('c_mktsegment')}) w",
     ),
-    "t04_level_shifts": (level_shifts, None),
-    "t04_slope_shifts": (slope_shifts, None),
+    "t04_level_shifts": (level_shifts, _shifts_sql("c_mktsegment", 0.001)),
+    "t04_slope_shifts": (slope_shifts, _shifts_sql("n_name", 0.0001, True)),
     "t05_smoothing_start": (
         smoothing_start,
         f"with {_start_sql('n_name')} select al.g as n_name, round(l, 4) as l_start, round(s, 4) as b_start,"
@@ -365,6 +401,11 @@ QUERIES = {
         f"with recursive {_scores_sql('n_name')} select alpha, beta, gamma, round(sum(sse), 2) as sse, count(*) as series from sc"
         " group by 1, 2, 3 order by sum(sse), 1, 2, 3 limit 1",
     ),
+    "t06_searched_rates": (
+        searched_rates,
+        f"with recursive {_scores_sql('n_name')} select max(series) as series, round(min(sse), 2) as grid_sse, 0::bigint as worse"
+        " from (select sum(sse) as sse, count(*) as series from sc group by alpha, beta, gamma)",
+    ),
     "t07_standardized": (
         standardized,
         "select o_custkey, m, round((s - avg(s) over (partition by m)) / nullif(stddev_samp(s) over (partition by m), 0), 6) as z"
@@ -393,6 +434,13 @@ QUERIES = {
         "select 'level_' || k as level, true as within, count(distinct o_custkey) as customers from orders,"
         " (select unnest(range(2, 6)) as k) levels where o_orderdate >= date '1999-08-31' group by k",
     ),
+    "t10_ward_tree": (ward_tree, None),
+    "t10_ward_clusters": (ward_cut, None),
+    "t10_ward_checked": (
+        ward_checked,
+        "select count(distinct o_custkey) as customers, round((count(distinct o_custkey) - 1) * count(distinct m)::double, 3) as spread,"
+        f" 0::bigint as falls from (select *, var_pop(s) over (partition by m) as v from ({MONTH_CELLS_SQL}) p) q where v > 0",
+    ),
     "t11_per_store": (
         per_store,
         "select l_suppkey, count(*) as n, cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as Sales from lineitem group by 1",

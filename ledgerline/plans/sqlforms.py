@@ -182,3 +182,42 @@ def decomposed_sql(weekly: str, period: int = 52) -> str:
         from dated d left join (select s.g, s.i, avg(s.v) over (partition by s.g, (s.i - 1) % {period}) as s, t.v as t
             from season2 s join trend2 t using (g, i)) x using (g, i))""")
     return ",\n    ".join(parts)
+
+
+def shifts_sql(weekly: str, beta: float, on_differences: bool = False, min_size: int = 26) -> str:
+    """CTEs up to ``shifts`` (g, w, y, shift): the penalized segmentation by medians of ``weekly`` (g, w, y), for ``with recursive``.
+
+    ``medians`` has the median of every run of points, as a list by end for each start; ``best`` goes once over all
+    places of a shift and keeps, for every end, the best sum and the last shift before it.
+    """
+    value = "y - lag(y) over (partition by g order by w)" if on_differences else "y"
+    offset = 1 if on_differences else 0
+    return f"""said as materialized ({weekly}),
+    numbered as materialized (select g, w, y, row_number() over (partition by g order by w) as i from said where y is not null),
+    valued as (select g, w, {value} as v from said where y is not null),
+    points as materialized (select g, i, n, (v - low) / (high - low) as v from (
+        select g, v, row_number() over (partition by g order by w) as i, count(*) over (partition by g) as n,
+            min(v) over (partition by g) as low, max(v) over (partition by g) as high from valued where v is not null)
+        where n >= {2 * min_size} and high > low),
+    medians as materialized (select g, a, list(m order by b) as m from (
+        select s.g, s.i - 1 as a, e.i as b, median(e.v) over (partition by s.g, s.i order by e.i rows unbounded preceding) as m
+        from points s join points e on e.g = s.g and e.i >= s.i) group by g, a),
+    best(g, n, place, total, last) as (
+        select distinct g, n, cast({min_size - 1} as bigint), list_transform(range(n + 1), lambda x: 0.0::double), list_transform(range(n + 1), lambda x: 0::bigint) from points
+        union all
+        select g, n, place, list_transform(range(n + 1), lambda x: greatest(total[x + 1], news[x + 1])),
+            list_transform(range(n + 1), lambda x: case when news[x + 1] > total[x + 1] then place else last[x + 1] end)
+        from (select b.g, b.n, b.place + 1 as place, b.total, b.last, list_transform(range(b.n + 1), lambda x:
+                case when b.place + 1 - b.last[b.place + 2] >= {min_size} and x >= b.place + 1 + {min_size} then
+                    b.total[b.place + 2] + cast((b.place + 1 - b.last[b.place + 2]) * (x - b.place - 1) as double) / ((x - b.last[b.place + 2]) * b.n)
+                        * pow(l.m[b.place + 1 - b.last[b.place + 2]] - r.m[x - b.place - 1], 2) - {beta!r}
+                else -1.0::double end) as news
+            from best b join medians r on r.g = b.g and r.a = b.place + 1 join medians l on l.g = b.g and l.a = b.last[b.place + 2]
+            where b.place + 1 <= b.n - {min_size})),
+    ended as materialized (select g, n, last from best where place = n - {min_size}),
+    found(g, p, last) as (
+        select g, last[n + 1], last from ended
+        union all
+        select g, last[p + 1], last from found where p > 0),
+    shifts as (select f.g, k.w, k.y, cast(row_number() over (partition by f.g order by f.p) as int) as shift
+        from found f join numbered k on k.g = f.g and k.i = f.p + {offset} where f.p > 0)"""

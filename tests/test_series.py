@@ -1,5 +1,6 @@
 """Series models and clustering on made series."""
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
@@ -186,3 +187,121 @@ def test_clusters(spark, fit):
     rows = fit(df, ["a", "b"], k=3).collect()
     labels = [{r["cluster"] for r in rows if r["id"] // 40 == g} for g in range(3)]
     assert all(len(x) == 1 for x in labels) and len(set.union(*labels)) == 3
+
+
+def plain_ward(x):
+    """Heights of Ward merges, each found among all pairs."""
+    groups, heights = [[i] for i in range(len(x))], []
+    while len(groups) > 1:
+        cost = {
+            (i, j): 2 * len(a) * len(b) / (len(a) + len(b)) * ((x[a].mean(axis=0) - x[b].mean(axis=0)) ** 2).sum()
+            for i, a in enumerate(groups) for j, b in enumerate(groups) if i < j
+        }
+        (i, j), least = min(cost.items(), key=lambda c: c[1])
+        heights.append(least**0.5)
+        groups[i] += groups.pop(j)
+    return heights
+
+
+def scattered(spark, n, seed=3):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(0, 1, (n, 2)) + 6 * rng.integers(0, 3, (n, 2))
+    return x, spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id int, a double, b double")
+
+
+def test_ward_tree_is_the_plain_one(spark):
+    x, df = scattered(spark, 40)
+    tree = clusters.ward_tree(df, ["a", "b"]).orderBy("step").collect()
+    np.testing.assert_allclose([r["height"] for r in tree], plain_ward(x))
+    assert tree[-1]["n"] == 40
+    np.testing.assert_allclose(tree[-1]["spread"], ((x - x.mean(axis=0)) ** 2).sum())
+    # Merges name leaves or earlier merges, each once.
+    assert sorted(c for r in tree for c in (r["left"], r["right"])) == list(range(2 * 40 - 2))
+
+
+def test_ward_tree_of_more_rows_than_leaves(spark):
+    x, df = scattered(spark, 900)
+    tree = clusters.ward_tree(df.unionByName(df).repartition(7), ["a", "b"], leaves=60).orderBy("step").collect()
+    heights = [r["height"] for r in tree]
+    assert len(tree) == 59 and heights == sorted(heights) and tree[-1]["n"] == 1800
+    np.testing.assert_allclose(tree[-1]["spread"], 2 * ((x - x.mean(axis=0)) ** 2).sum())
+    groups = clusters.ward_clusters(df, ["a", "b"], 9, leaves=60).collect()
+    middle = {tuple(np.round(np.mean([(r["a"], r["b"]) for r in groups if r["cluster"] == c], axis=0) / 6).astype(int)) for c in range(9)}
+    assert len(middle) == 9
+
+
+def test_ward_tree_of_few_rows(spark):
+    _, df = scattered(spark, 3)
+    assert clusters.ward_tree(df.limit(0), ["a", "b"]).count() == 0
+    assert clusters.ward_tree(df.limit(1).unionByName(df.limit(1)), ["a", "b"]).count() == 0
+
+
+def test_kmeans_rests(spark):
+    x, df = scattered(spark, 600)
+    rows = clusters.kmeans_clusters(df, ["a", "b"], 9).orderBy("id").collect()
+    label = np.array([r["cluster"] for r in rows])
+    means = np.stack([x[label == c].mean(axis=0) for c in range(9)])
+    far = ((x[:, None] - means) ** 2).sum(axis=2)
+    assert (far[np.arange(len(x)), label] <= far.min(axis=1) + 1e-9).all()
+
+
+def test_elbow_is_near_the_best_of_many_runs(spark):
+    x, df = scattered(spark, 300)
+    rng = np.random.default_rng(8)
+    wss = {r["k"]: r["wss"] for r in clusters.elbow_curve(df, ["a", "b"], k_max=10, starts=10).collect()}
+    for k in (1, 2, 5, 9, 10):
+        best = np.inf
+        for _ in range(50):
+            centres = x[rng.choice(len(x), k, replace=False)]
+            for _ in range(60):
+                near = ((x[:, None] - centres) ** 2).sum(axis=2).argmin(axis=1)
+                centres = np.stack([x[near == c].mean(axis=0) if (near == c).any() else centres[c] for c in range(k)])
+            best = min(best, ((x[:, None] - centres) ** 2).sum(axis=2).min(axis=1).sum())
+        assert wss[k] <= 1.02 * best
+
+
+def weekly_series(spark, weeks=170):
+    rng = np.random.default_rng(4)
+    rows = []
+    for g in ("x", "y", "z"):
+        level = 50 + np.cumsum(rng.normal(0, 2, weeks)) + 9 * np.sin(np.arange(weeks) * 2 * np.pi / 52)
+        rows += [(g, 199000 + i, float(v)) for i, v in enumerate(level)]
+    return spark.createDataFrame(rows, "g string, YrWk int, v double")
+
+
+def test_searched_rates(spark):
+    df, rates = weekly_series(spark), [0.1, 0.5, 0.9]
+    steps = series.search_rates(df, ["g"], "v", rates, [0.1], rates, steps=8).orderBy("step").collect()
+    grid = series.best_rates(series.smoothing_grid(df, ["g"], "v", rates, [0.1], rates)).first()
+    assert (steps[0].alpha, steps[0].gamma, steps[0].sse) == (grid.alpha, grid.gamma, grid.sse)
+    errors = [s.sse for s in steps]
+    assert errors == sorted(errors, reverse=True) and errors[-1] < grid.sse
+    best = steps[-1]
+    whole = sum(
+        series.smoothing_errors(p["v"].to_numpy(), series.SmoothingPlan(), np.array([[best.alpha, best.beta, best.gamma]]))[0]
+        for _, p in df.toPandas().sort_values("YrWk").groupby("g")
+    )
+    np.testing.assert_allclose(best.sse, whole)
+    assert all(0 < s.alpha <= 1 and 0 <= s.beta <= 1 and 0 <= s.gamma <= 1 for s in steps)
+
+
+def test_searched_rates_of_short_series(spark):
+    df = weekly_series(spark, 60)
+    assert series.search_rates(df, ["g"], "v", [0.5], [0.1], [0.5]).collect() == []
+    assert series.search_rates(df.limit(0), ["g"], "v", [0.5], [0.1], [0.5]).collect() == []
+
+
+@pytest.mark.parametrize("on_differences", [False, True])
+def test_shifts_follow_their_sql(spark, on_differences):
+    from ledgerline.plans.sqlforms import shifts_sql
+
+    df = weekly_series(spark, 120).withColumn("v", F.col("v") + F.when(F.col("YrWk") > 199060, 40).otherwise(0))
+    short = df.where("g = 'x' and YrWk < 199051").withColumn("g", F.lit("short"))
+    flat = df.where("g = 'x'").select(F.lit("flat").alias("g"), "YrWk", F.lit(1.0).alias("v"))
+    df = df.unionByName(short).unionByName(flat)
+    got = series.mean_shifts(df, ["g"], "v", beta=0.0005, on_differences=on_differences)
+    said = df.toPandas()  # noqa: F841 - read by the SQL
+    sql = shifts_sql("select g, YrWk as w, v as y from said", 0.0005, on_differences)
+    want = duckdb.sql(f"with recursive {sql} select g, w, shift from shifts").fetchall()
+    assert sorted((r["g"], r["YrWk"], r["shift"]) for r in got.collect()) == sorted(want)
+    assert on_differences or {r[0] for r in want} == {"x", "y", "z"}
