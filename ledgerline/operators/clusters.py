@@ -67,7 +67,7 @@ def elbow_curve(
     All k and all starts advance together: one pass over the rows per iteration updates
     every model, instead of one pass per model and iteration. The first centres are drawn from the
     weighted candidates of ``oversampled``, in proportion to weight and squared distance from the centres drawn
-    before. A pass returns one row of sums per centre, so what reaches the driver depends on k_max, starts and
+    before; a k whose starts all end above the curve goes on from the centres of k - 1. A pass returns one row of sums per centre, so what reaches the driver depends on k_max, starts and
     the number of columns only. Columns: k, wss.
     """
     spark = df.sparkSession
@@ -83,32 +83,48 @@ def elbow_curve(
             raise ValueError("more clusters than distinct rows")
         rng = np.random.default_rng(seed)
         centres = {k: np.stack([_drawn(pool, weight, k, rng) for _ in range(starts)]) for k in range(1, k_max + 1)}
-        for step in range(iterations + 1):
-            shared = spark.sparkContext.broadcast(centres)
-            sums = (
-                points.mapInPandas(_assign(shared, len(names)), _SUM_FIELDS + "".join(f", {n} double" for n in names))
-                .groupBy("k", "start", "j")
-                .agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), *[F.sum(n).alias(n) for n in names])
-                .toArrow()
-                .to_pandas()
-            )
-            costs = sums.groupby(["k", "start"])["cost"].sum()
-            fresh = {k: c.copy() for k, c in centres.items()}
-            for k, rows in sums.groupby("k"):
-                # A centre that lost all its rows stays where it was.
-                at = rows["start"].to_numpy(), rows["j"].to_numpy()
-                fresh[k][at] = rows[names].to_numpy() / rows["n"].to_numpy()[:, None]
-            moved = any(not np.allclose(fresh[k], centres[k]) for k in centres)
-            shared.unpersist()
-            if not moved or step == iterations:
-                break
-            centres = fresh
+        centres, costs = _advanced(points, names, centres, iterations)
+        best = {k: int(costs[k].argmin()) for k in centres}
+        for k in range(2, k_max + 1):
+            below = centres[k - 1][best[k - 1]]
+            if costs[k].min() > costs[k - 1].min():
+                # No start of k found its way: the centres of one less and the candidate farthest from them are no worse.
+                far = ((pool[:, None] - below) ** 2).sum(axis=2).min(axis=1).argmax()
+                more, cost = _advanced(points, names, {k: np.concatenate([below, pool[[far]]])[None]}, iterations)
+                centres[k], costs[k], best[k] = more[k], cost[k], 0
     finally:
         points.unpersist()
-    curve = [(k, float(costs.loc[k].min())) for k in range(1, k_max + 1)]
+    curve = [(k, float(costs[k].min())) for k in range(1, k_max + 1)]
     return spark.createDataFrame(curve, "k int, wss double")
 
 
+def _advanced(
+    points: DataFrame, names: Sequence[str], centres: dict[int, np.ndarray], iterations: int
+) -> tuple[dict[int, np.ndarray], dict[int, np.ndarray]]:
+    """The centres of all models after some iterations, and each model's squared distances to them."""
+    spark = points.sparkSession
+    for step in range(iterations + 1):
+        shared = spark.sparkContext.broadcast(centres)
+        sums = (
+            points.mapInPandas(_assign(shared, len(names)), _SUM_FIELDS + "".join(f", {n} double" for n in names))
+            .groupBy("k", "start", "j")
+            .agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), *[F.sum(n).alias(n) for n in names])
+            .toArrow()
+            .to_pandas()
+        )
+        shared.unpersist()
+        costs, fresh = {}, {k: c.copy() for k, c in centres.items()}
+        for k, rows in sums.groupby("k"):
+            costs[k] = np.bincount(rows["start"], weights=rows["cost"], minlength=len(centres[k]))
+            # A centre that lost all its rows stays where it was.
+            at = rows["start"].to_numpy(), rows["j"].to_numpy()
+            fresh[k][at] = rows[list(names)].to_numpy() / rows["n"].to_numpy()[:, None]
+        if step == iterations or all(np.allclose(fresh[k], centres[k]) for k in centres):
+            break
+        centres = fresh
+    return centres, costs
+
+
 def oversampled(points: DataFrame, names: Sequence[str], each: int, seed: int = 1, rounds: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Candidate centres and how many rows are nearest to each, by parallel oversampling.
 
