@@ -295,6 +295,8 @@ def _condense(names: Sequence[str], leaves: int):
         for batch in batches:
             for at in range(0, len(batch), leaves):
                 some = batch.iloc[at : at + leaves]
+                if not np.isfinite(some[list(names)].to_numpy(float)).all():
+                    raise ValueError("a profile with a missing or infinite value has no distance")
                 n = np.concatenate([n, some["n"].to_numpy("int64")])
                 spread = np.concatenate([spread, some["spread"].to_numpy(float)])
                 means = np.concatenate([means, some[list(names)].to_numpy(float)])
@@ -310,6 +312,7 @@ def ward_leaves(df: DataFrame, columns: Sequence[str], leaves: int = 500, fan: i
 
     Equal rows are counted first. Each task condenses its rows to ``leaves`` features as it reads them; the features of
     ``fan`` tasks are condensed by one task of the next level, until one is left. A task holds twice that many at most.
+    A missing or infinite value raises.
     """
     spark = df.sparkSession
     names = [f"s{i}" for i in range(len(columns))]

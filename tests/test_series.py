@@ -234,6 +234,8 @@ def test_ward_tree_of_few_rows(spark):
     _, df = scattered(spark, 3)
     assert clusters.ward_tree(df.limit(0), ["a", "b"]).count() == 0
     assert clusters.ward_tree(df.limit(1).unionByName(df.limit(1)), ["a", "b"]).count() == 0
+    with pytest.raises(Exception, match="missing or infinite"):
+        clusters.ward_tree(df.withColumn("b", F.when(F.col("id") > 0, F.col("b"))), ["a", "b"])
 
 
 def test_kmeans_rests(spark):
