@@ -1,5 +1,7 @@
 """The warehouse refreshed batch by batch on disk."""
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from ledgerline.plans import warehouse as W
@@ -218,3 +220,15 @@ def test_version_changes_name_the_days_that_differ(spark):
     assert got == [(1, d(3), end), (1, d(3), end), (3, d(1), end), (3, d(1), end)]
     assert sorted(map(tuple, W.version_changes(None, new, "k").collect()))[0] == (1, d(1), date(2020, 2, 29))
     assert W.version_changes(old, new, "k").where("k <> 1").count() == 0
+
+
+def test_daily_values_meet_once_by_key_and_day(spark):
+    """One shuffle counts the raw texts, one brings a key's day together for both of its counts, however its texts are cleaned."""
+    feed = spark.createDataFrame(
+        [(1, "north", date(2020, 1, 1)), (1, "North ", date(2020, 1, 1)), (1, "south", date(2020, 1, 1)), (1, "", date(2020, 1, 2)), (None, "x", date(2020, 1, 1))],
+        "vendor_nbr int, vendor_name string, order_dt date",
+    )
+    daily = W.daily_values(feed, W.vendor_dimension())
+    assert sorted(daily.select("vendor_nbr", "order_dt", "value", "usable").collect()) == [(1, date(2020, 1, 1), "North", True), (1, date(2020, 1, 2), None, False)]
+    plan = daily._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning") == 2
