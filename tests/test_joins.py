@@ -141,3 +141,23 @@ def test_add_detail(spark):
     short, groups = add_detail(df, details, ["Vendor_Number"], ["Vendor_Number", "Store_Number"], keep_number=False)
     assert groups == ["Store_Number", "Vendor_Name"] and "Vendor_Number" not in short.columns
     assert {r["Vendor_Name"] for r in short.collect()} == {"ten", "eleven"}
+
+
+@pytest.mark.parametrize("crossing", [False, True])
+def test_days_of_busy_keys_whose_intervals_share_no_day(spark, crossing):
+    """A sorted pass answers for keys with disjoint intervals; keys with intervals that share days keep the tiles."""
+    day0 = date(2020, 1, 1)
+    dim = [(k, day0 + timedelta(days=3 * i), day0 + timedelta(days=3 * i + i % 3), 100 * k + i) for k in (1, 2) for i in range(20)]
+    dim += [(1, date(1, 1, 1), day0 - timedelta(days=5), -1), (3, day0, day0 + timedelta(days=5), 300)]
+    if crossing:  # nested, and with gaps, so that the lengths alone do not show it
+        dim += [(2, day0 + timedelta(days=3), day0 + timedelta(days=3), 999), (2, date(2999, 1, 1), date(2999, 12, 31), 998)]
+    facts = [(k, None if d is None else day0 + timedelta(days=d), n) for k in (1, 2, 3, 4, None) for d in (*range(-8, 66), None) for n in (0, 1)]
+    dims = spark.createDataFrame(dim, "k int, start_date date, end_date date, v int")
+    busy = _busy(dims, ["k"], "start_date", "end_date", 4)
+    assert (busy.apart, busy.crossing) == ((1, 1) if crossing else (2, 0))
+    got = interval_join(spark.createDataFrame(facts, "f int, day date, n int"), dims, {"f": "k"}, "day", busy_intervals=4)
+    want = Counter()
+    for f, d, n in facts:
+        found = [r[1:] for r in dim if r[0] == f and d is not None and r[1] <= d <= r[2]]
+        want.update((f, d, n, *r) for r in found or [(None, None, None)])
+    assert Counter(map(tuple, got.select("f", "day", "n", "start_date", "end_date", "v").collect())) == want
