@@ -191,3 +191,12 @@ def test_stack_nulls_fixture(spark):
     counts = {r[0]: r[1] for r in out.groupBy("null_incld").count().collect()}
     assert counts == {"N": 3, "Y": 6}
     assert H.stack_nulls(df.limit(0)).count() == 0
+
+
+def test_windows_of_a_history_are_spread_over_all_parts(spark):
+    """Rows that are sorted and windowed by key are not packed into a few tasks, however few bytes they were sent in."""
+    daily = H.daily_dominant(events(spark, [(k, d(f"01-0{day}"), "AB"[day % 2]) for k in range(40) for day in (1, 2, 3)]), "k", "day", ["v"])
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for history in (H.build_history(daily, "k", "day", "v"), H.history_intervals(daily, ["k"], "day", "v")):
+        assert history.rdd.getNumPartitions() == parts
+        assert history.count() == 120 and history.groupBy("k").count().where("count = 3").count() == 40
