@@ -65,7 +65,7 @@ def elbow_curve(
     """Least within-cluster sum of squares for k = 1..k_max over several random starts.
 
     All k and all starts advance together: one pass over the rows per iteration updates
-    every model, instead of one pass per model and iteration. The first centres are drawn from the
+    every model that still moves, instead of one pass per model and iteration. The first centres are drawn from the
     weighted candidates of ``oversampled``, in proportion to weight and squared distance from the centres drawn
     before; a k whose starts all end above the curve goes on from the centres of k - 1. A pass returns one row of sums per centre, so what reaches the driver depends on k_max, starts and
     the number of columns only. Columns: k, wss.
@@ -103,8 +103,10 @@ def _advanced(
 ) -> tuple[dict[int, np.ndarray], dict[int, np.ndarray]]:
     """The centres of all models after some iterations, and each model's squared distances to them."""
     spark = points.sparkSession
+    moving = {k: np.arange(len(c)) for k, c in centres.items()}
+    costs = {k: np.zeros(len(c)) for k, c in centres.items()}
     for step in range(iterations + 1):
-        shared = spark.sparkContext.broadcast(centres)
+        shared = spark.sparkContext.broadcast({k: centres[k][some] for k, some in moving.items()})
         sums = (
             points.mapInPandas(_assign(shared, len(names)), _SUM_FIELDS + "".join(f", {n} double" for n in names))
             .groupBy("k", "start", "j")
@@ -113,14 +115,19 @@ def _advanced(
             .to_pandas()
         )
         shared.unpersist()
-        costs, fresh = {}, {k: c.copy() for k, c in centres.items()}
+        fresh = {k: c.copy() for k, c in centres.items()}
         for k, rows in sums.groupby("k"):
-            costs[k] = np.bincount(rows["start"], weights=rows["cost"], minlength=len(centres[k]))
+            some = moving[k]
+            costs[k][some] = np.bincount(rows["start"], weights=rows["cost"], minlength=len(some))
             # A centre that lost all its rows stays where it was.
-            at = rows["start"].to_numpy(), rows["j"].to_numpy()
+            rows = rows[rows["n"] > 0]
+            at = some[rows["start"].to_numpy()], rows["j"].to_numpy()
             fresh[k][at] = rows[list(names)].to_numpy() / rows["n"].to_numpy()[:, None]
         if step == iterations or all(np.allclose(fresh[k], centres[k]) for k in centres):
             break
+        # A start whose centres stay where they are, up to rounding, is done: further passes would not change it.
+        rest = {k: np.isclose(fresh[k][some], centres[k][some], rtol=1e-12, atol=0).all(axis=(1, 2)) for k, some in moving.items()}
+        moving = {k: some[~rest[k]] for k, some in moving.items() if not rest[k].all()}
         centres = fresh
     return centres, costs
 
@@ -164,8 +171,11 @@ def _race(shared, names: Sequence[str], each: int):
             for c in shared.value:
                 far = np.minimum(far, ((x - c) ** 2).sum(axis=1))
             u = ((batch["u"].to_numpy().astype(np.uint64) >> np.uint64(11)).astype(float) + 0.5) * 2.0**-53
-            batch = batch[list(names)].assign(key=-np.log(u) / np.where(far > 0, far, np.nan))
-            best = pd.concat([best, batch[far > 0]]).drop_duplicates().nsmallest(each, "key")
+            batch = batch[list(names)].assign(key=-np.log(u) / np.where(far > 0, far, np.nan))[far > 0]
+            if len(best) == each:
+                # Most rows are out by their key alone.
+                batch = batch[batch["key"] <= best["key"].max()]
+            best = pd.concat([best, batch]).drop_duplicates().nsmallest(each, "key")
         if len(best):
             yield best
 
@@ -183,34 +193,46 @@ def _drawn(pool: np.ndarray, weight: np.ndarray, k: int, rng: np.random.Generato
     return pool[picked]
 
 
-def _assign(shared, width: int, chunk: int = 1024):
-    """Per-task sums of the rows nearest to each centre of each model."""
+def _assign(shared, width: int, chunk: int = 128):
+    """Per-task sums of the rows nearest to each centre of each model; a model's cost stands with its first centre.
+
+    Distances are laid out as centre, start, row, in blocks that stay in a processor's cache: a row's nearest centre is a minimum
+    of whole blocks, and its sums are one product.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         centres = shared.value
-        total = {k: np.zeros((c.shape[0] * k, width + 2)) for k, c in centres.items()}
+        flat = {k: c.transpose(1, 0, 2).reshape(-1, width) for k, c in centres.items()}
+        flat = {k: np.concatenate([-2 * c, (c**2).sum(axis=1)[:, None]], axis=1) for k, c in flat.items()}
+        total = {k: np.zeros((width + 1, len(c))) for k, c in flat.items()}
+        cost = {k: np.zeros(len(c)) for k, c in centres.items()}
+        # Memory that is taken anew for every block costs more time than the arithmetic.
+        room = max(len(c) for c in flat.values()) * chunk
+        distances, hits, weights = np.empty(room), np.empty(room, bool), np.empty(room)
         for batch in batches:
             rows = batch.to_numpy(dtype=float)
             for at in range(0, len(rows), chunk):
                 x = rows[at : at + chunk]
-                square = (x**2).sum(axis=1)
-                for k, c in centres.items():
-                    starts = c.shape[0]
-                    flat = c.reshape(starts * k, width)
-                    distance = square[:, None] - 2 * x @ flat.T + (flat**2).sum(axis=1)
-                    distance = np.maximum(distance, 0).reshape(len(x), starts, k)
-                    nearest = distance.argmin(axis=2)
-                    member = np.zeros_like(distance)
-                    np.put_along_axis(member, nearest[:, :, None], 1.0, axis=2)
-                    total[k][:, 0] += member.sum(axis=0).ravel()
-                    total[k][:, 1] += (member * distance).sum(axis=0).ravel()
-                    total[k][:, 2:] += member.reshape(len(x), -1).T @ x
-        for k, sums in total.items():
-            centre = np.arange(len(sums))
-            out = pd.DataFrame({"k": k, "start": centre // k, "j": centre % k, "n": sums[:, 0].astype("int64")})
-            out["cost"] = sums[:, 1]
-            parts = pd.DataFrame(sums[:, 2:], columns=[f"s{i}" for i in range(width)])
-            yield pd.concat([out, parts], axis=1)[out["n"] > 0]
+                n, ones = len(x), np.ones((len(x), 1))
+                square, by_column, sums = (x**2).sum(axis=1), np.concatenate([x, ones], axis=1).T.copy(), np.concatenate([ones, x], axis=1).T.copy()
+                for k, c in flat.items():
+                    size = len(c) * n
+                    apart = np.matmul(c, by_column, out=distances[:size].reshape(-1, n)).reshape(k, -1)
+                    least = apart.min(axis=0)
+                    member = np.equal(apart, least, out=hits[:size].reshape(k, -1))
+                    if np.count_nonzero(member) != len(least):
+                        # Of centres equally near the first one counts.
+                        member = np.arange(k)[:, None] == apart.argmin(axis=0)
+                    cost[k] += np.maximum(least.reshape(-1, n) + square, 0).sum(axis=1)
+                    weight = weights[:size].reshape(-1, n)
+                    np.copyto(weight, member.reshape(-1, n))
+                    total[k] += sums @ weight.T
+        for k, found in total.items():
+            centre, starts = np.arange(found.shape[1]), len(cost[k])
+            out = pd.DataFrame({"k": k, "start": centre % starts, "j": centre // starts, "n": found[0].astype("int64")})
+            out["cost"] = np.where(centre < starts, cost[k][centre % starts], 0.0)
+            parts = pd.DataFrame(found[1:].T, columns=[f"s{i}" for i in range(width)])
+            yield pd.concat([out, parts], axis=1)[(out["n"] > 0) | (out["j"] == 0)]
 
     return run
 

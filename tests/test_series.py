@@ -307,3 +307,38 @@ def test_shifts_follow_their_sql(spark, on_differences):
     want = duckdb.sql(f"with recursive {sql} select g, w, shift from shifts").fetchall()
     assert sorted((r["g"], r["YrWk"], r["shift"]) for r in got.collect()) == sorted(want)
     assert on_differences or {r[0] for r in want} == {"x", "y", "z"}
+
+
+def test_elbow_passes_leave_out_starts_that_rest(spark, monkeypatch):
+    """A start whose centres no longer move is not measured again; the sums of a pass are those of all pairs."""
+    import pandas as pd
+
+    from ledgerline.operators import clusters as C
+
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(size=(40, 3)) + 100 * i for i in range(3)])
+    df = spark.createDataFrame(pd.DataFrame(x, columns=["a", "b", "c"]))
+    passes, plain = [], C._assign
+
+    def counted(shared, width):
+        passes.append({k: c.shape[0] for k, c in shared.value.items()})
+        return plain(shared, width)
+
+    monkeypatch.setattr(C, "_assign", counted)
+    curve = {r["k"]: r["wss"] for r in C.elbow_curve(df, ["a", "b", "c"], k_max=4, starts=10).collect()}
+    assert any(1 not in some and sum(some.values()) < 40 for some in passes[1:])
+    apart = [((x - x.mean(axis=0)) ** 2).sum(), sum(((p - p.mean(axis=0)) ** 2).sum() for p in (x[:40], x[40:80], x[80:]))]
+    assert np.allclose([curve[1], curve[3]], apart)
+
+    class Shared:  # two starts of three centres, two of them the same: rows go to the first
+        value = {3: np.stack([x[[0, 0, 50]], x[[3, 60, 100]]])}
+
+    got = pd.concat(plain(Shared, 3, 16)(iter([pd.DataFrame(x[:70]), pd.DataFrame(x[70:])])))
+    for s, c in enumerate(Shared.value[3]):
+        far = ((x[:, None] - c) ** 2).sum(axis=2)
+        mine = got[got["start"] == s].sort_values("j")
+        assert np.isclose(mine["cost"].sum(), far.min(axis=1).sum())
+        for j in range(3):
+            rows = x[far.argmin(axis=1) == j]
+            row = mine[mine["j"] == j]
+            assert row["n"].sum() == len(rows) and np.allclose(row[["s0", "s1", "s2"]].sum(), rows.sum(axis=0))
