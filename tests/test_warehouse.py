@@ -232,3 +232,31 @@ def test_daily_values_meet_once_by_key_and_day(spark):
     assert sorted(daily.select("vendor_nbr", "order_dt", "value", "usable").collect()) == [(1, date(2020, 1, 1), "North", True), (1, date(2020, 1, 2), None, False)]
     plan = daily._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_upsert_computes_its_rows_once(spark, tmp_path):
+    """What an upsert writes is made in one pass over the rows and written once; parts and key filters come from the files."""
+    import os
+    from datetime import date
+
+    from ledgerline.session import scratch_root
+    from ledgerline.sources.sinks import month_part, read_parts, upsert_parts
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def marked(v):
+        made.add(1)
+        return v.upper()
+
+    frame = lambda *rows: spark.createDataFrame(rows, "k int, d date, v string")
+    old = frame((1, date(2020, 1, 5), "a"), (2, date(2020, 2, 5), "b"), (2, date(2020, 3, 5), "c"), (None, None, "e"))
+    root, part = str(tmp_path / "t"), month_part("d")
+    finish = lambda df: df.withColumn("v", marked("v"))
+    staged = set(os.listdir(scratch_root(spark)))
+    first = upsert_parts(old, root, {}, ["k"], part, finish=finish)
+    assert first == {202001: 1, 202002: 1, 202003: 1, 0: 1} and made.value == 4
+    second = upsert_parts(frame((2, date(2020, 1, 1), "moved")), root, first, ["k"], part, finish=finish)
+    assert second == {202001: 2, 0: 1} and made.value == 6
+    assert sorted((r.k or 0, r.v) for r in read_parts(spark, root, second, old.schema).collect()) == [(0, "E"), (1, "A"), (2, "MOVED")]
+    assert set(os.listdir(scratch_root(spark))) == staged
