@@ -11,8 +11,9 @@ document reaches has no repeats and is dropped before any text moves.
 
 *Equal stretches* are settled by their hashes: all but those of the smallest id are repeats from end to
 end. Words move only for the first one of each, and only where a group has several different ones. A group of
-too many stretches is split further by all 50 words: such a suffix travels as the hash
-of those, and a combining minimum settles it, however many documents share it.
+too many stretches whose words would move is split further by all 50 words: such a suffix travels as the hash
+of those, and a combining minimum settles it, however many documents share it. Either kind comes out of one pass
+over the texts.
 
 *Names.* Suffixes are named level by level, at depths 1, 2, 4, 8, 16, 32 and 50 words: equal names at 50 words
 are the suffixes that would be below one internal node of that depth in a tree. Neighbouring
@@ -40,7 +41,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WINDOW = 50
 PREFIX = 8
-#: Stretches of a group beyond which its suffixes are told apart by their whole first window (500 bytes each in memory).
+#: Stretches of a group, those that move, beyond which its suffixes are told apart by their whole first window (500 bytes each in memory).
 LARGE_GROUP = 50_000
 #: A key of more rows than this, and of more than one in MOST_HEAVY of all, is joined by a broadcast; so there are at most MOST_HEAVY.
 HEAVY = 5_000
@@ -109,44 +110,44 @@ def _profile(docs: DataFrame, text: str, window: int, prefix: int) -> DataFrame:
     return read.mapInArrow(run, "_id long, _key long, n long, f1 long, f2 long, group array<long>, mark array<long>, low array<int>, high array<int>")
 
 
-def _stretches(texts: DataFrame, window: int, whole: bool) -> DataFrame:
-    """The words of the listed stretches; or, if ``whole``, each of their windows as a hash of 128 bits."""
+def _stretches(texts: DataFrame, window: int) -> DataFrame:
+    """The listed stretches: the words of those of small groups, and each window of those of large ones as a hash of 128 bits.
 
-    def listed(b: pa.RecordBatch, w: Words):
-        parts = b.column("s").flatten()
-        count = np.diff(b.column("s").offsets.to_numpy())
-        row = np.repeat(np.arange(b.num_rows), count)
-        low, high = parts.field("low").to_numpy().astype(np.int64), parts.field("high").to_numpy().astype(np.int64)
-        return row, low, high, parts.field("group").to_numpy(), w.first[:-1][row]
+    A row has either ``group`` and ``words`` or ``h1`` and ``h2``.
+    """
+    schema = pa.schema({"group": pa.int64(), "h1": pa.int64(), "h2": pa.int64(), "_id": pa.int64(), "_key": pa.int64(), "low": pa.int32(), "words": pa.binary()})
+
+    def batch(n: int, **columns: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in schema], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "_said", 1 << 20):
             w = Words(b.column("_said"))
-            row, low, high, group, own = listed(b, w)
-            if whole:
-                at, of = ranges(own + low, high - low + 1), np.repeat(np.arange(len(row)), high - low + 1)
+            parts = b.column("s").flatten()
+            row = np.repeat(np.arange(b.num_rows), np.diff(b.column("s").offsets.to_numpy()))
+            low, high = parts.field("low").to_numpy().astype(np.int64), parts.field("high").to_numpy().astype(np.int64)
+            own, large = w.first[:-1][row], parts.field("large").to_numpy(zero_copy_only=False)
+            if large.any():
+                first, last, base, of = low[large], high[large], own[large], row[large]
+                count = last - first + 1
+                at, base, take = ranges(base + first, count), np.repeat(base, count), pa.array(np.repeat(of, count))
                 h1 = range_hashes(w.hashes, at, at + window)
                 h2 = range_hashes(mix(w.hashes ^ np.uint64(0x5DEECE66D)), at, at + window)
-                take = pa.array(row[of])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(h1)), pa.array(signed(h2)), b.column("_id").take(take), b.column("_key").take(take), pa.array((at - own[of]).astype(np.int32))],
-                    names=["h1", "h2", "_id", "_key", "low"],
-                )
+                ids, keys = b.column("_id").take(take), b.column("_key").take(take)
+                yield batch(len(at), h1=pa.array(signed(h1)), h2=pa.array(signed(h2)), _id=ids, _key=keys, low=pa.array((at - base).astype(np.int32)))
+            if large.all():
                 continue
+            row, low, high, own = row[~large], low[~large], high[~large], own[~large]
+            group = parts.field("group").filter(pa.array(~large))
             short = np.ascontiguousarray(w.hashes.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]
             size = high - low + window
             data = np.ascontiguousarray(short[ranges(own + low, size)])
             ends = np.concatenate([[0], np.cumsum(size * WORD_BYTES)]).astype(np.int32)
             blobs = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())])
             take = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(group), b.column("_id").take(take), b.column("_key").take(take), pa.array(low.astype(np.int32)), blobs],
-                names=["group", "_id", "_key", "low", "words"],
-            )
+            yield batch(len(row), group=group, _id=b.column("_id").take(take), _key=b.column("_key").take(take), low=pa.array(low.astype(np.int32)), words=blobs)
 
-    if whole:
-        return texts.mapInArrow(run, "h1 long, h2 long, _id long, _key long, low int")
-    return texts.mapInArrow(run, "group long, _id long, _key long, low int, words binary")
+    return texts.mapInArrow(run, "group long, h1 long, h2 long, _id long, _key long, low int, words binary")
 
 
 def name_windows(words: np.ndarray, window: int) -> np.ndarray:
@@ -269,19 +270,24 @@ def repeat_spans(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, la
     met = stage(_meet(parts, wanted, ["group", "mark"]).where("several or _id > first").drop("n", "mark"), "stretches")
     spans = copies.unionByName(met.where("_id > first").select("_id", "_key", F.col("low").alias("start"), (F.col("high") + window).alias("stop")))
 
-    def texts(large: bool) -> DataFrame:
-        some = met.where((F.col("large") == large) & F.expr("_id = first")).groupBy("_id", "_key")
-        some = some.agg(F.sort_array(F.collect_set(F.struct("low", "high", "group"))).alias("s"))
-        said = read.select(id_or_last("_doc").alias("_id"), "_key", "_said")
-        return said.join(some, ["_id", "_key"])
-
-    pieces = _stretches(texts(False), window, False).repartition("group").sortWithinPartitions("group")
-    spans = spans.unionByName(pieces.mapInArrow(_subtrees(window), "_id long, _key long, start int, stop int"))
-    if not met.where("large and _id = first").isEmpty():
-        suffixes = stage(_stretches(texts(True), window, True), "suffixes")
+    # Only what moves counts, as only that meets in a task: one stretch in very many documents moves once.
+    move = met.where("_id = first").select("_id", "_key", "low", "high", "group", "large")
+    crowded = stage(move.where("large").groupBy("group").count().where(F.col("count") > large_group).select("group", F.lit(True).alias("large")), "large_groups")
+    split = not crowded.isEmpty()
+    if split:
+        move = move.drop("large").join(F.broadcast(crowded), "group", "left")
+    else:
+        move = move.withColumn("large", F.lit(False))
+    some = move.groupBy("_id", "_key").agg(F.sort_array(F.collect_set(F.struct("low", "high", "group", F.coalesce("large", F.lit(False)).alias("large")))).alias("s"))
+    sent = _stretches(read.select(id_or_last("_doc").alias("_id"), "_key", "_said").join(some, ["_id", "_key"]), window)
+    if split:
+        sent = stage(sent, "sent")
+        suffixes = sent.where("h1 is not null").select("h1", "h2", "_id", "_key", "low")
         first = stage(_firsts(suffixes, ["h1", "h2"]).where("first <> last").drop("last"), "windows")
         late = _meet(suffixes, first, ["h1", "h2"]).where("_id > first")
         spans = spans.unionByName(late.select("_id", "_key", F.col("low").alias("start"), (F.col("low") + window).alias("stop")))
+    pieces = sent.where("h1 is null").select("group", "_id", "_key", "low", "words").repartition("group").sortWithinPartitions("group")
+    spans = spans.unionByName(pieces.mapInArrow(_subtrees(window), "_id long, _key long, start int, stop int"))
     return stage(spans.groupBy("_id", "_key").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans")), "spans")
 
 

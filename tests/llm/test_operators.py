@@ -239,6 +239,20 @@ def test_repeats_of_busy_keys(docs, awkward, monkeypatch):
         assert Counter(tuple(r) for r in got.collect()) == brute_repeats(frame.collect(), 50)
 
 
+@pytest.mark.parametrize("split", [False, True])
+def test_repeats_read_texts_once(spark, monkeypatch, split):
+    """A group is split if many of its stretches move, not if texts have the same one often; small and large groups share a pass over the texts."""
+    said = [f"own{i} {PASSAGE} other{i}" if split else f"{PASSAGE} " * (i + 2) for i in range(10)]
+    rows = [(i, x, "en", "a", 1) for i, x in enumerate([*said, PROSE * 3, PROSE * 3 + "end"])]
+    frame = spark.createDataFrame(rows, DOCS)
+    stages, passes, stage, stretches = [], [], repeats.stage, repeats._stretches
+    monkeypatch.setattr(repeats, "stage", lambda df, name: stages.append(name) or stage(df, name))
+    monkeypatch.setattr(repeats, "_stretches", lambda *a: passes.append(a) or stretches(*a))
+    got = repeats.remove_repeats(frame, large_group=7).select("doc_id", "text", "n_words", "n_removed")
+    assert Counter(tuple(r) for r in got.collect()) == brute_repeats(frame.collect(), 50)
+    assert (len(passes), "windows" in stages) == (1, split)
+
+
 def test_window_names():
     x = np.array([5, 1, 2, 5, 1, 2, 9], np.uint64)
     for size in (1, 2, 3):
