@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm import tokens
-from ledgerline.llm.common import slices, stage
+from ledgerline.llm.common import slices, small_batches, stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -116,7 +116,8 @@ def pack(
     if weights and min(weights.values()) <= 0:
         raise ValueError("weights are above 0: a source without a share could not be packed")
     spark = docs.sparkSession
-    pieces = stage(tokenize(docs, tokenizer_path, piece, doc, text, source), "pieces")
+    with small_batches(spark):
+        pieces = stage(tokenize(docs, tokenizer_path, piece, doc, text, source), "pieces")
     blocks = stage(pieces.groupBy("source", "block").agg(F.sum("length").alias("n")), "blocks")
     queue = Window.partitionBy("source").orderBy("block")
     blocks = blocks.withColumn("before", F.sum("n").over(queue) - F.col("n"))

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, classifier, decontaminate, html, jaccard, language, lines, outliers, packing, queries, repeats
+from ledgerline.llm import chat, classifier, common, decontaminate, html, jaccard, language, lines, outliers, packing, queries, repeats
 from ledgerline.llm.common import table
 from ledgerline.llm.components import components
 
@@ -192,6 +192,22 @@ def test_packing_follows_the_mixture(spark):
     assert sum(sent.values()) == sum(total.values())
 
 
+def test_packing_is_handed_small_batches(spark, monkeypatch):
+    """Tokenizing tasks get a few megabytes of text at once, however many rows fit a batch; the setting is put back."""
+    plain, most, had = packing.slices, common.BATCH_BYTES + (1 << 20), spark.conf.get(common._BATCH_SETTING)
+
+    def watched(batches, **options):
+        for b in batches:
+            assert b.nbytes <= most
+            yield from plain(iter([b]), **options)
+
+    monkeypatch.setattr(packing, "slices", watched)
+    rows = spark.range(0, 2000, numPartitions=1).select(F.col("id").alias("doc_id"), F.expr("repeat('word ', 2000)").alias("text"), F.lit("a").alias("source"))
+    got = packing.pack(rows, queries.tokenizer_file()).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("all"))
+    assert got.count() == 2000 and got.where("n <> all or n < 2001").count() == 0
+    assert spark.conf.get(common._BATCH_SETTING) == had
+
+
 def test_packing_empty(empty):
     assert packing.pack(empty, queries.tokenizer_file()).count() == 0
 
