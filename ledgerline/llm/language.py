@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import held_out, keeps_others, mix, ranges, slices, text_bytes
+from ledgerline.llm import tokens
+from ledgerline.llm.common import held_out, keeps_others, mix, ranges, slices, small_batches, text_bytes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -143,6 +144,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, doc: str = "doc_id", text: str =
     read = known.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").cast("string").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         sums: dict[tuple[str, int], np.ndarray] = {}
         for b in slices(batches):
             letters = _Letters(b.column("text"))
@@ -163,7 +165,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE, doc: str = "doc_id", text: str =
             )
 
     rows = read.mapInArrow(count, "lang string, ord int, bucket int, n long")
-    rows = rows.groupBy("lang", "ord", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    with small_batches(docs.sparkSession):
+        rows = rows.groupBy("lang", "ord", "bucket").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(rows["lang"].unique())
     scores = np.zeros((len(ORDERS), BUCKETS, len(langs) + 1), np.float32)
     allowed = np.zeros((len(_NAMES) + 1, len(langs) + 1), bool)
@@ -292,6 +295,7 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH, text: str =
         return pa.RecordBatch.from_arrays(out, names=[*names, *new])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         held, words = [], 0
         for b in slices(batches, source):
             letters = _Letters(b.column(source))

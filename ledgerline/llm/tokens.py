@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
 
-from ledgerline.llm.common import ranges, text_bytes
+from ledgerline.llm.common import give_back, ranges, text_bytes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -88,6 +88,14 @@ def _parts(spec: str) -> _Parts:
     return kept[1]
 
 
+def forget() -> None:
+    """A worker that tokenized before gives its table back, for tasks of other kinds; the next tokenizing task loads it again."""
+    kept = sys.modules.get("tokenizers")
+    if kept is not None and getattr(kept, "_ledgerline_parts", None) is not None:
+        kept._ledgerline_parts = None
+        give_back()
+
+
 def _ids_of(texts: pa.Array, known: _Parts) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts in a row, how many each text has).
 

@@ -208,6 +208,23 @@ def test_packing_is_handed_small_batches(spark, monkeypatch):
     assert spark.conf.get(common._BATCH_SETTING) == had
 
 
+def test_language_workers_give_the_tokenizer_back(spark, monkeypatch):
+    """A worker that packed before holds no vocabulary and no word ids while it identifies languages."""
+    plain = language.slices
+
+    def watched(batches, *rest, **options):
+        import sys
+
+        assert getattr(sys.modules.get("tokenizers"), "_ledgerline_parts", None) is None
+        yield from plain(batches, *rest, **options)
+
+    rows = [(k, PROSE, "en", "a", 1) for k in range(64)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(16)
+    assert packing.pack(docs, queries.tokenizer_file()).count() > 0
+    monkeypatch.setattr(language, "slices", watched)
+    assert language.identify(docs, language.fit(docs)).where("lang_pred = 'en'").count() == 64
+
+
 def test_packing_empty(empty):
     assert packing.pack(empty, queries.tokenizer_file()).count() == 0
 
