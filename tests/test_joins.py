@@ -161,3 +161,22 @@ def test_days_of_busy_keys_whose_intervals_share_no_day(spark, crossing):
         found = [r[1:] for r in dim if r[0] == f and d is not None and r[1] <= d <= r[2]]
         want.update((f, d, n, *r) for r in found or [(None, None, None)])
     assert Counter(map(tuple, got.select("f", "day", "n", "start_date", "end_date", "v").collect())) == want
+
+
+def test_facts_of_busy_keys_are_not_read_before_the_join(spark):
+    """Keys whose intervals share no day meet their facts by key and span of days: no job over the facts, and a filter on them reaches their scan."""
+    dim = [(k, START + timedelta(days=2 * i), START + timedelta(days=2 * i + 1), 1000 * k + i) for k in (1, 2) for i in range(200)]
+    dim += [(1, date(1, 1, 1), START - timedelta(days=9), -1), (2, START + timedelta(days=900), date(2999, 12, 31), -2), (3, START, START, 7), (None, START, START, 8)]
+    dims = spark.createDataFrame(dim, "k int, start_date date, end_date date, v int")
+    unread = spark.range(3).select(F.raise_error(F.lit("read")).cast("int").alias("k"), F.lit(START).alias("day"))
+    interval_join(unread, dims, {"k": "k"}, "day")  # raised when the days of the facts were looked up here
+    facts = [(k, None if d is None else START + timedelta(days=d)) for k in (1, 2, 3, 4, None) for d in (-800_00, -9, -5, *range(0, 410, 7), 899, 900, 90_000, None)]
+    frame = spark.createDataFrame(facts, "k int, day date")
+    want = Counter()
+    for k, d in facts:
+        want.update([(k, d, r[3]) for r in dim if r[0] == k and k is not None and d is not None and r[1] <= d <= r[2]] or [(k, d, None)])
+    for size in (0, 64 << 20):
+        joined = interval_join(frame, dims, {"k": "k"}, "day", max_broadcast_bytes=size, bounds=dims.drop("v"))
+        assert Counter(map(tuple, joined.select("k", "day", "v").collect())) == want
+    semi = interval_join(frame, dims, {"k": "k"}, "day", how="left_semi")
+    assert Counter(map(tuple, semi.select("k", "day").collect())) == Counter({(k, d): n for (k, d, v), n in want.items() if v is not None})
