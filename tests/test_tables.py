@@ -58,6 +58,27 @@ def test_versions(spark, tmp_path):
     assert rows(sinks.read_current(spark, root)) == [(1, "a"), (2, "b")]
 
 
+def test_stages_leave_no_shuffles_on_disk(spark, folder):
+    """A stage that is written gives back the disk of its shuffles at once; the setting for it is as before, also with stages in threads."""
+    import time
+    from concurrent.futures import ThreadPoolExecutor
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {n for n in disk.getAllFiles().mkString("|").split("|") if "/shuffle_" in n}
+    before, setting = shuffled(), spark.conf.get(session.SHUFFLE_CLEANUP, None)
+    lines = tables.load_parquet(spark, folder, "lineitem")
+    counted = [lines.groupBy(c).count() for c in ("l_orderkey", "l_partkey", "l_suppkey")]
+    with ThreadPoolExecutor(3) as pool:
+        staged = list(pool.map(lambda df: session.write_stage(df, "counted"), counted))
+    until = time.time() + 10
+    while (left := shuffled() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, None) == setting
+    # What was written and what is asked again from the start are the same.
+    assert [sorted(map(tuple, s.collect())) for s in staged] == [sorted(map(tuple, c.collect())) for c in counted]
+
+
 def test_scratch(spark):
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
     staged = session.write_stage(spark.range(5), "five")

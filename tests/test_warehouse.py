@@ -260,3 +260,57 @@ def test_upsert_computes_its_rows_once(spark, tmp_path):
     assert second == {202001: 2, 0: 1} and made.value == 6
     assert sorted((r.k or 0, r.v) for r in read_parts(spark, root, second, old.schema).collect()) == [(0, "E"), (1, "A"), (2, "MOVED")]
     assert set(os.listdir(scratch_root(spark))) == staged
+
+
+def test_a_dimension_and_its_details_come_from_one_pass(spark, folder):
+    """Daily values dealt by whole keys are not shuffled again for their history, and the details are read from the dimension's stage."""
+    feed = lambda columns: sales_feed(spark, folder, columns)
+    tables = W.build_warehouse(feed, ["store", "store_address", "item", "item_detail", "category", "vendor", "county"])
+    for name, make in W.DIMENSIONS.items():
+        dim = make()
+        daily = W.daily_values(feed(W.FEED_FOR[name]), dim)
+        assert same(W.refresh_dimension(None, daily, dim), tables[name])
+        if name in W.DETAILS:
+            rows = (W.refresh_detail(None, daily, dim), tables[W.DETAILS[name]])
+            assert sorted(map(str, rows[0].collect())) == sorted(map(str, rows[1].select(*rows[0].columns).collect()))
+    rows = spark.createDataFrame([(1, "north", date(2020, 1, 1)), (1, None, date(2020, 1, 2)), (2, "south", date(2020, 1, 1))], "vendor_nbr int, vendor_name string, order_dt date")
+    dim = W.vendor_dimension()
+    made = W.refresh_dimension(None, W.daily_values(rows, dim, whole_keys=True), dim)
+    plan = made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning") == 2  # raw texts, then one for days, winners and history; it was a third before
+    assert same(made, W.refresh_dimension(None, W.daily_values(rows, dim), dim))
+
+
+def test_details_hold_every_value_of_a_day(spark):
+    """Values that only unusable days have, or that come back later, are details as well; the payload stays with its own run."""
+    d = lambda n: date(2020, 1, n)
+    kind = "item_nbr string, item_desc string, category_nbr int, pack int, bottle_vol int, order_dt date"
+    rows = [("1", "gin", 5, 6, 750, d(1)), ("x1", "gin", 5, 6, 750, d(2)), ("1", None, 5, 6, None, d(3)), ("1", "gin", 5, 6, 750, d(4)), ("2", " ", None, None, None, d(1)), (None, "rum", 1, 1, 1, d(1)), ("3", "rum", 1, 1, 1, None)]
+    made = W.build_warehouse(lambda columns: spark.createDataFrame(rows, kind).select(*columns), ["item", "item_detail"])
+    joined = made["item"].join(made["item_detail"].drop("item_nbr"), made["item"]["orig_item_hash"] == made["item_detail"]["item_hash"], "left")
+    got = sorted(map(tuple, joined.select("item_nbr", "start_date", "item_desc", "category_nbr", "items_per_pack", "item_vol").collect()))
+    assert got == [(1, date(1, 1, 1), "Gin", 5, 6, 750), (1, d(3), None, 5, 6, None), (1, d(4), "Gin", 5, 6, 750), (2, date(1, 1, 1), None, None, None, None)]
+    assert made["item_detail"].count() == 3 and "item_desc" not in made["item"].columns
+
+
+def test_no_shuffle_of_the_view_carries_the_store_texts(spark, folder):
+    """The store, which has the widest texts, is joined last: the fact is shuffled before it has them."""
+    feed = lambda columns: sales_feed(spark, folder, columns)
+    tables = W.build_warehouse(feed, ["store", "store_address", "county", "item", "item_detail", "category", "vendor"])
+    view = W.orders_view(W.refresh_orders(None, feed(W.INVOICE_COLUMNS)), **tables, max_broadcast_bytes=0)
+    top = view._jdf.queryExecution().optimizedPlan()
+    while top.nodeName() != "Join":
+        top = top.children().head()
+    assert "store_name" in top.right().output().mkString() and "store_name" not in top.left().output().mkString()
+    assert "item_desc" in top.left().output().mkString()
+
+
+def test_views_of_orders_written_halfway_are_the_same(spark, folder):
+    feed = lambda columns: sales_feed(spark, folder, columns)
+    tables = W.build_warehouse(feed, ["store", "store_address", "county", "item", "item_detail", "category", "vendor"])
+    orders = W.refresh_orders(None, feed(W.INVOICE_COLUMNS))
+    view = W.orders_view(orders, **tables, staged=True)
+    assert same(W.orders_view(orders, **tables), view)
+    assert "lineitem.parquet" not in view._jdf.queryExecution().executedPlan().toString()  # the last join reads the half that was written
+    known = {n: tables[n] for n in ("store", "item", "item_detail", "category", "vendor")}
+    assert same(W.resolve_versions(orders, **known), W.resolve_versions(orders, **known, staged=True))
